@@ -65,7 +65,7 @@ if __name__ == "__main__":
     sf_dir = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     wanted = sys.argv[1:]
     spark = build_session(
-        "check", "local[8]", {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        "check", "local[8]", {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
                               "spark.driver.memory": "12g"}
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -181,7 +181,8 @@ def apply_changes(
     is small enough for AQE to broadcast its keys, not shuffled.
     """
     last = latest_changes(log, keys, order)
-    kept = absent_by_key(table, last, keys)
+    # The join needs the changed keys only, which a plain hash aggregate gives without a sort.
+    kept = absent_by_key(table, log.select(*as_list(keys)).distinct(), keys)
     written = last.where(F.col(op_column) != "D").select(*table.columns)
     return kept.unionByName(written)
 
@@ -195,8 +196,9 @@ def merge_with_markers(
     """
     keys = as_list(keys)
     fresh = latest_changes(log.select(*state.columns), keys, order)
-    untouched = absent_by_key(state, fresh, keys)
-    touched = state.join(fresh.select(*keys), keys, "left_semi")
+    changed = log.select(*keys).distinct()
+    untouched = absent_by_key(state, changed, keys)
+    touched = state.join(changed, keys, "left_semi")
     return untouched.unionByName(latest_per_key(touched.unionByName(fresh), keys, order))
 
 
@@ -304,40 +306,41 @@ def mark_processed(log: DataFrame) -> DataFrame:
     )
 
 
-def decode_typed_json(text: Column, fields: dict[str, str]) -> Column:
-    """Decode an event whose every value is wrapped as ``{"type": value}``.
+def decode_typed_json(
+    df: DataFrame, column: str, fields: dict[str, str], into: str = "event"
+) -> DataFrame:
+    """Decode a text column whose every JSON value is wrapped as ``{"type": value}``.
 
-    ``fields`` maps business columns to Spark types. Gives a struct of the header and those
-    columns; what the text does not carry is NULL. The text is parsed once.
+    ``fields`` maps business columns to Spark types. ``into`` becomes a struct of the header and
+    of both images with those columns; what the text does not carry is NULL. The text is parsed
+    in a projection of its own, so that it is parsed once and not once per field.
     """
-    wrappers = ("string", "long", "int", "double", "float", "boolean")
     header = ("table", "op_type", "op_ts", "current_ts", "pos")
-
-    def wrapped() -> T.StructType:
-        return T.StructType([T.StructField(w, T.StringType()) for w in wrappers])
-
-    image = T.StructType(
-        [T.StructField("row", T.StructType([T.StructField(n, wrapped()) for n in fields]))]
-    )
+    wrapped = T.MapType(T.StringType(), T.StringType())
+    row = T.StructType([T.StructField(name, wrapped) for name in fields])
+    image = T.StructType([T.StructField("row", row)])
     shape = T.StructType(
-        [T.StructField(h, wrapped()) for h in header]
+        [T.StructField(name, wrapped) for name in header]
         + [T.StructField("before", image), T.StructField("after", image)]
     )
-    parsed = F.from_json(text, shape)
+    parsed = df.withColumn("_json", F.from_json(F.col(column), shape))
 
-    def unwrap(holder: Column) -> Column:
-        return F.coalesce(*[holder.getField(w) for w in wrappers])
+    def unwrapped(path: str) -> Column:
+        return F.try_element_at(F.map_values(F.col(f"_json.{path}")), F.lit(1))
 
     def image_values(name: str) -> Column:
-        row = parsed.getField(name).getField("row")
-        values = F.struct(*[unwrap(row.getField(n)).cast(t).alias(n) for n, t in fields.items()])
-        return F.when(parsed.getField(name).isNotNull(), values).alias(name)
+        values = [
+            unwrapped(f"{name}.row.{quoted(field)}").cast(kind).alias(field)
+            for field, kind in fields.items()
+        ]
+        return F.when(F.col(f"_json.{name}").isNotNull(), F.struct(*values)).alias(name)
 
-    return F.struct(
-        *[unwrap(parsed.getField(h)).alias(h) for h in header],
+    event = F.struct(
+        *[unwrapped(name).alias(name) for name in header],
         image_values("before"),
         image_values("after"),
     )
+    return parsed.withColumn(into, event).drop("_json")
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -132,7 +132,7 @@ def upsert_by_key(target: DataFrame, changes: DataFrame, keys, order) -> DataFra
             for c in target.columns
         ]
     )
-    matched = present_by_key(target.select(*keys), fresh, keys)
+    matched = present_by_key(target.select(*keys), changes.select(*keys).distinct(), keys)
     return merged.unionByName(absent_by_key(fresh, matched, keys))
 
 

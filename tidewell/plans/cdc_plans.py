@@ -389,8 +389,8 @@ def typed_json_decode(spark, sf):
         "NATION": "int",
         "MISSING": "string",
     }
-    event = load(spark, sf, "customer").select(cdc.decode_typed_json(wrapped, fields).alias("e"))
-    return event.select(
+    written = load(spark, sf, "customer").select(wrapped.alias("text"))
+    return cdc.decode_typed_json(written, "text", fields, "e").select(
         F.col("e.after.KEY").alias("c_custkey"),
         F.col("e.after.SEGMENT").alias("segment"),
         F.col("e.after.BALANCE").alias("balance"),
