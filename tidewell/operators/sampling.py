@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.operators.keyed import as_list
@@ -78,3 +78,21 @@ def sample_approximately(df: DataFrame, keys, fraction: float, seed: int = 0) ->
 def first_n(df: DataFrame, keys, n: int) -> DataFrame:
     """The first ``n`` rows by key."""
     return df.orderBy(*[F.col(k) for k in as_list(keys)]).limit(n)
+
+
+def with_rank(df: DataFrame, keys, seed: int = 0, column: str = "rank") -> DataFrame:
+    """Ranks 0..rows-1 in sampling order, without putting the rows into one task.
+
+    Rows are ranked inside each of 65,536 hash digits; a running count over the digits, a table of
+    at most that many rows, gives the rank at which each digit starts.
+    """
+    hashed = df.withColumn("_h", sample_order(keys, seed))
+    digits = hashed.withColumn("_d", _digit(F.col("_h"), 0))
+    counts = digits.groupBy("_d").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_d", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_d").orderBy("_h", *[F.col(k) for k in as_list(keys)])
+    ranked = digits.withColumn("_r", F.row_number().over(inside))
+    return ranked.join(starts, "_d").select(
+        *df.columns, (F.col("_start") + F.col("_r") - 1).alias(column)
+    )

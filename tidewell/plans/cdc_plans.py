@@ -403,9 +403,9 @@ def typed_json_decode(spark, sf):
 @query(
     "schema_signals",
     """
-SELECT n_name || '_snap_20240301' AS id, 'execute-snapshot' AS type,
-       '{"data-collections":["dbo.' || n_name || '"]}' AS data
-FROM nation WHERE n_regionkey <> 2
+SELECT s_name || '_snap_20240301' AS id, 'execute-snapshot' AS type,
+       '{"data-collections":["dbo.' || s_name || '"]}' AS data
+FROM supplier WHERE s_nationkey <> 2
 """,
 )
 def schema_signals(spark, sf):
@@ -413,20 +413,21 @@ def schema_signals(spark, sf):
 
 
 def _schema_log(spark, sf):
-    """One log row per nation and customer segment; region 2 is already processed."""
-    log = load(spark, sf, "nation").select(
-        F.col("n_name").alias("table_name"),
-        F.col("n_nationkey").alias("id"),
-        F.when(F.col("n_regionkey") == 2, 1).otherwise(0).alias("processed"),
+    """Suppliers stand for tables: a closed row each, and open or (in nation 2) closed ones."""
+    log = load(spark, sf, "supplier").select(
+        F.col("s_name").alias("table_name"),
+        F.col("s_suppkey").alias("id"),
+        F.when(F.col("s_nationkey") == 2, 1).otherwise(0).alias("processed"),
     )
-    return log.unionByName(log.withColumn("id", F.col("id") + 100))
+    closed = log.withColumn("id", -F.col("id") - 1).withColumn("processed", F.lit(1))
+    return log.unionByName(closed)
 
 
 @query(
     "schema_log_marked",
     """
-SELECT n_name AS table_name, n_nationkey + k AS id, 1 AS processed
-FROM nation, (VALUES (0), (100)) t(k)
+SELECT s_name AS table_name, s_suppkey AS id, 1 AS processed FROM supplier
+UNION ALL SELECT s_name, -s_suppkey - 1, 1 FROM supplier
 """,
 )
 def schema_log_marked(spark, sf):

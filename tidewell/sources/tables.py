@@ -52,10 +52,26 @@ def table_exists(spark: SparkSession, path: str, formats=("parquet",)) -> bool:
 
 
 def read_or_empty(spark: SparkSession, path: str, schema, formats=("parquet",)) -> DataFrame:
-    """The table, or no rows of ``schema`` where nothing was written yet."""
-    if table_exists(spark, path, formats):
+    """The table, or no rows of ``schema`` where nothing was written yet.
+
+    Only a missing path means an empty table; any other failure is raised.
+    """
+    try:
         return read_table(spark, path, formats)
-    return spark.createDataFrame([], schema)
+    except AnalysisException as error:
+        if not _is(error, _NO_PATH):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def read_files_or_empty(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
+    """The same for plain files of a known schema, which is then not inferred."""
+    try:
+        return spark.read.format(fmt).schema(schema).load(path)
+    except AnalysisException as error:
+        if not _is(error, _NO_PATH):
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def read_partition(spark: SparkSession, path: str, column: str, value, fmt="parquet") -> DataFrame:
