@@ -42,6 +42,22 @@ def rows_of(columns, rows):
     return sorted(([normal(r[i]) for i in order] for r in rows), key=repr)
 
 
+SPARK_TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "FLOAT": "float",
+    "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz", "DATE": "date",
+}
+
+
+def type_differences(df, con, sql):
+    """Columns whose types differ between the two engines."""
+    described = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return [
+        f"{name}: {kind} <> {described.get(name)}"
+        for name, kind in df.dtypes
+        if SPARK_TYPES.get(described.get(name)) != kind
+    ]
+
+
 def compare(df, con, sql):
     """None if equal, else a short description of the difference."""
     result = con.execute(sql)
@@ -80,7 +96,8 @@ if __name__ == "__main__":
             df = run(spark, sf_dir)
             if name in sqls:
                 problem = compare(df, con, sqls[name])
-                state = "ok" if problem is None else f"DIFF {problem[:600]}"
+                types = type_differences(df, con, sqls[name])
+                state = f"ok {types or ''}" if problem is None else f"DIFF {problem[:600]}"
             else:
                 state = f"rows only: {df.count()}"
         except Exception as error:  # a broken query is reported like a wrong one

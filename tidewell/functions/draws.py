@@ -6,6 +6,11 @@ the same values, and generated rows never leave the JVM.
 
 from __future__ import annotations
 
+import decimal
+import hashlib
+import math
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,7 +19,8 @@ _TWO_53 = float(1 << 53)
 
 def draw(name: str, key: Column, seed: int = 0) -> Column:
     """A 64-bit hash for one column of one row."""
-    return F.xxhash64(F.lit(seed), F.lit(name), key)
+    salt = hashlib.blake2b(f"{seed}/{name}".encode(), digest_size=8).digest()
+    return F.xxhash64(F.lit(int.from_bytes(salt, "big", signed=True)), key)
 
 
 def unit(hashed: Column) -> Column:
@@ -30,8 +36,9 @@ def whole(hashed: Column, low: int, high: int) -> Column:
 def number(hashed: Column, low: float, high: float, scale: int, precision: int = 18) -> Column:
     """Decimal in [low, high] with ``scale`` digits."""
     steps = round((high - low) * 10**scale)
-    cents = whole(hashed, 0, steps) + F.lit(round(low * 10**scale)).cast("long")
-    return (cents.cast("decimal(20,0)") / F.lit(10**scale)).cast(f"decimal({precision},{scale})")
+    units = whole(hashed, 0, steps) + F.lit(round(low * 10**scale)).cast("long")
+    unit_value = F.lit(decimal.Decimal(1).scaleb(-scale))
+    return (units.cast("decimal(18,0)") * unit_value).cast(f"decimal({precision},{scale})")
 
 
 def choice(hashed: Column, values) -> Column:
@@ -47,36 +54,30 @@ def digits(hashed: Column, count: int) -> Column:
 
 def pattern(hashed: Column, text: str) -> Column:
     """Text in which each ``#`` becomes a digit, such as ``REF####``; at most 18 of them."""
-    count = text.count("#")
-    if count == 0:
-        return F.lit(text)
-    drawn = digits(hashed, count)
-    parts, used = [], 0
-    for i, literal in enumerate(text.split("#")):
-        if literal:
-            parts.append(F.lit(literal))
-        if i < count:
-            parts.append(F.substring(drawn, used + 1, 1))
-            used += 1
+    drawn, parts, used = digits(hashed, text.count("#")), [], 0
+    for run in re.findall(r"#+|[^#]+", text):
+        if run[0] == "#":
+            parts.append(F.substring(drawn, used + 1, len(run)))
+            used += len(run)
+        else:
+            parts.append(F.lit(run))
     return F.concat(*parts)
 
 
 def uuid_text(name: str, key: Column, seed: int = 0) -> Column:
-    """UUID in version 4 layout from two hashes."""
-    high = F.lpad(F.lower(F.hex(draw(name, key, seed))), 16, "0")
-    low = F.lpad(F.lower(F.hex(draw(name + "#", key, seed))), 16, "0")
-    variant = choice(draw(name + "#v", key, seed), ["8", "9", "a", "b"])
+    """UUID in version 4 layout from a 128-bit hash."""
+    digest = F.md5(F.concat(F.lit(f"{seed}/{name}/"), key.cast("string")).cast("binary"))
     return F.concat(
-        F.substring(high, 1, 8),
+        F.substring(digest, 1, 8),
         F.lit("-"),
-        F.substring(high, 9, 4),
+        F.substring(digest, 9, 4),
         F.lit("-4"),
-        F.substring(high, 14, 3),
+        F.substring(digest, 14, 3),
         F.lit("-"),
-        variant,
-        F.substring(low, 2, 3),
+        choice(draw(name, key, seed), ["8", "9", "a", "b"]),
+        F.substring(digest, 18, 3),
         F.lit("-"),
-        F.substring(low, 5, 12),
+        F.substring(digest, 21, 12),
     )
 
 
@@ -85,8 +86,6 @@ def unique_number(key: Column, low: int, size: int, step: int) -> Column:
 
     Multiplying by a step that shares no factor with ``size`` permutes the range.
     """
-    import math
-
     if math.gcd(step, size) != 1:
         raise ValueError("step and size share a factor")
     if size * step >= 1 << 63:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidewell.functions.codes import operation_code
 from tidewell.functions.text import quoted
-from tidewell.operators.keyed import absent_by_key, as_list, latest_per_key
+from tidewell.operators.keyed import absent_by_key, as_list, latest_per_key, present_by_key
 
 # Offsets of commit number and log position from the row id, and what later
 # operations add to them.
@@ -181,8 +181,7 @@ def apply_changes(
     is small enough for AQE to broadcast its keys, not shuffled.
     """
     last = latest_changes(log, keys, order)
-    # The join needs the changed keys only, which a plain hash aggregate gives without a sort.
-    kept = absent_by_key(table, log.select(*as_list(keys)).distinct(), keys)
+    kept = absent_by_key(table, log, keys)
     written = last.where(F.col(op_column) != "D").select(*table.columns)
     return kept.unionByName(written)
 
@@ -194,11 +193,9 @@ def merge_with_markers(
 
     A late older upsert then cannot bring back a deleted row. ``live_rows`` drops the markers.
     """
-    keys = as_list(keys)
     fresh = latest_changes(log.select(*state.columns), keys, order)
-    changed = log.select(*keys).distinct()
-    untouched = absent_by_key(state, changed, keys)
-    touched = state.join(changed, keys, "left_semi")
+    untouched = absent_by_key(state, log, keys)
+    touched = present_by_key(state, log, keys)
     return untouched.unionByName(latest_per_key(touched.unionByName(fresh), keys, order))
 
 

@@ -151,26 +151,32 @@ def customer_events(
     """Envelopes for a frame of customer ids: operation by id modulo three.
 
     ``rich_updates`` also changes e-mail, risk level and author in updates, and moves commit number
-    and position on by the operation's offset.
+    and position on by the operation's offset. Each side is one struct whose few differing fields
+    depend on the operation, which keeps the wide expression single.
     """
     stamp = F.date_format(F.current_timestamp() if now is None else now, ISO_OFFSET_FORMAT)
-    rows = ids.select(F.col(key).cast("long").alias("id"), stamp.alias("now"))
-    op = codes.operation_by_modulo(F.col("id"))
-    plain = "concat('Customer ', id)"
-    old = F.when(op == "U", customer_image("concat('Customer ', id, ' Old')")).otherwise(
-        customer_image(plain)
-    )
-    changes = UPDATE_CHANGES if rich_updates else None
-    new = F.when(op == "U", customer_image("concat('Customer ', id, ' New')", changes)).otherwise(
-        customer_image(plain)
+    rows = ids.select(
+        F.col(key).cast("long").alias("id"),
+        stamp.alias("now"),
+        codes.operation_by_modulo(F.col(key)).alias("op"),
     )
+
+    def name(suffix: str) -> str:
+        return f"concat('Customer ', id, CASE WHEN op = 'U' THEN '{suffix}' ELSE '' END)"
+
+    plain = image_expressions()
+    changes = {
+        field: f"CASE WHEN op = 'U' THEN {new} ELSE {plain[field]} END"
+        for field, new in UPDATE_CHANGES.items()
+    }
+    op = F.col("op")
     shift = op if rich_updates else None
     return cdc.build_envelope(
         rows,
         TABLE_NAME,
         op,
-        before=old,
-        after=new,
+        before=customer_image(name(" Old")),
+        after=customer_image(name(" New"), changes if rich_updates else None),
         op_ts=F.col("now"),
         current_ts=F.col("now"),
         csn=cdc.commit_number(F.col("id"), shift),

@@ -70,10 +70,14 @@ def pick_survivor(df: DataFrame, keys, preference: list[Column]) -> DataFrame:
 
 
 def _match(left: DataFrame, right: DataFrame, left_keys, right_keys):
-    """The right side's key columns, renamed out of the way, and the join condition."""
+    """The right side's distinct keys, renamed out of the way, and the join condition.
+
+    Only existence counts, so repeats are combined before the shuffle: a key that holds a third of
+    the right side arrives once per task. The join uses the partitioning this leaves.
+    """
     left_keys = as_list(left_keys)
     right_keys = as_list(right_keys) if right_keys is not None else left_keys
-    side = right.select(*[F.col(r).alias(f"_r{i}") for i, r in enumerate(right_keys)])
+    side = right.select(*[F.col(r).alias(f"_r{i}") for i, r in enumerate(right_keys)]).distinct()
     condition = reduce(
         lambda a, b: a & b,
         [F.col(quoted(k)) == F.col(f"_r{i}") for i, k in enumerate(left_keys)],
@@ -132,7 +136,7 @@ def upsert_by_key(target: DataFrame, changes: DataFrame, keys, order) -> DataFra
             for c in target.columns
         ]
     )
-    matched = present_by_key(target.select(*keys), changes.select(*keys).distinct(), keys)
+    matched = present_by_key(target.select(*keys), changes, keys)
     return merged.unionByName(absent_by_key(fresh, matched, keys))
 
 

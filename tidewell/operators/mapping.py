@@ -67,19 +67,25 @@ def update_uuid_mapping(
     """
     if not duplicate_groups(mapping, "uuid").isEmpty():
         raise ValueError("the mapping holds one uuid for several keys")
-    ids = source.select(key).where(F.col(key).isNotNull()).distinct()
-    total = ids.count()
+    sides = source.select(key, F.lit(True).alias("_source")).unionByName(
+        mapping.select(key, F.lit(False).alias("_source"))
+    )
+    # One grouping gives the distinct keys of both sides and where each occurs.
+    seen = (
+        sides.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.bool_or("_source").alias("sourced"), F.bool_or(~F.col("_source")).alias("mapped"))
+    )
+    counts = seen.agg(F.count_if("sourced").alias("total"), F.count_if("mapped").alias("mapped")).first()
+    total, existing = counts["total"], counts["mapped"]
     target = math.floor(fraction * total)
-    existing = mapping.select(key).distinct().count()
-    need = target - existing
-    if need <= 0:
+    if target <= existing:
         return MappingResult(mapping, total, target, existing, 0)
-    missing = absent_by_key(ids, mapping, key)
-    picked = sample_exact(missing, key, need, seed)
+    missing = seen.where("sourced and not mapped").select(key)
+    picked = sample_exact(missing, key, target - existing, seed)
     new = assign_unique_uuids(picked, mapping, key, salt, max_attempts)
     grown = staged(mapping.select(key, "uuid").unionByName(new), "mapping")
-    added = grown.count() - mapping.count()
-    return MappingResult(grown, total, target, existing, added)
+    return MappingResult(grown, total, target, existing, new.count())
 
 
 def assign_unique_uuids(

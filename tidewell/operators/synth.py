@@ -127,8 +127,7 @@ def _base(name: str, kind: str, args: tuple, key: Column, seed: int, as_of: dt.d
         start = F.lit(as_of).cast("timestamp_ntz")
         if kind == "day":
             return F.date_add(start.cast("date"), draws.whole(h(), low, high).cast("int"))
-        seconds = draws.whole(h(), low * 86400, high * 86400)
-        return start + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+        return F.timestamp_add("SECOND", draws.whole(h(), low * 86400, high * 86400), start)
     if kind == "sentence":
         return F.concat(
             F.concat_ws(" ", *[draws.choice(h(str(i)), WORDS) for i in range(args[0])]), F.lit(".")
@@ -146,10 +145,11 @@ def _derived(name: str, kind: str, args: tuple, key: Column, seed: int) -> Colum
     if kind in ("product", "cash_total"):
         columns = [F.col(a) for a in args]
         return trade_total(*columns) if kind == "product" else cash_total(*columns)
-    amount = draws.whole(draws.draw(name, key, seed), args[1], args[2]).cast("int")
+    low, high = args[1:]
+    amount = draws.whole(draws.draw(name, key, seed), low, high)
     if kind == "days_after":
-        return other + F.make_dt_interval(days=amount)
-    return other - F.make_dt_interval(hours=amount)
+        return F.timestamp_add("DAY", amount, other)
+    return F.timestamp_add("HOUR", -amount, other)
 
 
 def _split_null(args: tuple):

@@ -19,8 +19,7 @@ def orders_by_year(spark, sf):
     """The orders as a folder partitioned by year."""
     path = scratch_path(spark, "orders_by_year")
     rows = load(spark, sf, "orders").withColumn("year", F.date_format("o_orderdate", "yyyy"))
-    # One shuffle by the partition value keeps the number of files down.
-    lake.write_table(rows.repartition("year"), path, partition_by=["year"])
+    lake.write_table(rows, path, partition_by=["year"])
     return path
 
 

@@ -63,11 +63,16 @@ def write_lake(df: DataFrame, path: str, options: dict[str, str], mode: str, fmt
 
 
 def write_table(df: DataFrame, path: str, mode: str = "error", fmt: str = "parquet", partition_by=()):
-    """Plain files with one of the modes overwrite, append, error, ignore."""
-    writer = df.write.format(fmt).mode(mode)
+    """Plain files with one of the modes overwrite, append, error, ignore.
+
+    With partition columns rows are first brought together by them, so that there are few files;
+    a partition that holds much of the table is split over several tasks (AQE rebalance).
+    """
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+        df = df.hint("rebalance", *partition_by)
+        df.write.format(fmt).mode(mode).partitionBy(*partition_by).save(path)
+    else:
+        df.write.format(fmt).mode(mode).save(path)
 
 
 def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
