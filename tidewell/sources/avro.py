@@ -8,33 +8,30 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Spark's widest decimal.
 MAX_PRECISION = 38
-_NESTED = {"array": "items", "map": "values"}
 
 
-def safe_reader_schema(schema):
+def safe_reader_schema(document):
     """A reader schema whose decimals beyond 38 digits are plain bytes or fixed.
 
-    Works on the schema document (text or parsed), once per table.
+    Takes the schema as JSON text or parsed, and answers in the same form; once per table.
     """
-    if isinstance(schema, str):
-        return json.dumps(safe_reader_schema(json.loads(schema)))
-    if isinstance(schema, list):
-        return [safe_reader_schema(branch) for branch in schema]
-    if not isinstance(schema, dict):
-        return schema
-    if schema.get("logicalType") == "decimal" and schema.get("precision", 0) > MAX_PRECISION:
-        drop = ("logicalType", "precision", "scale")
-        return {k: v for k, v in schema.items() if k not in drop}
-    kind = schema.get("type")
-    if kind == "record":
-        fields = [{**f, "type": safe_reader_schema(f["type"])} for f in schema.get("fields", [])]
-        return {**schema, "fields": fields}
-    if kind in _NESTED:
-        part = _NESTED[kind]
-        return {**schema, part: safe_reader_schema(schema[part])}
-    if isinstance(kind, (dict, list)):
-        return {**schema, "type": safe_reader_schema(kind)}
-    return schema
+    if isinstance(document, str):
+        return json.dumps(_readable(json.loads(document)))
+    return _readable(document)
+
+
+def _readable(node):
+    if isinstance(node, list):
+        return [_readable(branch) for branch in node]
+    if not isinstance(node, dict):
+        return node
+    if node.get("logicalType") == "decimal" and node.get("precision", 0) > MAX_PRECISION:
+        return {k: v for k, v in node.items() if k not in ("logicalType", "precision", "scale")}
+    # Every place where a schema can hold further schemas.
+    inner = {k: _readable(node[k]) for k in ("type", "items", "values") if k in node}
+    if "fields" in node:
+        inner["fields"] = [_readable(field) for field in node["fields"]]
+    return {**node, **inner}
 
 
 def _read_long(raw: bytes, at: int) -> tuple[int, int]:
