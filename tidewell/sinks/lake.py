@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators.cdc import latest_changes, live_rows, merge_with_markers
-from tidewell.sources.tables import read_files_or_empty, table_exists
+from tidewell.sources.tables import connector, read_files_or_empty, table_exists
 
 # Write options of a lake format for each operation.
 OPERATIONS = ("bulk_insert", "insert", "upsert", "delete")
@@ -59,7 +59,8 @@ def lake_options(
 
 def write_lake(df: DataFrame, path: str, options: dict[str, str], mode: str, fmt: str = "hudi") -> None:
     """Write with a lake format; its connector must be on the classpath."""
-    df.write.format(fmt).options(**options).mode(mode).save(path)
+    with connector(fmt):
+        df.write.format(fmt).options(**options).mode(mode).save(path)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "error", fmt: str = "parquet", partition_by=()):

@@ -6,6 +6,8 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewell.sources.tables import connector
+
 # Spark's widest decimal.
 MAX_PRECISION = 38
 
@@ -95,4 +97,5 @@ def writer_schema(spark: SparkSession, path: str) -> str:
 def read_avro(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """An Avro scan with a reader schema; by default the files' own, made safe."""
     reader_schema = schema or safe_reader_schema(writer_schema(spark, path))
-    return spark.read.format("avro").option("avroSchema", reader_schema).load(path)
+    with connector("avro"):
+        return spark.read.format("avro").option("avroSchema", reader_schema).load(path)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.sources.tables import connector
+
 
 def file_stream(
     spark: SparkSession, path: str, schema, fmt="parquet", files_per_trigger=None, **options
@@ -18,13 +20,9 @@ def file_stream(
 
 def topic_stream(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:
     """A topic's records as text; needs the Kafka connector on the classpath."""
-    raw = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .options(**options)
-        .load()
-    )
+    settings = {"kafka.bootstrap.servers": servers, "subscribe": topic, **options}
+    with connector("kafka"):
+        raw = spark.readStream.format("kafka").options(**settings).load()
     return raw.select(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),

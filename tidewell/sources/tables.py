@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -12,17 +13,31 @@ from pyspark.sql import types as T
 
 from tidewell.functions.text import quoted
 
-# Error classes that mean "this format is not installed" and "there is nothing at this path".
-_NO_FORMAT = {"DATA_SOURCE_NOT_FOUND", "MISSING_DATA_SOURCE"}
+# Texts of errors that mean "this format is not installed", and error classes that mean "there is
+# nothing at this path".
+_NO_FORMAT = ("[DATA_SOURCE_NOT_FOUND]", "Failed to find data source: ")
 _NO_PATH = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "TABLE_OR_VIEW_NOT_FOUND"}
 
 
-def _is(error: Exception, classes: set[str]) -> bool:
-    condition = error.getCondition() if isinstance(error, AnalysisException) else None
-    if condition:
-        return condition.split(".")[0] in classes
-    text = str(error)
-    return any(f"[{name}" in text for name in classes)
+class MissingConnector(RuntimeError):
+    """A format whose connector is not on the classpath."""
+
+
+@contextmanager
+def connector(fmt: str):
+    """Turn Spark's failure to find a format into one clear error; others pass."""
+    try:
+        yield
+    except (AnalysisException, Py4JJavaError) as error:
+        if any(text in str(error) for text in _NO_FORMAT):
+            raise MissingConnector(
+                f"format {fmt} is not installed: add its connector to spark.jars.packages"
+            ) from error
+        raise
+
+
+def _no_path(error: AnalysisException) -> bool:
+    return (error.getCondition() or "").split(".")[0] in _NO_PATH
 
 
 def read_table(spark: SparkSession, path: str, formats=("parquet",), **options) -> DataFrame:
@@ -33,19 +48,18 @@ def read_table(spark: SparkSession, path: str, formats=("parquet",), **options)
     missing = None
     for fmt in formats:
         try:
-            return spark.read.format(fmt).options(**options).load(path)
-        except (AnalysisException, Py4JJavaError) as error:
-            if not _is(error, _NO_FORMAT):
-                raise
+            with connector(fmt):
+                return spark.read.format(fmt).options(**options).load(path)
+        except MissingConnector as error:
             missing = error
-    raise RuntimeError(f"none of the formats {list(formats)} is installed") from missing
+    raise MissingConnector(f"none of the formats {list(formats)} is installed") from missing
 
 
 def table_exists(spark: SparkSession, path: str, formats=("parquet",)) -> bool:
     try:
         read_table(spark, path, formats)
     except AnalysisException as error:
-        if _is(error, _NO_PATH):
+        if _no_path(error):
             return False
         raise
     return True
@@ -59,7 +73,7 @@ def read_or_empty(spark: SparkSession, path: str, schema, formats=("parquet",))
     try:
         return read_table(spark, path, formats)
     except AnalysisException as error:
-        if not _is(error, _NO_PATH):
+        if not _no_path(error):
             raise
         return spark.createDataFrame([], schema)
 
@@ -69,7 +83,7 @@ def read_files_or_empty(spark: SparkSession, path: str, schema, fmt: str = "parq
     try:
         return spark.read.format(fmt).schema(schema).load(path)
     except AnalysisException as error:
-        if not _is(error, _NO_PATH):
+        if not _no_path(error):
             raise
         return spark.createDataFrame([], schema)
 
