@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell import session
+from tidewell.operators import keyed
+from tidewell.operators.customer_image import generate_event_files
 from tidewell.operators.table_specs import SPECS
 from tidewell.sinks import files, lake
 from tidewell.sources import avro, jdbc, stream, tables
@@ -82,6 +84,34 @@ def test_sized_files_and_manifest(spark, tmp_path):
     assert files.manifest_summary(listed).first()["actual_file_count"] == 12
 
 
+def test_event_files(spark, tmp_path):
+    path = str(tmp_path / "events")
+    summary = generate_event_files(spark, path, 3, 20, 1).first()
+    assert summary["actual_file_count"] == 3
+    rows = spark.read.parquet(path)
+    assert rows.count() == 60 and rows.select("pos").distinct().count() == 60
+    assert {r["count"] for r in rows.groupBy(F.input_file_name()).count().collect()} == {20}
+
+
+def test_bucketed_table_is_not_shuffled(spark):
+    lake.save_bucketed(spark.range(1000).withColumn("v", F.lit(1)), "bucketed_table", "id", 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = keyed.absent_by_key(spark.table("bucketed_table"), spark.range(10), "id")
+        plan = left._jdf.queryExecution().executedPlan().toString()
+        assert left.count() == 990 and plan.count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE bucketed_table")
+
+
+def test_indexed_files_are_ranges(spark, tmp_path):
+    path = str(tmp_path / "indexed")
+    lake.write_indexed(spark.range(1000).withColumn("email", F.sha1(F.col("id").cast("string"))), path, "id", ["email"])
+    ranges = spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.min("id").alias("a"), F.max("id").alias("b")).orderBy("a").collect()
+    assert all(x["b"] < y["a"] for x, y in zip(ranges, ranges[1:]))
+
+
 def test_target_size_in_one_pass(spark, tmp_path):
     df = spark.range(40000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h"))
     path = str(tmp_path / "out")

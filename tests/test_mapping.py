@@ -134,6 +134,15 @@ def test_unmatched_keys_partition_the_ids(spark, a, b):
     assert sorted(r["k"] for r in only_b.collect()) == sorted(x for x in b if x in sb - sa)
 
 
+def test_hot_keys_are_split_and_nothing_is_lost(spark):
+    many = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 100).alias("k"), "id")
+    many = many.unionByName(spark.createDataFrame([(None, -1), (555, -2)], "k long, id long"))
+    one = spark.range(101).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    assert [r["k"] for r in keyed.hot_keys(many, "k", 0.1).collect()] == [7]
+    split = keyed.join_many_to_one(many, one, "k", 0.1, 4)
+    assert keyed.differing_rows(split, many.join(one, "k")).isEmpty()
+
+
 def test_append_dedupe_rules(spark):
     stored = spark.createDataFrame([(1,), (None,)], "id int")
     new = spark.createDataFrame([(0, 1, "a"), (1, 2, "b"), (2, 2, "c"), (3, None, "d")], "n int, id int, v string")

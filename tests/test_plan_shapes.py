@@ -104,6 +104,15 @@ def test_no_cross_joins_and_no_python_rows(spark):
         assert "Python" not in text and "Pandas" not in text
 
 
+def test_only_hot_keys_are_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(keyed.join_many_to_one(orders(spark), orders(spark).select("o_custkey"), "o_custkey"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin [o_custkey" in text and text.count("LeftOuter, BuildRight") == 2
+
+
 def test_intervals_shuffle_samples_once(spark):
     samples = spark.read.parquet(f"{SF}/events.parquet")
     text = plan(metrics.state_intervals(samples, "user_id", "event_type", ["ts", "event_id"]))

@@ -96,9 +96,9 @@ def test_own_rules_with_literals_and_part_globs(spark):
     assert rows == {"x1": ("m1", {"fixed": "v"}), "zy": ("m1", {"fixed": "v"}), "abbc.q": ("m2", {"l": "q"}), "ac": (None, None)}
 
 
-@pytest.mark.parametrize("chunk", [1, 7, 60, 100000])
-def test_intervals_do_not_depend_on_chunks(spark, chunk):
-    rng = random.Random(chunk)
+@pytest.mark.parametrize("chunks", [None, 1, 2, 50, 500])
+def test_intervals_do_not_depend_on_chunks(spark, chunks):
+    rng = random.Random(chunks)
     start = dt.datetime(2024, 1, 1)
     rows, expected = [], []
     for series in ("a", "b"):
@@ -113,10 +113,15 @@ def test_intervals_do_not_depend_on_chunks(spark, chunk):
                 run = [series, state, at, at, 1]
                 expected.append(run)
     df = spark.createDataFrame(rows, "series string, ts timestamp_ntz, n int, status string")
-    got = metrics.state_intervals(df, "series", "status", ["ts", "n"], chunk).collect()
+    got = metrics.state_intervals(df, "series", "status", ["ts", "n"], chunks).collect()
     assert sorted(map(repr, (list(r) for r in got))) == sorted(map(repr, expected))
 
 
+def test_intervals_of_nothing(spark):
+    df = spark.createDataFrame([], "series string, ts timestamp_ntz, status string")
+    assert metrics.state_intervals(df, "series").count() == 0
+
+
 def test_range_last(spark):
     rng = random.Random(3)
     start = dt.datetime(2024, 1, 1)

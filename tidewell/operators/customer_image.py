@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions import codes
 from tidewell.functions.clock import ISO_OFFSET_FORMAT
 from tidewell.operators import cdc
+from tidewell.sinks.files import (
+    FILE_COUNT,
+    RECORDS_PER_FILE,
+    TARGET_FILE_MB,
+    manifest,
+    manifest_summary,
+    write_manifest,
+)
 
 TABLE_NAME = "STOCK.CUSTOMER"
 CUSTOM_ATTRIBUTES = 40
@@ -185,7 +195,30 @@ def customer_events(
 
 
 def generate_customer_events(
-    spark: SparkSession, rows: int, start: int = 1, rich_updates: bool = False
+    spark: SparkSession, rows: int, start: int = 1, rich_updates: bool = False, partitions=None
 ) -> DataFrame:
     """Envelopes for ``rows`` generated customers, ids from ``start``."""
-    return customer_events(spark.range(start, start + rows), "id", rich_updates=rich_updates)
+    ids = spark.range(start, start + rows, 1, partitions) if partitions else spark.range(start, start + rows)
+    return customer_events(ids, "id", rich_updates=rich_updates)
+
+
+def generate_event_files(
+    spark: SparkSession,
+    path: str,
+    file_count: int = FILE_COUNT,
+    records_per_file: int = RECORDS_PER_FILE,
+    target_file_mb: int = TARGET_FILE_MB,
+    mode: str = "overwrite",
+    fmt: str = "parquet",
+    run_at: dt.datetime | None = None,
+) -> DataFrame:
+    """``file_count`` files of ``records_per_file`` envelopes with a manifest; gives its summary.
+
+    Each partition of the id range is one file, so the wide rows are never shuffled.
+    """
+    events = generate_customer_events(spark, file_count * records_per_file, partitions=file_count)
+    events.write.format(fmt).option("maxRecordsPerFile", records_per_file).mode(mode).save(path)
+    run_at = run_at or dt.datetime.now(dt.timezone.utc)
+    listed = manifest(spark, path, fmt, run_at, records_per_file, target_file_mb)
+    write_manifest(listed, path)
+    return manifest_summary(listed)

@@ -97,6 +97,38 @@ def present_by_key(df: DataFrame, other: DataFrame, keys, other_keys=None) -> Da
     return df.join(side, condition, "left_semi")
 
 
+def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
+    """Keys that hold more than ``share`` of the rows: there are fewer than ``1 / share`` of them."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    total = df.select(F.count("*")).scalar()
+    return counts.where(F.col("_n") > total * F.lit(share)).select(key)
+
+
+def join_many_to_one(
+    many: DataFrame, one: DataFrame, key: str, hot_share: float = 0.01, salts: int = 64
+) -> DataFrame:
+    """Inner join on a key that ``one`` holds once and of which ``many`` may hold any number.
+
+    Rows of a hot key are dealt over ``salts`` groups, and the one matching row is copied to each,
+    so that no task gets a whole hot key, whatever the session's skew settings are. The hot keys
+    are at most ``1 / hot_share`` rows, which bounds the broadcast.
+    """
+    hot = F.broadcast(
+        hot_keys(many, key, hot_share).select(F.col(key).alias("_hot"))
+    )
+    deal = F.pmod(content_hash(many), F.lit(salts)).cast("int")
+    dealt = many.join(hot, F.col(quoted(key)) == F.col("_hot"), "left").withColumn(
+        "_salt", F.when(F.col("_hot").isNotNull(), deal).otherwise(0)
+    )
+    copies = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
+        F.array(F.lit(0))
+    )
+    copied = one.join(hot, F.col(quoted(key)) == F.col("_hot"), "left").withColumn(
+        "_salt", F.explode(copies)
+    )
+    return dealt.drop("_hot").join(copied.drop("_hot"), [key, "_salt"]).drop("_salt")
+
+
 def either_key_absent(df: DataFrame, existing: DataFrame, keys) -> DataFrame:
     """Rows that clash with ``existing`` on none of several unique keys.
 

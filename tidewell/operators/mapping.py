@@ -70,11 +70,13 @@ def update_uuid_mapping(
     sides = source.select(key, F.lit(True).alias("_source")).unionByName(
         mapping.select(key, F.lit(False).alias("_source"))
     )
-    # One grouping gives the distinct keys of both sides and where each occurs.
-    seen = (
+    # One grouping gives the distinct keys of both sides and where each occurs. It is staged, as
+    # the counts and the passes of the sample all read it.
+    seen = staged(
         sides.where(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.bool_or("_source").alias("sourced"), F.bool_or(~F.col("_source")).alias("mapped"))
+        .agg(F.bool_or("_source").alias("sourced"), F.bool_or(~F.col("_source")).alias("mapped")),
+        "keys",
     )
     counts = seen.agg(F.count_if("sourced").alias("total"), F.count_if("mapped").alias("mapped")).first()
     total, existing = counts["total"], counts["mapped"]

@@ -7,6 +7,8 @@ import os
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.operators.keyed import join_many_to_one
+
 SALT_VARIABLE = "TIDEWELL_MASK_SALT"
 
 
@@ -33,6 +35,12 @@ def mask_tables(tables: dict[str, tuple[DataFrame, str]], salt: str) -> dict[str
     return {name: mask_column(df, key, salt) for name, (df, key) in tables.items()}
 
 
-def join_masked(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Inner join of two masked tables on the masked key."""
+def join_masked(left: DataFrame, right: DataFrame, key: str, hot_share: float | None = None):
+    """Inner join of two masked tables on the masked key.
+
+    With ``hot_share``, ``right`` must hold each key once, and keys of ``left`` beyond that share
+    of its rows are split over several tasks; without it AQE's skew join is relied on.
+    """
+    if hot_share is not None:
+        return join_many_to_one(left, right, key, hot_share)
     return left.join(right, key, "inner")

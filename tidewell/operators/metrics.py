@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -165,26 +166,42 @@ def last_status(samples: DataFrame, key: str) -> DataFrame:
     return current.select(key, "status", status_text(F.col("status")).alias("last_status"))
 
 
+def _time_chunks(samples: DataFrame, time: str, chunks: int | None) -> DataFrame:
+    """The samples with a ``_chunk`` number that rises with time (``_at``, in microseconds).
+
+    The cuts are quantiles of all times, so a chunk holds about an equal share of the samples
+    however they are spread over time and series.
+    """
+    spark = samples.sparkSession
+    chunks = chunks or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    timed = samples.withColumn("_at", micros(F.col(time)).cast("double"))
+    shares = [i / chunks for i in range(1, chunks)] or [0.5]
+    cuts = timed.agg(F.percentile_approx("_at", shares, 10 * chunks).alias("c")).first()["c"]
+    splits = [-float("inf"), *sorted(set(cuts or [0.0])), float("inf")]
+    return Bucketizer(
+        splits=splits, inputCol="_at", outputCol="_chunk", handleInvalid="keep"
+    ).transform(timed)
+
+
 def state_intervals(
-    samples: DataFrame, series, state: str = "status", order=("ts",), chunk_seconds: int = 3600
+    samples: DataFrame, series, state: str = "status", order=("ts",), chunks: int | None = None
 ) -> DataFrame:
     """Runs of equal states: ``series, state, start_ts, end_ts, samples``.
 
     ``order`` must place the samples of a series uniquely and start with the time. Runs are found
-    inside time chunks first, which spreads a long series over many tasks. Only the first and last
-    run of each chunk can go on in another chunk, and only those, at most two per chunk, are put
-    in order per series.
+    inside time chunks of about equal size first, so that a series with most of the samples is
+    spread over many tasks. Only the first and last run of a chunk can go on in another chunk, and
+    only those, at most two per chunk, are put in order per series. By default there are two
+    chunks per shuffle partition.
     """
     series, order = as_list(series), as_list(order)
-    chunk = F.floor(micros(F.col(order[0])) / F.lit(chunk_seconds * 1_000_000)).alias("_chunk")
-    rows = samples.select(*series, state, *order, chunk)
-    inside = Window.partitionBy(*series, "_chunk").orderBy(*order)
-    begins = F.coalesce((~F.col(state).eqNullSafe(F.lag(state).over(inside))).cast("int"), F.lit(1))
-    begins = F.when(F.row_number().over(inside) == 1, 1).otherwise(begins)
-    numbered = rows.withColumn("_begins", begins).withColumn(
-        "_run", F.sum("_begins").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    )
     time = order[0]
+    rows = _time_chunks(samples.select(*series, state, *order), time, chunks).drop("_at")
+    inside = Window.partitionBy(*series, "_chunk").orderBy(*order)
+    same = F.col(state).eqNullSafe(F.lag(state).over(inside))
+    begins = F.when(F.row_number().over(inside) == 1, 1).when(same, 0).otherwise(1)
+    running = inside.rowsBetween(Window.unboundedPreceding, 0)
+    numbered = rows.withColumn("_begins", begins).withColumn("_run", F.sum("_begins").over(running))
     runs = numbered.groupBy(*series, "_chunk", "_run").agg(
         F.first(state).alias(state),
         F.min(time).alias("start_ts"),
@@ -195,17 +212,15 @@ def state_intervals(
     runs = runs.withColumn("_edge", (F.col("_run") == 1) | (F.col("_run") == last_run))
     columns = [*series, state, "start_ts", "end_ts", "samples"]
     inner = runs.where("not _edge").select(*columns)
-    edges = runs.where("_edge")
     along = Window.partitionBy(*series).orderBy("_chunk", "_run")
-    goes_on = (
-        F.col(state).eqNullSafe(F.lag(state).over(along))
-        & (F.lag("_chunk").over(along) != F.col("_chunk"))
+    goes_on = F.col(state).eqNullSafe(F.lag(state).over(along)) & (
+        F.lag("_chunk").over(along) != F.col("_chunk")
     )
-    joined = edges.withColumn("_new", F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1))
-    joined = joined.withColumn(
+    edges = runs.where("_edge").withColumn("_new", F.when(goes_on, 0).otherwise(1))
+    grouped = edges.withColumn(
         "_group", F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, 0))
     )
-    merged = joined.groupBy(*series, "_group").agg(
+    merged = grouped.groupBy(*series, "_group").agg(
         F.first(state).alias(state),
         F.min("start_ts").alias("start_ts"),
         F.max("end_ts").alias("end_ts"),

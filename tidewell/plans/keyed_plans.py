@@ -322,24 +322,46 @@ FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY ALL
 """,
 )
 def mask_join(spark, sf):
-    tables = masking.mask_tables(
-        {
-            "customers": (
-                load(spark, sf, "customer").select(F.col("c_custkey").alias("cust_key"), "c_mktsegment"),
-                "cust_key",
-            ),
-            "orders": (
-                load(spark, sf, "orders").select(F.col("o_custkey").alias("cust_key"), "o_totalprice"),
-                "cust_key",
-            ),
-        },
-        SALT,
+    tables = masked_tables(spark, sf)
+    # Orders are summed per key before the join: a customer with most orders joins as one row.
+    total = F.sum(F.col("o_totalprice").cast("decimal(18,2)"))
+    per_key = tables["orders"].groupBy("cust_key").agg(
+        F.count("*").alias("orders"), total.cast("double").alias("total")
     )
-    joined = masking.join_masked(tables["orders"], tables["customers"], "cust_key")
-    total = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double")
-    return joined.groupBy("cust_key", "c_mktsegment").agg(
-        F.count("*").alias("orders"), total.alias("total")
+    return masking.join_masked(per_key, tables["customers"], "cust_key")
+
+
+def masked_tables(spark, sf):
+    customers = load(spark, sf, "customer").select(F.col("c_custkey").alias("cust_key"), "c_mktsegment")
+    orders = load(spark, sf, "orders").select(
+        F.col("o_custkey").alias("cust_key"), "o_orderkey", "o_totalprice"
     )
+    return masking.mask_tables(
+        {"customers": (customers, "cust_key"), "orders": (orders, "cust_key")}, SALT
+    )
+
+
+@query(
+    "mask_join_rows",
+    f"""
+SELECT sha256('{SALT}' || CAST(c_custkey AS VARCHAR)) AS cust_key, c_mktsegment, o_orderkey, o_totalprice
+FROM customer JOIN orders ON o_custkey = c_custkey
+""",
+)
+def mask_join_rows(spark, sf):
+    """The joined rows, with customers of more than 0.1 % of the orders split over tasks."""
+    tables = masked_tables(spark, sf)
+    return masking.join_masked(tables["orders"], tables["customers"], "cust_key", 0.001)
+
+
+@query(
+    "hot_keys",
+    """
+SELECT user_id FROM events GROUP BY user_id HAVING count(*) > 0.007 * (SELECT count(*) FROM events)
+""",
+)
+def hot_keys(spark, sf):
+    return keyed.hot_keys(load(spark, sf, "events"), "user_id", 0.007)
 
 
 @query(

@@ -248,7 +248,7 @@ def status_timeline(spark, sf):
         gauge_samples(spark, sf), match={"status": "success|failed|running"}
     ).where("value > 0")
     day = metrics.with_labels(metrics.within(shown, metrics.DAY, AS_OF), ["dag_id", "status"])
-    return metrics.state_intervals(day, "dag_id", "status", ["ts", "event_id"], 3600)
+    return metrics.state_intervals(day, "dag_id", "status", ["ts", "event_id"])
 
 
 @query(
@@ -265,7 +265,7 @@ FROM runs GROUP BY event_type, run
 def state_intervals(spark, sf):
     """One series that holds every event, the worst case for a window per series."""
     rows = load(spark, sf, "events").withColumn("series", F.lit("all"))
-    return metrics.state_intervals(rows, "series", "event_type", ["ts", "event_id"], 600)
+    return metrics.state_intervals(rows, "series", "event_type", ["ts", "event_id"])
 
 
 # Every rule name is hit, and some names fit none or two rules.

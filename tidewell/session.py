@@ -18,6 +18,10 @@ DEFAULTS = {
     # The JVM does not compile methods beyond 8,000 bytes: wide projections then run faster
     # as several smaller methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Streaming state lives outside the heap, so its size is not bound by executor memory.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # Partition values keep the text of the directory name; catalogs declare them as strings.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }

@@ -89,6 +89,25 @@ def save_as_table(df: DataFrame, name: str, path: str | None = None, mode="overw
     writer.saveAsTable(name)
 
 
+def save_bucketed(df: DataFrame, name: str, keys, buckets: int, mode: str = "overwrite") -> None:
+    """A metastore table hashed and sorted by key: joins and upserts on it do not shuffle it.
+
+    Rows are first brought to their buckets, which leaves one file per bucket.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    df.repartition(buckets, *keys).write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+
+
+def write_indexed(df: DataFrame, path: str, sort_by, lookup=(), mode: str = "error") -> None:
+    """Files for point lookups: ranges of ``sort_by`` per file, so that statistics skip files, and
+    Bloom filters on the ``lookup`` columns."""
+    sort_by = [sort_by] if isinstance(sort_by, str) else list(sort_by)
+    writer = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by).write.mode(mode)
+    for column in lookup:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    writer.parquet(path)
+
+
 class VersionedTable:
     """Whole-table replacement that never touches the files being read.
 
