@@ -145,19 +145,31 @@ def run_table(
     """Per id: greatest status value, success and failure totals, last duration in the window.
 
     ``status`` has ``key, status, value`` and the ``details`` columns; ``durations`` has
-    ``key, ts, value``. Conditional sums replace three separate aggregates; a series is one id
-    with one set of details.
+    ``key, ts, value``. One pass over the statuses gives all three figures.
     """
     details = as_list(details)
-    totals = status.groupBy(key, *details).agg(F.max("value").alias("dag_list"))
-    sums = status.groupBy(key).agg(
-        F.sum(F.when(F.col("status") == "success", F.col("value"))).alias("total_success"),
-        F.sum(F.when(F.col("status") == "failed", F.col("value"))).alias("total_failed"),
+
+    def total(state: str) -> Column:
+        return F.sum(F.when(F.col("status") == state, F.col("value")))
+
+    per_series = status.groupBy(key, *details).agg(
+        F.max("value").alias("dag_list"),
+        total("success").alias("_success"),
+        total("failed").alias("_failed"),
+    )
+    # Totals per id run over the grouped series, of which an id has few.
+    by_id = Window.partitionBy(key)
+    table = per_series.select(
+        key,
+        *details,
+        "dag_list",
+        F.sum("_success").over(by_id).alias("total_success"),
+        F.sum("_failed").over(by_id).alias("total_failed"),
     )
     last = last_over_time(durations, key, seconds, as_of).select(
         key, F.col("value").alias("last_duration")
     )
-    return totals.join(sums, key, "full_outer").join(last, key, "full_outer")
+    return table.join(last, key, "full_outer")
 
 
 def last_status(samples: DataFrame, key: str) -> DataFrame:

@@ -78,8 +78,8 @@ def duplicate_stats(df: DataFrame, columns) -> DataFrame:
 def run_suite(df: DataFrame, rules: list[dict]) -> DataFrame:
     """One row per rule: ``rule, column, observed, threshold, passed``.
 
-    All counting rules share one aggregate over one scan; each uniqueness rule adds a grouping of
-    its own column; schema rules cost no job.
+    All counting rules share one aggregate over one scan; the uniqueness rules of a column share
+    one grouping of that column; schema rules cost no job.
     """
     spark = df.sparkSession
     parts = []
@@ -90,10 +90,13 @@ def run_suite(df: DataFrame, rules: list[dict]) -> DataFrame:
         totals = df.agg(*[_observed(r).alias(f"v{i}") for i, r in enumerate(counted)])
         entries = [_entry(r, F.col(f"v{i}")) for i, r in enumerate(counted)]
         parts.append(totals.select(F.inline(F.array(*entries))))
-    for rule in unique_rules:
-        stats = duplicate_stats(df, rule["column"])
-        observed = F.col("rows" if rule["rule"] == "unique" else "groups")
-        parts.append(stats.select(F.inline(F.array(_entry(rule, observed)))))
+    for column in dict.fromkeys(r["column"] for r in unique_rules):
+        entries = [
+            _entry(r, F.col("rows" if r["rule"] == "unique" else "groups"))
+            for r in unique_rules
+            if r["column"] == column
+        ]
+        parts.append(duplicate_stats(df, column).select(F.inline(F.array(*entries))))
     if schema_rules:
         fields = {f.name: f.dataType for f in df.schema.fields}
         rows = []

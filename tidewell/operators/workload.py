@@ -9,6 +9,7 @@ from tidewell.functions import draws
 from tidewell.functions.text import quoted
 from tidewell.operators.cdc import changed_image, image_struct
 from tidewell.operators.sampling import first_n, sample_exact, with_rank
+from tidewell.session import staged
 
 # Rows per run and per commit of the large and of the small workload.
 LARGE = {"updates": 100, "deletes": 10, "batch": 10}
@@ -43,6 +44,8 @@ def change_events(
         chosen, doomed = first_n(table, key, updates), first_n(table, key, deletes)
     else:
         raise ValueError(f"unknown pick {pick}")
+    # The picks are staged: what follows reads these few rows and not the table again.
+    chosen, doomed = staged(chosen, "updates"), staged(doomed, "deletes")
     image = image_struct(table)
     new = changed_image(image, changes)
     update_rows = with_rank(

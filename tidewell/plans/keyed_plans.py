@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.operators import keyed, mapping, masking, sampling
@@ -408,15 +411,20 @@ def mapping_sizes(spark, sf):
     first = mapping.update_uuid_mapping(orders, empty, "o_custkey", SALT, 0.25).mapping
     second = mapping.update_uuid_mapping(orders, first, "o_custkey", SALT, 0.5).mapping
     kept = second.join(first, ["o_custkey", "uuid"], "left_semi")
-
-    def sizes(step, df, kept_rows):
-        size = df.agg(F.count("*").alias("mapped"), F.count_distinct("uuid").alias("uuids"))
-        held = kept_rows.agg(F.count("*").alias("kept"))
-        return size.select(F.lit(step).alias("step"), "mapped", "uuids").join(
-            held.select(F.lit(step).alias("step"), "kept"), "step"
+    tagged = [
+        first.select(F.lit(1).alias("step"), "o_custkey", "uuid", F.lit(0).alias("kept")),
+        second.select(F.lit(2).alias("step"), "o_custkey", "uuid", F.lit(0).alias("kept")),
+        kept.select(F.lit(2).alias("step"), "o_custkey", "uuid", F.lit(1).alias("kept")),
+    ]
+    return (
+        reduce(DataFrame.unionByName, tagged)
+        .groupBy("step")
+        .agg(
+            F.count_if(F.col("kept") == 0).alias("mapped"),
+            F.count_distinct("uuid").alias("uuids"),
+            F.sum("kept").alias("kept"),
         )
-
-    return sizes(1, first, first.limit(0)).unionByName(sizes(2, second, kept))
+    )
 
 
 @query(

@@ -214,11 +214,10 @@ def customer_event_files(spark, sf):
     files.write_sized(events, path, 4, files.RECORDS_PER_FILE)
     listed = files.manifest(spark, path, "parquet", AS_OF)
     files.write_manifest(listed, path)
-    summary = files.manifest_summary(listed).select(F.col("actual_file_count").alias("files"))
-    rows = spark.read.parquet(path).agg(F.count("*").alias("rows"))
-    return summary.select("files", F.lit(1).alias("k")).join(
-        rows.select("rows", F.lit(1).alias("k")), "k"
-    ).drop("k")
+    counted = listed.select(F.lit(1).alias("files"), F.lit(0).alias("rows")).unionByName(
+        spark.read.parquet(path).select(F.lit(0).alias("files"), F.lit(1).alias("rows"))
+    )
+    return counted.agg(F.sum("files").alias("files"), F.sum("rows").alias("rows"))
 
 
 def customer_workload(spark, sf, pick="random"):
