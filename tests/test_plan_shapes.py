@@ -45,6 +45,11 @@ def test_day_filter_reaches_the_scan(spark):
     assert "GreaterThanOrEqual(o_orderdate" in text and "LessThan(o_orderdate" in text
 
 
+def test_named_parameter_reaches_the_scan(spark):
+    text = plan(io_plans.sql_over_files(spark, SF))
+    assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in text
+
+
 def test_partition_filter_prunes_folders(spark):
     path = io_plans.orders_by_year(spark, SF)
     text = plan(tables.read_partition(spark, path, "year", "1995"))

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewell.functions.clock import duration_seconds, micros
 from tidewell.operators import metrics, quality, reconcile
 from tidewell.operators.metric_rules import METRIC_RULES
 
@@ -96,10 +97,28 @@ def test_own_rules_with_literals_and_part_globs(spark):
     assert rows == {"x1": ("m1", {"fixed": "v"}), "zy": ("m1", {"fixed": "v"}), "abbc.q": ("m2", {"l": "q"}), "ac": (None, None)}
 
 
+@pytest.fixture(params=["UTC", "America/New_York"])
+def zone(spark, request):
+    """A session zone; the samples below run over an hour that New York's clock skips."""
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_micros_and_durations_need_no_zone(spark, zone):
+    rows = [(dt.datetime(2024, 3, 10, 1, 59, 59, 999999), dt.datetime(2024, 3, 10, 3)),
+            (dt.datetime(1969, 12, 31, 23, 59, 59, 500000), dt.datetime(1970, 1, 2, 3, 4, 5, 6)), (None, dt.datetime(2024, 1, 1))]
+    df = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz")
+    got = df.select(micros(F.col("a")), duration_seconds(F.col("a"), F.col("b"))).collect()
+    epoch, us = dt.datetime(1970, 1, 1), dt.timedelta(microseconds=1)
+    assert [tuple(r) for r in got] == [
+        ((a - epoch) // us, (b - a) / dt.timedelta(seconds=1)) if a else (None, None) for a, b in rows]
+
+
 @pytest.mark.parametrize("chunks", [None, 1, 2, 50, 500])
-def test_intervals_do_not_depend_on_chunks(spark, chunks):
+def test_intervals_do_not_depend_on_chunks(spark, zone, chunks):
     rng = random.Random(chunks)
-    start = dt.datetime(2024, 1, 1)
+    start = dt.datetime(2024, 3, 10, 1, 55)
     rows, expected = [], []
     for series in ("a", "b"):
         at, run = start, None
@@ -122,9 +141,9 @@ def test_intervals_of_nothing(spark):
     assert metrics.state_intervals(df, "series").count() == 0
 
 
-def test_range_last(spark):
+def test_range_last(spark, zone):
     rng = random.Random(3)
-    start = dt.datetime(2024, 1, 1)
+    start = dt.datetime(2024, 3, 10, 1, 50)
     rows = [("s", start + dt.timedelta(seconds=rng.randrange(2000)), float(n)) for n in range(40)]
     rows.append(("s", start, 99.0))
     df = spark.createDataFrame(rows, "series string, ts timestamp_ntz, value double")

@@ -17,6 +17,12 @@ _OFFSET_TEXT = (
 )
 
 
+def wall_literal(moment: dt.datetime) -> Column:
+    """A wall-clock constant. It goes through text: a datetime literal would be moved by the
+    session zone."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def event_ts(col: Column) -> Column:
     """Event text with up to nine fractional digits to TIMESTAMP_NTZ; digits past six are cut."""
     return F.regexp_replace(col, r"(\.\d{6})\d+$", "$1").cast("timestamp_ntz")
@@ -54,19 +60,39 @@ def wall_clock(text: Column) -> Column:
 def on_day(ts: Column, day: str | dt.date) -> Column:
     """Rows of one day as a half-open range, which a scan can push down."""
     day = dt.date.fromisoformat(day) if isinstance(day, str) else day
-    start = F.lit(dt.datetime.combine(day, dt.time())).cast("timestamp_ntz")
-    end = F.lit(dt.datetime.combine(day + dt.timedelta(days=1), dt.time())).cast("timestamp_ntz")
+    start = wall_literal(dt.datetime.combine(day, dt.time()))
+    end = wall_literal(dt.datetime.combine(day + dt.timedelta(days=1), dt.time()))
     return (ts >= start) & (ts < end)
 
 
+EPOCH = dt.datetime(1970, 1, 1)
+
+
+def _interval_micros(interval: Column) -> Column:
+    """A day-time interval in microseconds."""
+    seconds = (
+        F.extract(F.lit("DAY"), interval) * 86400
+        + F.extract(F.lit("HOUR"), interval).cast("long") * 3600
+        + F.extract(F.lit("MINUTE"), interval).cast("long") * 60
+    )
+    fraction = F.extract(F.lit("SECOND"), interval) * 1_000_000
+    return seconds.cast("long") * 1_000_000 + fraction.cast("long")
+
+
 def micros(ts: Column) -> Column:
-    """Microseconds since 1970; wall-clock values are read in the session zone."""
-    return F.unix_micros(ts.cast("timestamp"))
+    """Microseconds since 1970. Wall-clock values are counted without a zone, so they keep their
+    order where a zone's clock jumps."""
+    return _interval_micros(ts - wall_literal(EPOCH))
+
+
+def from_seconds(seconds: Column) -> Column:
+    """The wall-clock time so many seconds after 1970 began."""
+    return F.timestamp_add("SECOND", seconds, wall_literal(EPOCH))
 
 
 def duration_seconds(start: Column, end: Column) -> Column:
     """Seconds from start to end, with fractions; NULL if either is missing."""
-    return (micros(end) - micros(start)) / F.lit(1e6)
+    return _interval_micros(end - start) / F.lit(1e6)
 
 
 def add_days(ts: Column, days: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewell.functions.clock import wall_literal
 from tidewell.functions.codes import operation_code
 from tidewell.functions.text import quoted
 from tidewell.operators.keyed import absent_by_key, as_list, latest_per_key, present_by_key
@@ -268,7 +269,7 @@ def schema_changes(spark, table: str, old: T.StructType, new: T.StructType) -> D
 def log_schema_change(changes: DataFrame, at: dt.datetime) -> DataFrame:
     """One open log row per changed table."""
     return changes.select("table_name").distinct().select(
-        "table_name", F.lit(at).cast("timestamp_ntz").alias("change_time"), F.lit(0).alias("processed")
+        "table_name", wall_literal(at).alias("change_time"), F.lit(0).alias("processed")
     )
 
 

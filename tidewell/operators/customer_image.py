@@ -23,11 +23,12 @@ TABLE_NAME = "STOCK.CUSTOMER"
 CUSTOM_ATTRIBUTES = 40
 
 # The named fields of the image in record order, each as a SQL expression over
-# `id` (the customer id) and `now` (the run time as text); {name} is the full name.
-# Padding never cuts: ids longer than the pad keep all their digits.
+# `id` (the customer id) and `now` (the run time as text); {name} stands for the full name.
+# `text` is the id as text; {pad8} is it padded with zeros to eight digits, and so on. Padding
+# never cuts: ids longer than the pad keep all their digits.
 IMAGE_FIELDS = r"""
 customer_id = id
-customer_code = format_string('CUST%07d', id)
+customer_code = concat('CUST', {pad7})
 customer_type = 'INDIVIDUAL'
 full_name = {name}
 short_name = {name}
@@ -35,28 +36,28 @@ gender = CASE WHEN id % 2 = 0 THEN 'M' ELSE 'F' END
 date_of_birth = '1990-05-20'
 nationality = 'VN'
 marital_status = 'SINGLE'
-tax_code = format_string('TAX%08d', id)
+tax_code = concat('TAX', {pad8})
 customer_status = 'ACTIVE'
 risk_level = CASE WHEN id % 5 = 0 THEN 'HIGH' ELSE 'MEDIUM' END
 segment = 'RETAIL'
-branch_code = format_string('BR%03d', id % 20)
-broker_code = format_string('BRK%03d', id % 100)
-account_no = format_string('ACC%010d', id)
-trading_account_no = format_string('TRADE%010d', id)
-custody_account_no = format_string('CSD%010d', id)
-email = format_string('customer%d@example.com', id)
-mobile_phone = substring(format_string('09%08d', id), 1, 10)
+branch_code = concat('BR', lpad(id % 20, 3, '0'))
+broker_code = concat('BRK', lpad(id % 100, 3, '0'))
+account_no = concat('ACC', {pad10})
+trading_account_no = concat('TRADE', {pad10})
+custody_account_no = concat('CSD', {pad10})
+email = concat('customer', text, '@example.com')
+mobile_phone = substring(concat('09', {pad8}), 1, 10)
 home_phone = CAST(NULL AS STRING)
 office_phone = CAST(NULL AS STRING)
 fax = CAST(NULL AS STRING)
-address_line1 = format_string('%d Nguyen Hue Boulevard', id)
+address_line1 = concat(text, ' Nguyen Hue Boulevard')
 address_line2 = 'Tower A, Floor 12'
 ward = 'Ben Nghe'
 district = 'District 1'
 province = 'Ho Chi Minh City'
 country = 'Vietnam'
 postal_code = '700000'
-contact_person = format_string('Contact %d', id)
+contact_person = concat('Contact ', text)
 occupation = 'Engineer'
 company_name = 'Example Securities Client Company'
 job_title = 'Senior Specialist'
@@ -75,14 +76,14 @@ fatca_country = CAST(NULL AS STRING)
 crs_flag = false
 crs_country = CAST(NULL AS STRING)
 id_type = 'CCCD'
-id_number = substring(format_string('0790%08d', id), 1, 12)
+id_number = substring(concat('0790', {pad8}), 1, 12)
 id_issue_date = '2022-07-15'
 id_issue_place = 'Cuc Canh Sat QLHC'
 id_expiry_date = '2037-07-15'
 passport_number = CAST(NULL AS STRING)
 passport_issue_date = CAST(NULL AS STRING)
 passport_expiry_date = CAST(NULL AS STRING)
-bank_account_no = substring(format_string('9704%012d', id), 1, 16)
+bank_account_no = substring(concat('9704', {pad12}), 1, 16)
 bank_name = 'VCB'
 bank_branch = 'Sai Gon'
 settlement_method = 'BANK_TRANSFER'
@@ -94,7 +95,7 @@ available_limit = '95000000'
 portfolio_value = '230000000.75'
 realized_pnl = '1200000.25'
 unrealized_pnl = '3500000.10'
-last_trade_date = date_format(date_add(DATE'2024-10-01', CAST(id % 120 AS INT)), 'yyyy-MM-dd')
+last_trade_date = CAST(date_add(DATE'2024-10-01', CAST(id % 120 AS INT)) AS STRING)
 last_login_ts = now
 preferred_language = 'vi'
 preferred_channel = 'MOBILE_APP'
@@ -106,9 +107,9 @@ vip_flag = id % 10 = 0
 priority_flag = id % 7 = 0
 blacklist_flag = false
 fraud_flag = false
-relationship_manager = format_string('RM%03d', id % 100)
-referral_code = format_string('REF%03d', id % 1000)
-referrer_name = format_string('Referrer %d', id)
+relationship_manager = concat('RM', lpad(id % 100, 3, '0'))
+referral_code = concat('REF', lpad(id % 1000, 3, '0'))
+referrer_name = concat('Referrer ', text)
 opened_date = '2024-06-01'
 closed_date = CAST(NULL AS STRING)
 created_by = 'SYSTEM'
@@ -117,9 +118,9 @@ updated_by = 'SYSTEM'
 updated_ts = now
 approved_by = 'SUPERVISOR01'
 approved_ts = now
-remark = repeat(concat('Customer profile for ', {name}, '. Stock company customer record. customer_id=', id, '. '), 3)
+remark = repeat(concat('Customer profile for ', {name}, '. Stock company customer record. customer_id=', text, '. '), 3)
 source_system = 'CORE_CRM'
-external_customer_id = format_string('EXT%08d', id)
+external_customer_id = concat('EXT', {pad8})
 trading_permission = 'Y'
 derivative_permission = 'N'
 bond_permission = 'Y'
@@ -131,7 +132,7 @@ securities_depository_flag = true
 
 # What an update also sets in the after image.
 UPDATE_CHANGES = {
-    "email": "format_string('updated_%d@example.com', id)",
+    "email": "concat('updated_', text, '@example.com')",
     "risk_level": "'HIGH'",
     "updated_by": "'BATCH_JOB'",
 }
@@ -144,15 +145,18 @@ def image_expressions() -> dict[str, str]:
     )
     for i in range(1, CUSTOM_ATTRIBUTES + 1):
         fields[f"custom_attr_{i:03d}"] = (
-            f"concat('custom-value-', id, '-{i} | Customer profile payload attribute-sequence={i}')"
+            f"concat('custom-value-', text, '-{i} | Customer profile payload attribute-sequence={i}')"
         )
     return fields
 
 
+_PADS = {f"pad{n}": f"lpad(text, greatest({n}, length(text)), '0')" for n in (7, 8, 10, 12)}
+
+
 def customer_image(name: str, changes: dict[str, str] | None = None) -> Column:
-    """The image over columns ``id`` and ``now``; ``name`` is the SQL of the full name."""
+    """The image over columns ``id``, ``text`` and ``now``; ``name`` is the SQL of the full name."""
     fields = {**image_expressions(), **(changes or {})}
-    return F.struct(*[F.expr(v.format(name=name)).alias(f) for f, v in fields.items()])
+    return F.struct(*[F.expr(v.format(name=name, **_PADS)).alias(f) for f, v in fields.items()])
 
 
 def customer_events(
@@ -167,12 +171,13 @@ def customer_events(
     stamp = F.date_format(F.current_timestamp() if now is None else now, ISO_OFFSET_FORMAT)
     rows = ids.select(
         F.col(key).cast("long").alias("id"),
+        F.col(key).cast("string").alias("text"),
         stamp.alias("now"),
         codes.operation_by_modulo(F.col(key)).alias("op"),
     )
 
     def name(suffix: str) -> str:
-        return f"concat('Customer ', id, CASE WHEN op = 'U' THEN '{suffix}' ELSE '' END)"
+        return f"concat('Customer ', text, CASE WHEN op = 'U' THEN '{suffix}' ELSE '' END)"
 
     plain = image_expressions()
     changes = {

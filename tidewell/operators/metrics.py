@@ -9,7 +9,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.functions.clock import duration_seconds, micros
+from tidewell.functions.clock import duration_seconds, from_seconds, micros, wall_literal
 from tidewell.functions.codes import run_status_code, status_text, task_status_code
 from tidewell.functions.text import whole_match
 from tidewell.operators.keyed import as_list
@@ -45,7 +45,7 @@ def select_samples(
 def _end(samples: DataFrame, as_of: dt.datetime | None) -> Column:
     """The evaluation time: given, or the last sample's time as a scalar subquery."""
     if as_of is not None:
-        return F.lit(as_of).cast("timestamp_ntz")
+        return wall_literal(as_of)
     return samples.select(F.max("ts")).scalar()
 
 
@@ -100,7 +100,7 @@ def range_last(samples: DataFrame, series, step: int, lookback: int) -> DataFram
     copies = F.sequence(F.col("_step"), F.col("_step") + F.lit(lookback // step - 1))
     spread = reduced.select(*series, F.explode(copies).alias("_step"), "_last")
     best = spread.groupBy(*series, "_step").agg(F.max("_last").alias("_last"))
-    at = F.timestamp_seconds(F.col("_step") * step).cast("timestamp_ntz")
+    at = from_seconds(F.col("_step") * step)
     return best.select(*series, at.alias("ts"), F.col("_last.value").alias("value"))
 
 
@@ -259,7 +259,7 @@ def status_gauges(runs: DataFrame, id_column: str, kind: str = "task", as_of=Non
     """
     code = {"task": task_status_code, "run": run_status_code}[kind]
     metric, label = {"task": ("TI_stats", "Task"), "run": ("DAG_stats", "DAG")}[kind]
-    now = F.localtimestamp() if as_of is None else F.lit(as_of).cast("timestamp_ntz")
+    now = F.localtimestamp() if as_of is None else wall_literal(as_of)
     status = F.coalesce(F.col("state"), F.lit("unknown"))
     at = F.coalesce(F.col("end_date").cast("timestamp_ntz"), now)
     # A run whose id equals a fixed label name keeps the status under that name, as a later label.

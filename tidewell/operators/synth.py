@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions import draws
+from tidewell.functions.clock import wall_literal
 from tidewell.functions.numbers import cash_total, trade_total
 
 FIRST_NAMES = "Ada Ben Cleo Dan Eva Finn Gia Hugo Ida Jon Kim Leo Mia Nam Ola Pia Quy Rob Sue Tam".split()
@@ -124,7 +125,7 @@ def _base(name: str, kind: str, args: tuple, key: Column, seed: int, as_of: dt.d
         return F.concat(F.lit(prefix), draws.whole(h(), low, high).cast("string"))
     if kind in ("day", "moment"):
         low, high = args
-        start = F.lit(as_of).cast("timestamp_ntz")
+        start = wall_literal(as_of)
         if kind == "day":
             return F.date_add(start.cast("date"), draws.whole(h(), low, high).cast("int"))
         return F.timestamp_add("SECOND", draws.whole(h(), low * 86400, high * 86400), start)

@@ -250,8 +250,8 @@ WHERE r = 1 AND event_type <> 'error'
 def merge_with_markers(spark, sf):
     """A state built from the late part first, then the early part, which must change little."""
     log = user_change_log(spark, sf)
-    early = log.where(F.col("ts") < F.lit(dt.datetime(2024, 1, 16)).cast("timestamp_ntz"))
-    late = log.where(F.col("ts") >= F.lit(dt.datetime(2024, 1, 10)).cast("timestamp_ntz"))
+    early = log.where(F.col("ts") < clock.wall_literal(dt.datetime(2024, 1, 16)))
+    late = log.where(F.col("ts") >= clock.wall_literal(dt.datetime(2024, 1, 10)))
     order = ["ts", "event_id"]
     state = cdc.latest_changes(late, "user_id", order)
     merged = cdc.merge_with_markers(state, early, "user_id", order)

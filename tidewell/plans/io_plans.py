@@ -38,7 +38,10 @@ def partition_prune(spark, sf):
 )
 def sql_over_files(spark, sf):
     rows = tables.sql_over_files(
-        spark, f"{sf}/orders.parquet", "o_orderdate >= :since", since=dt.datetime(1997, 1, 1)
+        spark,
+        f"{sf}/orders.parquet",
+        "o_orderdate >= CAST(:since AS TIMESTAMP_NTZ)",
+        since="1997-01-01",
     )
     return rows.select("o_orderkey", "o_custkey")
 
