@@ -48,13 +48,10 @@ def wall_clock(text: Column) -> Column:
 
     NULL stays NULL. Text without an offset, or that is no date, fails the query.
     """
-    local = F.regexp_extract(text, _OFFSET_TEXT, 1)
+    # Text that does not match gives an empty local part, which is no timestamp.
+    local = F.upper(F.regexp_extract(text, _OFFSET_TEXT, 1)).try_cast("timestamp_ntz")
     bad = F.raise_error(F.concat(F.lit("not a date-time with offset: "), text))
-    return (
-        F.when(text.isNull(), F.lit(None).cast("timestamp_ntz"))
-        .when(local == "", bad.cast("timestamp_ntz"))
-        .otherwise(F.upper(local).cast("timestamp_ntz"))
-    )
+    return F.when(text.isNotNull(), F.coalesce(local, bad.cast("timestamp_ntz")))
 
 
 def on_day(ts: Column, day: str | dt.date) -> Column:

@@ -432,3 +432,39 @@ UNION ALL SELECT s_name, -s_suppkey - 1, 1 FROM supplier
 )
 def schema_log_marked(spark, sf):
     return cdc.mark_processed(_schema_log(spark, sf))
+
+
+@query(
+    "cdc_final_values_scalar",
+    f"""
+WITH {ORDER_EVENTS_SQL}
+SELECT o_orderkey, CASE WHEN op_type = 'D' THEN old_status ELSE status END AS o_orderstatus, op_type FROM ev
+""",
+)
+def final_values_scalar(spark, sf):
+    """The form for frames that hold one operation each."""
+    events = order_events(spark, sf)
+    fields = ["o_orderkey", "o_orderstatus"]
+    parts = [
+        cdc.final_values_for(events.where(F.col("op_type") == op), op, fields) for op in ("I", "U", "D")
+    ]
+    return cdc.union_all(parts).select(*fields, "op_type")
+
+
+@query(
+    "cdc_tombstones",
+    """
+SELECT CASE WHEN o_orderstatus = 'P' THEN 'tombstone' ELSE 'event' END AS kind, count(*) AS n
+FROM orders GROUP BY ALL
+""",
+)
+def tombstones(spark, sf):
+    """Records of pending orders lose both images and are routed apart."""
+    image = F.struct("o_orderkey", "o_orderstatus")
+    kept = F.when(F.col("o_orderstatus") != "P", image)
+    records = load(spark, sf, "orders").select(kept.alias("before"), kept.alias("after"))
+    events, empty = cdc.split_tombstones(records)
+    tagged = events.select(F.lit("event").alias("kind")).unionByName(
+        empty.select(F.lit("tombstone").alias("kind"))
+    )
+    return tagged.groupBy("kind").agg(F.count("*").alias("n"))

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tidewell.operators import cdc
 from tidewell.plans.cdc_plans import order_events, user_change_log
 from tidewell.plans.registry import load, query
 from tidewell.session import scratch_path
@@ -342,3 +343,58 @@ def stream_sessions(spark, sf):
         F.col("end_ts").cast("timestamp_ntz").alias("end_ts"),
         "n",
     )
+
+
+@query(
+    "target_sized_files",
+    "SELECT count(*) AS rows, true AS within_target FROM lineitem",
+)
+def target_sized_files(spark, sf):
+    """Lines in files of about one megabyte, sized from a measured row."""
+    path = scratch_path(spark, "target")
+    files.write_to_target_size(load(spark, sf, "lineitem"), path, target_mb=1)
+    largest = tables.list_files(spark, path, ".parquet").agg(F.max("size_bytes")).first()[0]
+    rows = spark.read.parquet(path).agg(F.count("*").alias("rows"))
+    return rows.withColumn("within_target", F.lit(largest < 1.5 * 1024 * 1024))
+
+
+@query("metastore_table", "SELECT c_custkey, c_name FROM customer")
+def metastore_table(spark, sf):
+    """Customers written and registered, then read by name."""
+    path = scratch_path(spark, "registered")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    lake.save_as_table(load(spark, sf, "customer").select("c_custkey", "c_name"), name, path)
+    return spark.table(name)
+
+
+@query(
+    "bucketed_apply",
+    """
+SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
+UNION ALL
+SELECT o_custkey, max(o_orderstatus) FROM orders WHERE o_custkey IN (
+  SELECT o_custkey FROM orders GROUP BY 1 HAVING count(*) FILTER (o_orderpriority = '5-LOW') < 9)
+GROUP BY o_custkey
+""",
+)
+def bucketed_apply(spark, sf):
+    """Changes applied to a table that is stored by key, which is therefore not shuffled."""
+    path = scratch_path(spark, "bucketed")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    customers = load(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    lake.save_bucketed(customers, name, "c_custkey", 8, path=path)
+    low = F.count_if(F.col("o_orderpriority") == "5-LOW")
+    log = (
+        load(spark, sf, "orders")
+        .groupBy(F.col("o_custkey").alias("c_custkey"))
+        .agg(F.max("o_orderstatus").alias("c_mktsegment"), F.when(low < 9, "U").otherwise("D").alias("op"))
+    )
+    return cdc.apply_changes(spark.table(name), log, "c_custkey", "op")
+
+
+@query("indexed_lookup", "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey = 77")
+def indexed_lookup(spark, sf):
+    """A point lookup in files ordered by the looked-up column."""
+    path = scratch_path(spark, "indexed")
+    lake.write_indexed(load(spark, sf, "orders"), path, "o_custkey", ["o_custkey"])
+    return spark.read.parquet(path).where("o_custkey = 77").select("o_orderkey", "o_custkey")

@@ -552,3 +552,19 @@ def rename_by_regex(spark, sf):
         )
     )
     return rename_by_pattern(counts, r"^Value #([A-Z_]+)$", "$1")
+
+
+@query(
+    "run_gauges",
+    """
+SELECT 'run_' || o_custkey AS id, 'DAG_stats' AS metric, count(*) AS tasks,
+       max(CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 3 ELSE 0 END) AS value
+FROM orders GROUP BY ALL
+""",
+)
+def run_gauges(spark, sf):
+    """Gauges with the codes of whole runs."""
+    gauges = metrics.status_gauges(task_runs(spark, sf), "run_id", "run", AS_OF)
+    return gauges.groupBy("id", "metric").agg(
+        F.count("*").alias("tasks"), F.max("value").alias("value")
+    )

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.operators import quality, reconcile
+from tidewell.plans.io_plans import orders_by_year
 from tidewell.plans.registry import TABLES, load, query
 from tidewell.sources.tables import table_counts
 
@@ -177,3 +178,24 @@ def metric_difference(spark, sf):
         {"count": F.count("*"), "avg": F.round(F.avg(total), 2), "max": F.max(total)},
     )
     return compared.withColumn("diff", F.round("diff", 2))
+
+
+@query(
+    "dq_partition",
+    """
+WITH p AS (SELECT * FROM orders WHERE year(o_orderdate) = 1995),
+     g AS (SELECT count(*) AS n FROM p GROUP BY o_custkey HAVING count(*) > 1)
+SELECT 'row_count' AS rule, CAST(NULL AS VARCHAR) AS "column", (SELECT count(*) FROM p) AS observed,
+       0::BIGINT AS threshold, (SELECT count(*) FROM p) > 0 AS passed
+UNION ALL SELECT 'not_null', 'o_custkey', (SELECT count(*) FROM p WHERE o_custkey IS NULL), 0, true
+UNION ALL SELECT 'duplicate_count', 'o_custkey', (SELECT count(*) FROM g), 0, (SELECT count(*) FROM g) = 0
+""",
+)
+def dq_partition(spark, sf):
+    """A suite over one partition of the orders."""
+    rules = [
+        {"rule": "row_count", "above": 0},
+        {"rule": "not_null", "column": "o_custkey"},
+        {"rule": "duplicate_count", "column": "o_custkey"},
+    ]
+    return quality.run_suite_on(spark, orders_by_year(spark, sf), "year", "1995", rules)

@@ -266,3 +266,20 @@ def change_workload_applied(spark, sf):
         F.col("op_type").alias("op"),
     )
     return apply_changes(table, log, "c_custkey", "batch").drop("c_acctbal")
+
+
+@query(
+    "change_log_lines",
+    """
+SELECT '[DELETE] c_custkey=' || c_custkey AS line, 1::BIGINT AS n
+FROM (SELECT c_custkey FROM customer ORDER BY c_custkey LIMIT 10)
+UNION ALL
+SELECT '[UPDATE] c_custkey=' || c_custkey || ' | c_mktsegment=CHANGED', 1
+FROM (SELECT c_custkey FROM customer ORDER BY c_custkey LIMIT 100)
+""",
+)
+def change_log_lines(spark, sf):
+    """The readable log of a workload over the first rows."""
+    _, events = customer_workload(spark, sf, "first")
+    lines = workload.log_lines(events, "c_custkey", ["c_mktsegment"])
+    return lines.groupBy("line").agg(F.count("*").alias("n"))

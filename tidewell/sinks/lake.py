@@ -89,13 +89,18 @@ def save_as_table(df: DataFrame, name: str, path: str | None = None, mode="overw
     writer.saveAsTable(name)
 
 
-def save_bucketed(df: DataFrame, name: str, keys, buckets: int, mode: str = "overwrite") -> None:
+def save_bucketed(
+    df: DataFrame, name: str, keys, buckets: int, mode: str = "overwrite", path: str | None = None
+) -> None:
     """A metastore table hashed and sorted by key: joins and upserts on it do not shuffle it.
 
     Rows are first brought to their buckets, which leaves one file per bucket.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    df.repartition(buckets, *keys).write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    writer = df.repartition(buckets, *keys).write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
 
 
 def write_indexed(df: DataFrame, path: str, sort_by, lookup=(), mode: str = "error") -> None:
