@@ -205,6 +205,10 @@ def test_typed_json_sample(spark):
     event = cdc.decode_typed_json(df, "t", fields).withColumn("at", clock.event_ts(F.col("event.op_ts"))).first()
     assert event["at"] == dt.datetime(2025, 8, 19, 10, 29, 25, 328488)
     assert event["event"]["op_type"] == "R" and event["event"]["before"] is None
+    assert not event["event"]["malformed"]
+    bad = spark.createDataFrame([("{oops",), ('{"table": 5}',), (None,)], "t string")
+    flags = cdc.decode_typed_json(bad, "t", fields).select("event.malformed", "event.after").collect()
+    assert [tuple(r) for r in flags] == [(True, None), (True, None), (False, None)]
     assert event["event"]["after"].asDict() == {
         "CUSTOMER_ID": "cbebf044", "ACCOUNT_BALANCE": 563511.18, "RISK_SCORE": 3, "CITY": None, "STATE": None}
 
@@ -235,6 +239,13 @@ def test_late_older_event_does_not_revive(spark):
     assert sorted(tuple(r) for r in cdc.live_rows(merged).collect()) == [(2, "kept", 5, "U"), (3, "new", 1, "I")]
 
 
+def test_only_d_deletes(spark):
+    table = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, v string")
+    log = spark.createDataFrame([(1, "x", 1, None), (2, "y", 1, "D"), (4, "z", 1, "I")], "id int, v string, pos int, op string")
+    rows = sorted(tuple(r) for r in cdc.apply_changes(table, log, "id", "pos").collect())
+    assert rows == [(1, "x"), (3, "c"), (4, "z")]
+
+
 def test_position_is_numeric(spark):
     df = spark.createDataFrame([("9",), ("10",), ("20000000000000000010",)], "pos string")
     ordered = df.orderBy(cdc.position_number(F.col("pos")).desc()).collect()

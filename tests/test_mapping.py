@@ -156,6 +156,15 @@ def test_latest_is_repeatable_on_ties(spark):
     assert once == again and len(once) == 3
 
 
+def test_ties_and_comparison_with_maps(spark):
+    df = spark.range(60).select((F.col("id") % 3).alias("k"), F.lit(1).alias("t"), F.create_map(F.lit("a"), F.col("id")).alias("m"))
+    once = {(r["k"], r["m"]["a"]) for r in keyed.latest_per_key(df, "k", "t").collect()}
+    again = {(r["k"], r["m"]["a"]) for r in keyed.latest_per_key(df.repartition(7), "k", "t").collect()}
+    assert once == again and len(once) == 3
+    assert keyed.differing_rows(df, df).isEmpty()
+    assert keyed.differing_rows(df, df.where("m['a'] <> 5")).count() == 1
+
+
 def test_upsert_rules(spark):
     schema = "id int, v string, t int"
     target = spark.createDataFrame([(1, "old", 5), (2, "old", 5), (3, "old", None)], schema)

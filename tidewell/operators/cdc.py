@@ -178,12 +178,13 @@ def apply_changes(
 ) -> DataFrame:
     """The table after a change log: untouched rows, and the last event of each key if no delete.
 
+    Only operation D deletes; events with unknown operations belong in ``normalise_operations``.
     One plan, so no reader sees upserts without deletes. The table is read once and, when the log
     is small enough for AQE to broadcast its keys, not shuffled.
     """
     last = latest_changes(log, keys, order)
     kept = absent_by_key(table, log, keys)
-    written = last.where(F.col(op_column) != "D").select(*table.columns)
+    written = live_rows(last, op_column).select(*table.columns)
     return kept.unionByName(written)
 
 
@@ -201,7 +202,8 @@ def merge_with_markers(
 
 
 def live_rows(state: DataFrame, op_column: str = "op") -> DataFrame:
-    return state.where(F.col(op_column) != "D")
+    """The rows that are no delete marker."""
+    return state.where(~F.col(op_column).eqNullSafe(F.lit("D")))
 
 
 def reconcile_snapshot(
@@ -309,8 +311,8 @@ def decode_typed_json(
 ) -> DataFrame:
     """Decode a text column whose every JSON value is wrapped as ``{"type": value}``.
 
-    ``fields`` maps business columns to Spark types. ``into`` becomes a struct of the header and
-    of both images with those columns; what the text does not carry is NULL. The text is parsed
+    ``fields`` maps business columns to Spark types. ``into`` becomes a struct of the header, of
+    both images with those columns, and of ``malformed``; what the text does not carry is NULL. The text is parsed
     in a projection of its own, so that it is parsed once and not once per field.
     """
     header = ("table", "op_type", "op_ts", "current_ts", "pos")
@@ -320,8 +322,11 @@ def decode_typed_json(
     shape = T.StructType(
         [T.StructField(name, wrapped) for name in header]
         + [T.StructField("before", image), T.StructField("after", image)]
+        + [T.StructField("_corrupt", T.StringType())]
+    )
+    parsed = df.withColumn(
+        "_json", F.from_json(F.col(column), shape, {"columnNameOfCorruptRecord": "_corrupt"})
     )
-    parsed = df.withColumn("_json", F.from_json(F.col(column), shape))
 
     def unwrapped(path: str) -> Column:
         return F.try_element_at(F.map_values(F.col(f"_json.{path}")), F.lit(1))
@@ -337,6 +342,7 @@ def decode_typed_json(
         *[unwrapped(name).alias(name) for name in header],
         image_values("before"),
         image_values("after"),
+        F.col("_json._corrupt").isNotNull().alias("malformed"),
     )
     return parsed.withColumn(into, event).drop("_json")
 

@@ -19,24 +19,27 @@ def as_list(names) -> list:
     return [names] if isinstance(names, (str, Column)) else list(names)
 
 
-def _contains_map(data_type: T.DataType) -> bool:
-    if isinstance(data_type, T.MapType):
-        return True
+def _hashable(data_type: T.DataType) -> bool:
     if isinstance(data_type, T.ArrayType):
-        return _contains_map(data_type.elementType)
+        return _hashable(data_type.elementType)
     if isinstance(data_type, T.StructType):
-        return any(_contains_map(f.dataType) for f in data_type.fields)
-    return False
+        return all(_hashable(f.dataType) for f in data_type.fields)
+    return not isinstance(data_type, (T.MapType, T.VariantType))
 
 
 def content_hash(df: DataFrame) -> Column:
-    """Hash of a row's hashable columns; breaks ties the same way on every run."""
-    names = [
-        f.name
-        for f in df.schema.fields
-        if not _contains_map(f.dataType) and not isinstance(f.dataType, T.VariantType)
-    ]
-    return F.xxhash64(*[F.col(quoted(c)) for c in names])
+    """Hash of a row's columns; breaks ties the same way on every run.
+
+    Maps and variants have no hash of their own and go in as JSON text.
+    """
+    return F.xxhash64(
+        *[
+            F.col(quoted(f.name))
+            if _hashable(f.dataType)
+            else F.to_json(F.struct(F.col(quoted(f.name)).alias("v")))
+            for f in df.schema.fields
+        ]
+    )
 
 
 def _descending(order) -> list[Column]:
