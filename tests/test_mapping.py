@@ -143,6 +143,20 @@ def test_hot_keys_are_split_and_nothing_is_lost(spark):
     assert keyed.differing_rows(split, many.join(one, "k")).isEmpty()
 
 
+def test_equal_copies_of_a_hot_key_are_spread(spark):
+    many = spark.range(0, 4000, 1, 16).select(F.lit(1).cast("long").alias("k"))
+    one = spark.createDataFrame([(1, "v")], "k long, v string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = keyed.join_many_to_one(many, one, "k", 0.1, 16)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 4000 and max(sizes) < 2500
+
+
 def test_append_dedupe_rules(spark):
     stored = spark.createDataFrame([(1,), (None,)], "id int")
     new = spark.createDataFrame([(0, 1, "a"), (1, 2, "b"), (2, 2, "c"), (3, None, "d")], "n int, id int, v string")

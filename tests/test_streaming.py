@@ -63,6 +63,21 @@ def test_mapping_stream_is_stable(spark, tmp_path):
     assert len({r["uuid"] for r in rows}) == 3
 
 
+def test_replayed_ids_are_the_same(spark, tmp_path):
+    out = str(tmp_path / "out")
+    keys = spark.createDataFrame([("a",), ("b",), ("a",)], "k string")
+
+    def rows():
+        return sorted((r["k"], r["uuid"]) for r in spark.read.parquet(out).collect())
+
+    streaming.store_new_ids(keys, 0, out, "k", "s")
+    first = rows()
+    streaming.store_new_ids(keys, 0, out, "k", "s")
+    assert rows() == first and [k for k, _ in first] == ["a", "b"]
+    streaming.store_new_ids(keys.unionByName(spark.createDataFrame([("c",)], "k string")), 1, out, "k", "s")
+    assert [k for k, _ in rows()] == ["a", "b", "c"]
+
+
 def test_labels_on_a_stream_frame(spark, tmp_path):
     folder = str(tmp_path / "in")
     spark.createDataFrame([({"dag_id": "d"}, 1.0)], "labels map<string,string>, value double").write.parquet(folder)

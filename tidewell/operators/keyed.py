@@ -114,12 +114,14 @@ def join_many_to_one(
 
     Rows of a hot key are dealt over ``salts`` groups, and the one matching row is copied to each,
     so that no task gets a whole hot key, whatever the session's skew settings are. The hot keys
-    are at most ``1 / hot_share`` rows, which bounds the broadcast.
+    are at most ``1 / hot_share`` rows, which bounds the broadcast. A row's group comes from its
+    content and its input partition: equal copies are spread too, and a retried task deals alike.
     """
     hot = F.broadcast(
         hot_keys(many, key, hot_share).select(F.col(key).alias("_hot"))
     )
-    deal = F.pmod(content_hash(many), F.lit(salts)).cast("int")
+    place = F.xxhash64(content_hash(many), F.spark_partition_id())
+    deal = F.pmod(place, F.lit(salts)).cast("int")
     dealt = many.join(hot, F.col(quoted(key)) == F.col("_hot"), "left").withColumn(
         "_salt", F.when(F.col("_hot").isNotNull(), deal).otherwise(0)
     )

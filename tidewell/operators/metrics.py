@@ -204,7 +204,7 @@ def state_intervals(
     inside time chunks of about equal size first, so that a series with most of the samples is
     spread over many tasks. Only the first and last run of a chunk can go on in another chunk, and
     only those, at most two per chunk, are put in order per series. By default there are two
-    chunks per shuffle partition.
+    chunks per shuffle partition. Samples of one series at one time stay in one chunk.
     """
     series, order = as_list(series), as_list(order)
     time = order[0]

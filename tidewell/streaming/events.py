@@ -75,19 +75,24 @@ def apply_stream(stream: DataFrame, table: ChangeTable, checkpoint: str):
     return run_available(stream.writeStream.foreachBatch(store), checkpoint)
 
 
+def store_new_ids(batch: DataFrame, epoch: int, path: str, key: str, salt: str) -> None:
+    """Ids for the keys of one batch that no other epoch holds; writing an epoch again replaces it."""
+    spark = batch.sparkSession
+    new = batch.select(key).where(F.col(key).isNotNull()).distinct()
+    if table_exists(spark, path):
+        # A replay must not see what its first try wrote.
+        known = spark.read.parquet(path).where(F.col("epoch").cast("long") != epoch)
+        new = absent_by_key(new, known, key)
+    new.withColumn("uuid", derived_uuid(F.col(key), salt)).write.mode("overwrite").parquet(
+        f"{path}/epoch={epoch}"
+    )
+
+
 def map_stream(stream: DataFrame, path: str, key: str, salt: str, checkpoint: str):
     """Give each new key an id, batch by batch; ids are derived, so a replay gives the same ones."""
 
     def store(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        new = batch.select(key).where(F.col(key).isNotNull()).distinct()
-        if table_exists(spark, path):
-            # A replay must not see what its first try wrote.
-            known = spark.read.parquet(path).where(F.col("epoch").cast("long") != epoch)
-            new = absent_by_key(new, known, key)
-        new.withColumn("uuid", derived_uuid(F.col(key), salt)).write.mode("overwrite").parquet(
-            f"{path}/epoch={epoch}"
-        )
+        store_new_ids(batch, epoch, path, key, salt)
 
     return run_available(stream.writeStream.foreachBatch(store), checkpoint)
 
