@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.functions.clock import duration_seconds, from_seconds, micros, wall_literal
 from tidewell.functions.codes import run_status_code, status_text, task_status_code
@@ -178,22 +180,41 @@ def last_status(samples: DataFrame, key: str) -> DataFrame:
     return current.select(key, "status", status_text(F.col("status")).alias("last_status"))
 
 
-def _time_chunks(samples: DataFrame, time: str, chunks: int | None) -> DataFrame:
-    """The samples with a ``_chunk`` number that rises with time (``_at``, in microseconds).
+def _chunked(samples: DataFrame, order: list[str], chunks: int | None) -> DataFrame:
+    """The samples with a ``_chunk`` number that rises along ``order``.
 
     The cuts are quantiles of all times, so a chunk holds about an equal share of the samples
-    however they are spread over time and series.
+    however they are spread over time and series. A time that fills several chunks by itself is
+    cut further by quantiles of the second order column, if that is a number.
     """
-    spark = samples.sparkSession
-    chunks = chunks or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    timed = samples.withColumn("_at", micros(F.col(time)).cast("double"))
-    shares = [i / chunks for i in range(1, chunks)] or [0.5]
-    cuts = timed.agg(F.percentile_approx("_at", shares, 10 * chunks).alias("c")).first()["c"]
-    splits = [-float("inf"), *sorted(set(cuts or [0.0])), float("inf")]
-    return Bucketizer(
-        splits=splits, inputCol="_at", outputCol="_chunk", handleInvalid="keep"
+    chunks = chunks or 2 * int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares, accuracy = [i / chunks for i in range(1, chunks)] or [0.5], 10 * chunks
+    timed = samples.withColumn("_at", micros(F.col(order[0])).cast("double"))
+    cuts = timed.agg(F.percentile_approx("_at", shares, accuracy).alias("c")).first()["c"] or [0.0]
+    times = sorted(set(cuts))
+    splits = [-float("inf"), *times, float("inf")]
+    bucketed = Bucketizer(
+        splits=splits, inputCol="_at", outputCol="_bucket", handleInvalid="keep"
     ).transform(timed)
 
+    part = F.lit(0)
+    full = {time: cuts.count(time) for time in times if cuts.count(time) > 1}
+    if full and len(order) > 1 and isinstance(samples.schema[order[1]].dataType, T.NumericType):
+        tie = F.col(order[1]).cast("double")
+        found = (
+            timed.where(F.col("_at").isin(list(full)))
+            .groupBy("_at")
+            .agg(F.percentile_approx(tie, shares, accuracy).alias("c"))
+        )
+        for row in found.collect():
+            time, parts = row["_at"], full[row["_at"]]
+            ties = [row["c"][i * len(row["c"]) // parts] for i in range(1, parts)]
+            passed = reduce(Column.__add__, [(tie >= t).cast("int") for t in ties])
+            later = (F.col("_bucket") == times.index(time) + 1) & (F.col("_at") > time)
+            part = F.when(F.col("_at") == time, passed).when(later, parts).otherwise(part)
+    number = F.col("_bucket").cast("long") * (chunks + 1) + part
+    return bucketed.withColumn("_chunk", number).drop("_at", "_bucket")
+
 
 def state_intervals(
     samples: DataFrame, series, state: str = "status", order=("ts",), chunks: int | None = None
@@ -204,11 +225,11 @@ def state_intervals(
     inside time chunks of about equal size first, so that a series with most of the samples is
     spread over many tasks. Only the first and last run of a chunk can go on in another chunk, and
     only those, at most two per chunk, are put in order per series. By default there are two
-    chunks per shuffle partition. Samples of one series at one time stay in one chunk.
+    chunks per shuffle partition.
     """
     series, order = as_list(series), as_list(order)
     time = order[0]
-    rows = _time_chunks(samples.select(*series, state, *order), time, chunks).drop("_at")
+    rows = _chunked(samples.select(*series, state, *order), order, chunks)
     inside = Window.partitionBy(*series, "_chunk").orderBy(*order)
     same = F.col(state).eqNullSafe(F.lag(state).over(inside))
     begins = F.when(F.row_number().over(inside) == 1, 1).when(same, 0).otherwise(1)

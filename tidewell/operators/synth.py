@@ -25,8 +25,14 @@ from tidewell.functions.clock import wall_literal
 from tidewell.functions.numbers import cash_total, trade_total
 
 FIRST_NAMES = "Ada Ben Cleo Dan Eva Finn Gia Hugo Ida Jon Kim Leo Mia Nam Ola Pia Quy Rob Sue Tam".split()
-LAST_NAMES = "Abel Brook Cole Dinh Eder Frost Gray Hale Ito Jung Kane Lam Moss Nolan Ochs Park Reed Stone Tran Wood".split()
-WORDS = "amber bridge cedar delta ember field grove harbor island jetty kite lake meadow north orchard prairie quarry river shore timber".split()
+LAST_NAMES = (
+    "Abel Brook Cole Dinh Eder Frost Gray Hale Ito Jung Kane Lam Moss Nolan Ochs Park Reed Stone Tran "
+    "Wood"
+).split()
+WORDS = (
+    "amber bridge cedar delta ember field grove harbor island jetty kite lake meadow north orchard "
+    "prairie quarry river shore timber"
+).split()
 CITIES = "Ashford Bayside Clearwater Dunmore Eastgate Fairview Glenwood Highbury Ironbridge Kingsport".split()
 STATES = "Northland Eastmark Southport Westfield Midvale Lakeshore Highland Plainview".split()
 COUNTRIES = "Vietnam Japan Germany France Brazil Canada Kenya Norway Spain Australia".split()
