@@ -54,6 +54,20 @@ def distinct_series(spark, sf):
     return metrics.distinct_series(labelled(spark, sf), "dag_id")
 
 
+@query(
+    "distinct_series_latest",
+    f"""
+WITH {SAMPLES_SQL}
+SELECT count(DISTINCT dag_id) AS n FROM samples
+WHERE ts > TIMESTAMP '2024-01-20' - INTERVAL 5 MINUTE AND ts <= TIMESTAMP '2024-01-20'
+""",
+)
+def distinct_series_latest(spark, sf):
+    """Ids that have a sample within five minutes of the evaluation time."""
+    latest = metrics.last_over_time(labelled(spark, sf), ["dag_id", "status"], 300, AS_OF)
+    return metrics.distinct_series(latest, "dag_id")
+
+
 @query(
     "last_over_time",
     f"""
