@@ -173,6 +173,16 @@ def test_range_last(spark, zone):
         metrics.range_last(df, "series", 60, 100)
 
 
+def test_missing_labels_are_empty(spark):
+    df = spark.createDataFrame(
+        [("m", {"dag_id": "a", "status": "ok"}), ("m", {"dag_id": "ab"}), ("n", {"status": "ok"})],
+        "metric string, labels map<string,string>")
+    assert metrics.select_samples(df, match={"dag_id": ".*"}).count() == 3
+    assert metrics.select_samples(df, match={"dag_id": "a"}).count() == 1
+    assert metrics.select_samples(df, "m", {"status": ""}).count() == 1
+    assert metrics.select_samples(df, "m", {"status": "ok"}, {"dag_id": "a|b"}).count() == 1
+
+
 def test_gauges_use_the_id_as_label(spark):
     runs = spark.createDataFrame(
         [("t1", "success", dt.datetime(2024, 1, 1)), ("t2", None, None), ("Task", "failed", dt.datetime(2024, 1, 1))],

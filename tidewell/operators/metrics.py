@@ -34,13 +34,20 @@ def select_samples(
     match: dict | None = None,
     labels: str = "labels",
 ) -> DataFrame:
-    """Samples of a metric by label: equal to a value, or wholly matching a regex."""
+    """Samples of a metric by label: equal to a value, or wholly matching a regex.
+
+    A label that a sample lacks counts as empty text, so ``.*`` keeps the sample.
+    """
+
+    def label(name: str) -> Column:
+        return F.coalesce(F.try_element_at(F.col(labels), F.lit(name)), F.lit(""))
+
     if metric is not None:
         samples = samples.where(F.col("metric") == metric)
     for name, value in (equal or {}).items():
-        samples = samples.where(F.try_element_at(F.col(labels), F.lit(name)) == value)
+        samples = samples.where(label(name) == value)
     for name, pattern in (match or {}).items():
-        samples = samples.where(whole_match(F.try_element_at(F.col(labels), F.lit(name)), pattern))
+        samples = samples.where(whole_match(label(name), pattern))
     return samples
 
 
