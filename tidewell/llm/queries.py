@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import quality_rules, sharding
+from tidewell.llm import near_dedup, quality_rules, sentencepiece_nbest, sharding, token_counts
 from tidewell.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,19 @@ SQL["op5_quality_rules"] = quality_rules.oracle().strip()
 @query
 def op10_histogram_shards(spark, sf):
     return sharding.shard_rows(load(spark, sf, "documents"), shards=16)
+
+
+@query
+def op1_sentencepiece(spark, sf):
+    return sentencepiece_nbest.encode_texts(load(spark, sf, "documents"), n=4)
+
+
+@query
+def op8_setsketch_dedup(spark, sf):
+    return near_dedup.near_duplicates(load(spark, sf, "documents"), width=2)
+
+
+@query
+def op9_token_counts(spark, sf):
+    counted = token_counts.token_budget(load(spark, sf, "documents"), budget=4096)
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars")
