@@ -156,13 +156,13 @@ def _bucket_pairs(members: DataFrame, across: bool) -> DataFrame:
         kept, key = [], None
 
         def solve(rows):
+            if len(rows) < 2:
+                return
             order = sorted(range(len(rows)), key=lambda k: rows[k][0])
             ids = np.array([rows[k][0] for k in order])
             sizes = np.array([rows[k][1] for k in order])
             registers = np.frombuffer(b"".join(rows[k][2] for k in order), np.uint16).reshape(len(ids), -1)
             groups = np.array([rows[k][3] for k in order]) if across else None
-            if len(ids) < 2:
-                return
             pairs = [(int(ids[x]), int(ids[y])) for x, y in _pairs_of(ids, sizes, registers, groups)]
             for lo in range(0, len(pairs), 10_000):
                 some = pairs[lo : lo + 10_000]
