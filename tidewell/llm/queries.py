@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import near_dedup, quality_rules, sentencepiece_nbest, sharding, token_counts
+from tidewell.llm import near_dedup, quality_rules, sentencepiece_nbest, sharding, suffix_dedup, token_counts
 from tidewell.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,8 @@ def op8_setsketch_dedup(spark, sf):
 def op9_token_counts(spark, sf):
     counted = token_counts.token_budget(load(spark, sf, "documents"), budget=4096)
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars")
+
+
+@query
+def op2_suffix_dedup(spark, sf):
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(load(spark, sf, "documents")))
