@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import near_dedup, quality_rules, sentencepiece_nbest, sharding, suffix_dedup, token_counts
+from tidewell.llm import (
+    decontaminate, language_id, near_dedup, quality_rules, sentencepiece_nbest, sharding, suffix_dedup,
+    token_counts, url_filter,
+)
 from tidewell.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +53,26 @@ def op9_token_counts(spark, sf):
 @query
 def op2_suffix_dedup(spark, sf):
     return suffix_dedup.digest(suffix_dedup.remove_repeats(load(spark, sf, "documents")))
+
+
+@query
+def op3_url_filter(spark, sf):
+    pages = load(spark, sf, "pages")
+    return url_filter.filter_captures(url_filter.page_captures(pages), url_filter.page_list(pages))
+
+
+SQL["op3_url_filter"] = url_filter.ORACLE_SQL.strip()
+
+
+@query
+def op4_template_decontamination(spark, sf):
+    return decontaminate.contaminated(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
+
+
+@query
+def op6_language_id(spark, sf):
+    documents = load(spark, sf, "documents")
+    held = language_id.held_out()
+    filters = language_id.learn(documents.where(~held))
+    found = language_id.identify(documents, filters)
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
