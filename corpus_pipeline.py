@@ -1 +1,73 @@
-"""The corpus pipeline: five stages, each one operator, each over all its predecessor kept."""
+"""The corpus pipeline: five stages, each one operator, each over all its predecessor kept.
+
+Every stage takes the documents as its predecessor wrote them and returns documents again; the last
+one returns encoded texts. ``run`` writes each stage's rows as Parquet to the shared folder and
+reads them back, so an executor lost later repeats no finished stage.
+
+Edge cases follow the operators: null and empty texts fall to the quality rules; rows that repeat an
+id are one document and stay together; rows without an id pass the stages that name rows by id;
+empty tables give empty results; columns beyond those of ``documents`` are handed on by the stages that
+drop rows and left out from the third stage on.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewell.llm import decontaminate, near_dedup, quality_rules, sentencepiece_nbest, suffix_dedup
+from tidewell.llm.common import load, stage, without_ids
+
+WIDTH, PERCENT = 5, 80  # words to a shingle, similarity of near duplicates
+
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules."""
+    return quality_rules.keep_good(docs)
+
+
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the least id."""
+    found = near_dedup.near_duplicates(docs, WIDTH, PERCENT)
+    return without_ids(docs, found.where("NOT kept"))
+
+
+def unrepeated_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the byte strings that repeat; those left without a word go."""
+    cut = suffix_dedup.remove_repeats(docs, carry=("lang", "source"), as_text=True)
+    left = cut.select(
+        "doc_id", F.col("kept").alias("text"), "lang", "source", F.length("kept").cast("long").alias("n_chars")
+    )
+    return left.where(F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
+
+
+def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no benchmark item contaminates."""
+    found = decontaminate.contaminated(docs, load(spark, sf_dir, "benchmark"))
+    return without_ids(docs, found)
+
+
+def encoded_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of each document's best segmentation, and the scores of its two best."""
+    return sentencepiece_nbest.encode_texts(docs, n=2)
+
+
+STAGES = [
+    ("quality_rules", good_documents),
+    ("minhash_near_dedup", distinct_documents),
+    ("suffix_array_dedup", unrepeated_documents),
+    ("benchmark_decontamination", clean_documents),
+    ("sentencepiece_encoding", encoded_documents),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the table ``documents``."""
+    docs = load(spark, sf_dir, "documents")
+    for name, function in STAGES[:-1]:
+        docs = stage(function(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
+
+
+# Stages 2 to 5 have no form in SQL; tests/llm holds the pipeline against a brute-force version.
+ORACLE_SQL = None

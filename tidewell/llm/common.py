@@ -138,3 +138,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 def with_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Id and text under their usual names; every other column, whatever its name, is left out."""
     return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+
+
+SMALL_IDS = 4_000_000  # ids of 8 bytes that may be broadcast: 32 MB
+
+
+def without_ids(df: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Rows whose id is not among ``ids``, all columns; rows with a null id stay.
+
+    A counted, bounded set of ids is broadcast; a larger one is joined by a shuffle.
+    """
+    ids = stage(ids.select(F.col(id_col).alias("_gone")).where("_gone IS NOT NULL").distinct(), "gone")
+    few = ids.count() <= SMALL_IDS
+    return df.join(F.broadcast(ids) if few else ids, F.col(id_col) == F.col("_gone"), "left_anti")

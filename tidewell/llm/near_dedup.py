@@ -34,14 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import shingle_sets, slices, stage, text_bytes, with_text
+from tidewell.llm.common import SMALL_IDS, shingle_sets, slices, stage, text_bytes, with_text
 from tidewell.llm.components import components
 
 REGISTERS, BAND = 112, 4
 BASE, RATE, TOP = 1.001, 20.0, 2**16 - 2  # published settings for 16-bit registers
 MAYBE = 0.6  # five standard errors of the estimate below 0.8
 BLOCK = 2_000  # members of a bucket in one block
-SMALL_IDS = 4_000_000  # ids of 8 bytes that may be broadcast: 32 MB
 
 _RANDOM = np.random.default_rng(7_331)
 _FACTOR = _RANDOM.integers(0, 2**31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)

@@ -130,6 +130,16 @@ def quality_report(
     )
 
 
+def keep_good(df: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
+    """The rows that pass, with all their columns: the whole row takes the place of the id."""
+    rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), F.col(text_col).alias("text"))
+    report = quality_report(rows, rules, id_col="row")
+    # A filter on the verdict would be moved below the projections and repeat their work inside it;
+    # an outer explode of no row or one row is not.
+    passed = report.select(F.explode_outer(F.expr("IF(kept, array(row), NULL)")).alias("row"))
+    return passed.where("row IS NOT NULL").select("row.*")
+
+
 def oracle() -> str:
     """The same report in DuckDB SQL, from the same threshold table."""
     stops = ",".join(f"'{w}'" for w in [*STOP_WORDS, *(w.capitalize() for w in STOP_WORDS)])

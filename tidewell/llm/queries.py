@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.llm import (
-    decontaminate, language_id, near_dedup, quality_rules, sentencepiece_nbest, sharding, suffix_dedup,
+    chat_format, decontaminate, language_id, near_dedup, quality_rules, sentencepiece_nbest, sharding, suffix_dedup,
     token_counts, url_filter,
 )
 from tidewell.llm.common import load
@@ -76,3 +76,8 @@ def op6_language_id(spark, sf):
     filters = language_id.learn(documents.where(~held))
     found = language_id.identify(documents, filters)
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op7_chat_format(spark, sf):
+    return chat_format.format_chats(load(spark, sf, "conversations"))

@@ -10,7 +10,7 @@ are judged on the input, so all places of a repeated string go. Steps:
 2. **Hot anchors.** An anchor with more than ``HOT`` segments is cut again, one window to a segment and
    that window's hash as its anchor, so no shard grows with a common passage.
 3. **Distinct segments.** Segments with equal bytes are one with a count; only one place of each is
-   read again.
+   read again, and none of those that are alone with their anchor.
 4. **Suffix arrays.** Each task strings its anchors' distinct segments together, some megabytes at a time, and
    sorts all suffixes by induced sorting: suffixes are classified as larger or smaller than the next;
    the leftmost-smaller substrings are sorted and named, by recursion where names repeat; from their
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import mix, slices, span_hashes, stage, text_bytes, with_text
+from tidewell.llm.common import mix, slices, span_hashes, stage, text_bytes
 
 LENGTH = 200
 ANCHOR = 32  # bytes of an anchor
@@ -119,22 +119,29 @@ def _induce_by_item(s, smaller, lms, size):
     tail = np.cumsum(counts)
     out = [-1] * n
     at = tail.tolist()
-    text, less = s.tolist(), smaller.tolist()
+    text = s.tolist()
     for i in reversed(lms.tolist()):
         at[text[i]] -= 1
         out[at[text[i]]] = i
+    # The letter of the suffix before each one, if it belongs to the pass; the last entry is for -1.
+    before = np.full(n + 1, -1, np.int64)
+    before[1:n] = np.where(smaller[:-1], -1, s[:-1])
+    letter = before.tolist()
     at = (tail - counts).tolist()
     for i in out:
         # Filled further on while it is read.
-        if i > 0 and not less[i - 1]:
-            c = text[i - 1]
-            out[at[c]] = i - 1
-            at[c] += 1
+        c = letter[i]
+        if c >= 0:
+            k = at[c]
+            out[k] = i - 1
+            at[c] = k + 1
+    before[1:n] = np.where(smaller[:-1], s[:-1], -1)
+    letter = before.tolist()
     at = tail.tolist()
     for k in range(n - 1, -1, -1):
         i = out[k]
-        if i > 0 and less[i - 1]:
-            c = text[i - 1]
+        c = letter[i]
+        if c >= 0:
             at[c] -= 1
             out[at[c]] = i - 1
     return np.array(out, np.int64)
@@ -286,7 +293,22 @@ def anchors(data: np.ndarray, bounds: np.ndarray, length: int):
     return text[heads], heads, last + length, value[heads], 1 + (place[heads] != place[last])
 
 
-_SEGMENT = "doc_id {id}, text_hash long, start int, len int, anchor long, name long, places int"
+_SEGMENT = "id_key long, text_key long, start int, len int, anchor long, name long, places int"
+_KEYS = ["id_key", "text_key"]
+
+
+def _texts(df: DataFrame, id_col: str, text_col: str, others: tuple[str, ...] = ()) -> DataFrame:
+    """Id, text and the key that stands for both: rows equal in id and text share it, others do not."""
+    key = F.col(id_col)
+    if df.schema[id_col].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint"):
+        key = F.coalesce(key.cast("long"), F.lit(-(1 << 63)).cast("long"))
+    else:
+        key = F.coalesce(F.xxhash64(key), F.lit(0))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return df.select(
+        key.alias("id_key"), F.crc32(text.cast("binary")).alias("text_key"), F.col(id_col).alias("doc_id"),
+        text.alias("text"), *others,
+    )
 
 
 def _segments(texts: DataFrame, length: int) -> DataFrame:
@@ -302,14 +324,10 @@ def _segments(texts: DataFrame, length: int) -> DataFrame:
                     [batch.column(0).take(keys), batch.column(1).take(keys),
                      pa.array((start - edge[text]).astype(np.int32)), pa.array((end - start).astype(np.int32)),
                      pa.array(anchor.view(np.int64)), pa.array(name.view(np.int64)), pa.array(places.astype(np.int32))],
-                    ["doc_id", "text_hash", "start", "len", "anchor", "name", "places"],
+                    [*_KEYS, "start", "len", "anchor", "name", "places"],
                 )
 
-    return texts.mapInArrow(run, _schema(texts))
-
-
-def _schema(texts: DataFrame) -> str:
-    return _SEGMENT.format(id=texts.schema["doc_id"].dataType.simpleString())
+    return texts.select(*_KEYS, "text").mapInArrow(run, _SEGMENT)
 
 
 def _single_windows(hot: DataFrame, texts: DataFrame, length: int) -> DataFrame:
@@ -325,23 +343,20 @@ def _single_windows(hot: DataFrame, texts: DataFrame, length: int) -> DataFrame:
                     keys = pa.array(np.full(len(starts), row), pa.int64())
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).take(keys), batch.column(1).take(keys), pa.array(starts.astype(np.int32)),
-                         pa.array(np.full(len(starts), length, np.int32)), pa.array(name), pa.array(name),
-                         pa.array(np.ones(len(starts), np.int32))],
-                        ["doc_id", "text_hash", "start", "len", "anchor", "name", "places"],
+                         pa.array(np.full(len(starts), length, np.int32)), pa.array(name), pa.array(name)],
+                        [*_KEYS, "start", "len", "anchor", "name"],
                     )
 
-    return _at_texts(hot, texts, F.struct("start", "len")).mapInArrow(run, _schema(texts))
+    return _at_texts(hot, texts, F.struct("start", "len")).mapInArrow(run, _SEGMENT.removesuffix(", places int"))
 
 
 def _at_texts(pieces: DataFrame, texts: DataFrame, what) -> DataFrame:
-    """Texts beside the list of ``what`` of their pieces; a text has a bounded number of them."""
-    listed = pieces.groupBy("doc_id", "text_hash").agg(F.collect_list(what).alias("pieces"))
-    listed = listed.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "pieces")
-    match = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))
-    # Rows that are equal in id and text give their pieces once.
-    return texts.dropDuplicates(["doc_id", "text_hash"]).join(listed, match).select(
-        "doc_id", "text_hash", "text", "pieces"
-    )
+    """Texts beside the list of ``what`` of their pieces; a text has a bounded number of them.
+
+    Every join with the texts has this one form, so Spark shuffles them once for all.
+    """
+    listed = pieces.groupBy(*_KEYS).agg(F.collect_list(what).alias("pieces"))
+    return texts.join(listed, _KEYS).select(*_KEYS, "text", "pieces")
 
 
 def _shards(bodies: DataFrame, length: int) -> DataFrame:
@@ -395,54 +410,73 @@ def _bodies(first: DataFrame, texts: DataFrame) -> DataFrame:
     return at.mapInArrow(run, "anchor long, name long, n long, body binary")
 
 
-def remove_repeats(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: bytes before, bytes left (``kept``) and the removed ``spans`` as ``(start, end)``."""
-    texts = with_text(df, id_col, text_col).select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), F.coalesce("text", F.lit("")).alias("text")
-    )
+def remove_repeats(
+    df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
+    carry: tuple[str, ...] = (), as_text: bool = False,
+) -> DataFrame:
+    """Per row: bytes before, bytes left (``kept``) and the removed ``spans`` as ``(start, end)``.
+
+    ``carry`` names columns to hand on. ``as_text`` gives ``kept`` as a string: characters of which
+    only some bytes are left go as well.
+    """
+    texts = _texts(df, id_col, text_col)
     parts = _segments(texts, length)
-    seen = parts.groupBy(F.col("anchor").alias("a")).agg(F.count("*").alias("count"), F.sum("places").alias("p"))
-    seen = seen.where("p > 1").drop("p")
-    found = stage(parts.join(seen, F.col("anchor") == F.col("a")).drop("a"), "segments")
-    usual, hot = found.where(F.col("count") <= HOT).drop("count"), found.where(F.col("count") > HOT)
+    seen = parts.groupBy(F.col("anchor").alias("a")).agg(
+        F.count("*").alias("count"), F.sum("places").alias("p"), F.min("name").alias("u"), F.max("name").alias("v")
+    ).where("p > 1")
+    # The only segment of its anchor, whose windows all differ, has no order to be found: each of
+    # its windows stands in as many places as it does.
+    seen = seen.select("a", "count", ((F.col("u") == F.col("v")) & (F.col("p") == F.col("count"))).alias("alone"))
+    found = stage(parts.join(seen, F.col("anchor") == F.col("a")).drop("a", "places"), "segments")
+    whole = found.where("alone").select(*_KEYS, "start", F.array(F.lit(0), F.col("len") - (length - 1)).alias("runs"))
+    usual = found.where(~F.col("alone") & (F.col("count") <= HOT)).drop("alone", "count")
+    hot = found.where(~F.col("alone") & (F.col("count") > HOT))
     if hot.limit(1).count():
         usual = stage(usual.unionByName(_single_windows(hot, texts, length)), "recut")
     distinct = usual.groupBy("anchor", "name", "len").agg(
-        F.count("*").alias("n"), F.min(F.struct("doc_id", "text_hash", "start")).alias("at")
+        F.count("*").alias("n"), F.min(F.struct(*_KEYS, "start")).alias("at")
     )
     bodies = _bodies(distinct.select("anchor", "name", "len", "n", "at.*"), texts)
     runs = _shards(bodies, length).select(F.col("anchor").alias("a"), F.col("name").alias("b"), "runs")
     hits = usual.join(runs, (F.col("anchor") == F.col("a")) & (F.col("name") == F.col("b")))
-    listed = hits.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "runs")).alias("pieces"))
-    listed = listed.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "pieces")
-    match = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))
-    cut = texts.join(listed, match, "left").withColumn("_id", F.col("doc_id").cast("string"))
+    listed = whole.unionByName(hits.select(*_KEYS, "start", "runs")).groupBy(*_KEYS).agg(
+        F.collect_list(F.struct("start", "runs")).alias("pieces")
+    )
+    if carry:
+        others = F.struct(*(F.col(c) for c in carry)).alias("carried")
+        texts = _texts(df.withColumn("carried", others), id_col, text_col, ("carried",))
+    cut = texts.join(listed, _KEYS, "left").drop(*_KEYS)
+    columns = [c for c in cut.columns if c not in ("text", "pieces")]
 
     def run(batches):
         for batch in batches:
             out = ([], [], [])
             for row in range(batch.num_rows):
-                data, _ = text_bytes(batch.column(1).slice(row, 1))
+                data, _ = text_bytes(batch.column(0).slice(row, 1))
                 gone = np.zeros(len(data) + 1, np.int32)
-                for piece in batch.column(2)[row].as_py() or ():
+                for piece in batch.column(1)[row].as_py() or ():
                     edges = np.array(piece["runs"]) + piece["start"]
                     np.add.at(gone, edges[::2], 1)
                     np.add.at(gone, edges[1::2] - 1 + length, -1)
                 covered = np.cumsum(gone[:-1]) > 0
                 edges = np.flatnonzero(np.diff(np.concatenate(([False], covered, [False])).astype(np.int8)))
+                kept = data[~covered].tobytes()
                 out[0].append(len(data))
-                out[1].append(data[~covered].tobytes())
+                out[1].append(kept.decode("utf-8", "ignore") if as_text else kept)
                 out[2].append([{"start": a, "end": b} for a, b in zip(edges[::2].tolist(), edges[1::2].tolist())])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()),
+                [*batch.columns[2:], pa.array(out[0], pa.int64()), pa.array(out[1], pa.string() if as_text else pa.binary()),
                  pa.array(out[2], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
-                ["_id", "n_bytes", "kept", "spans"],
+                [*columns, "n_bytes", "kept", "spans"],
             )
 
-    done = cut.select("_id", "text", "pieces").mapInArrow(
-        run, "_id string, n_bytes long, kept binary, spans array<struct<start:long,end:long>>"
+    kinds = ", ".join(f"{c} {cut.schema[c].dataType.simpleString()}" for c in columns)
+    done = cut.select("text", "pieces", *columns).mapInArrow(
+        run, f"{kinds}, n_bytes long, kept {'string' if as_text else 'binary'}, spans array<struct<start:long,end:long>>"
+    )
+    return done.select(
+        F.col("doc_id").alias(id_col), "n_bytes", "kept", "spans", *(F.col("carried")[c].alias(c) for c in carry)
     )
-    return done.select(F.col("_id").cast(texts.schema["doc_id"].dataType).alias(id_col), "n_bytes", "kept", "spans")
 
 
 def digest(cut: DataFrame, id_col: str = "doc_id") -> DataFrame:
