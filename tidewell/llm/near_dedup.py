@@ -8,9 +8,10 @@ sketches agree in a register with a probability near their sets' similarity. Ste
 1. Equal sets form one class, under its least document id; the rest works on classes.
 2. Four registers make a band. Classes with an equal band share a bucket; of buckets with the same
    members one is kept.
-3. In each bucket a largest spanning forest over the sketches gives the first pairs: at most one
-   fewer than the members. A pair counts if the joint likelihood of the similarity, given the two
-   sketches and the two set sizes, does not put it below ``MAYBE``.
+3. In each bucket a largest spanning forest over the sketches and each member's ``NEAREST`` likeliest
+   neighbours give the first pairs, a few for each member. A pair counts if the set sizes allow the
+   similarity and its joint likelihood, given the two sketches and sizes, is not greatest more
+   than ``DOUBT`` below it.
 4. Pairs are confirmed on the full sets, and confirmed links joined to components.
 5. Buckets that still hold several components give every further pair across them that passes the
    likelihood test; these are confirmed too. So all pairs of a bucket are either confirmed, refuted
@@ -37,10 +38,12 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import SMALL_IDS, shingle_sets, slices, stage, text_bytes, with_text
 from tidewell.llm.components import components
 
-REGISTERS, BAND = 112, 4
+REGISTERS = 448
+BANDS, BAND = 28, 4  # bands take the first registers, the estimate all of them
 BASE, RATE, TOP = 1.001, 20.0, 2**16 - 2  # published settings for 16-bit registers
-MAYBE = 0.6  # five standard errors of the estimate below 0.8
-BLOCK = 2_000  # members of a bucket in one block
+DOUBT = 0.08  # how far below the wanted similarity a likely one may lie: over four standard errors
+NEAREST = 3  # neighbours of each member among the first pairs
+BLOCK = 1_000  # members of a bucket in one block
 
 _RANDOM = np.random.default_rng(7_331)
 _FACTOR = _RANDOM.integers(0, 2**31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -68,16 +71,18 @@ def sketch(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def plausible(greater, equal, less, size_a, size_b, at: float = MAYBE) -> np.ndarray:
-    """Whether the likeliest similarity is ``at`` or more, given how many registers of a are greater
-    than, equal to and less than those of b, and the sizes of both sets.
+def plausible(greater, equal, less, size_a, size_b, wanted: float) -> np.ndarray:
+    """Whether the sizes allow the similarity ``wanted`` and the likeliest one is not more than
+    ``DOUBT`` below it, given how many registers of a are greater than, equal to and less than those
+    of b.
 
-    The log likelihood is concave, so its slope at ``at`` tells on which side the maximum lies.
+    The log likelihood is concave, so its slope at a point tells on which side the maximum lies.
     """
+    at = max(wanted - DOUBT, 0.0)
     size_a, size_b = np.asarray(size_a, float), np.asarray(size_b, float)
     share = size_a / (size_a + size_b)
     rest = 1 - share
-    possible = at <= np.minimum(share / rest, rest / share)
+    possible = wanted * np.maximum(size_a, size_b) <= np.minimum(size_a, size_b) * (1 + 1e-9)
     step = (BASE - 1) / BASE
 
     def part(x):  # probability of a strict order, and its slope
@@ -113,40 +118,50 @@ def _set_rows(df: DataFrame, width: int) -> DataFrame:
     return df.mapInArrow(run, "doc_id long, n_shingles long, name binary, registers binary")
 
 
-def _pairs_of(ids, sizes, rows, groups=None):
-    """Pairs of one bucket: a largest spanning forest, or, with groups, all pairs across them."""
-    n = len(ids)
+def _pairs_of(sizes, rows, wanted, groups=None):
+    """Pairs of one bucket: a largest spanning forest and the nearest neighbours of each member, or,
+    with groups, all pairs across them."""
+    n = len(sizes)
     if groups is None:
         best, parent = np.full(n, -1), np.zeros(n, np.int64)
         todo = np.ones(n, bool)
         node = 0
-        for _ in range(n - 1):
+        for _ in range(n):
             todo[node] = False
-            open_ = np.flatnonzero(todo)
-            equal, fits = _compare(rows, sizes, node, open_)
-            better = fits & (equal > best[open_])
-            best[open_[better]], parent[open_[better]] = equal[better], node
-            node = open_[np.argmax(best[open_])]
+            likeness = _likeness(rows, sizes, node, wanted)
+            for other in np.argpartition(-likeness, min(NEAREST, n - 1))[:NEAREST]:
+                if likeness[other] >= 0:
+                    yield node, other
+            better = todo & (likeness > best)
+            best[better], parent[better] = likeness[better], node
             if best[node] >= 0:
                 yield parent[node], node
+            left = np.flatnonzero(todo)
+            if len(left):
+                node = left[np.argmax(best[left])]
         return
     for node in range(n - 1):
-        others = np.arange(node + 1, n)
-        others = others[groups[others] != groups[node]]
-        if len(others):
-            _, fits = _compare(rows, sizes, node, others)
-            for other in others[fits]:
-                yield node, other
-
-
-def _compare(rows, sizes, node, others):
-    a, b = rows[node], rows[others]
-    equal, greater = (a == b).sum(axis=1), (a > b).sum(axis=1)
-    less = REGISTERS - equal - greater
-    return equal, plausible(greater, equal, less, sizes[node], sizes[others])
+        likeness = _likeness(rows, sizes, node, wanted)
+        likeness[: node + 1] = -1
+        likeness[groups == groups[node]] = -1
+        for other in np.flatnonzero(likeness >= 0):
+            yield node, other
+
+
+def _likeness(rows, sizes, node, wanted):
+    """Equal registers of a member with every other one; -1 where they cannot be similar."""
+    fits = wanted * np.maximum(sizes, sizes[node]) <= np.minimum(sizes, sizes[node]) * (1 + 1e-9)
+    fits[node] = False
+    out = np.full(len(sizes), -1)
+    some = np.flatnonzero(fits)
+    equal = (rows[node] == rows[some]).sum(axis=1)
+    greater = (rows[node] > rows[some]).sum(axis=1)
+    good = plausible(greater, equal, REGISTERS - equal - greater, sizes[node], sizes[some], wanted)
+    out[some[good]] = equal[good]
+    return out
 
 
-def _bucket_pairs(members: DataFrame, across: bool) -> DataFrame:
+def _bucket_pairs(members: DataFrame, wanted: float, across: bool) -> DataFrame:
     """Distinct pairs ``(a, b)`` from the buckets of ``members``, read bucket by bucket."""
     keys = ["bucket", "i", "j"]
     dealt = members.repartition(*keys).sortWithinPartitions(*keys)
@@ -162,7 +177,7 @@ def _bucket_pairs(members: DataFrame, across: bool) -> DataFrame:
             sizes = np.array([rows[k][1] for k in order])
             registers = np.frombuffer(b"".join(rows[k][2] for k in order), np.uint16).reshape(len(ids), -1)
             groups = np.array([rows[k][3] for k in order]) if across else None
-            pairs = [(int(ids[x]), int(ids[y])) for x, y in _pairs_of(ids, sizes, registers, groups)]
+            pairs = [(int(ids[x]), int(ids[y])) for x, y in _pairs_of(sizes, registers, wanted, groups)]
             for lo in range(0, len(pairs), 10_000):
                 some = pairs[lo : lo + 10_000]
                 yield pa.RecordBatch.from_arrays(
@@ -216,7 +231,7 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: st
         "id",
         F.explode(F.array(*(
             F.xxhash64(F.lit(k), F.substring("registers", 2 * BAND * k + 1, 2 * BAND))
-            for k in range(REGISTERS // BAND)
+            for k in range(BANDS)
         ))).alias("bucket"),
     )
     same = bands.groupBy("bucket").agg(
@@ -236,7 +251,7 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: st
         ),
         "members",
     )
-    pairs = stage(_bucket_pairs(members, across=False), "pairs")
+    pairs = stage(_bucket_pairs(members, percent / 100, across=False), "pairs")
     wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
     few = wanted.count() <= SMALL_IDS  # otherwise both sides are shuffled by id
     chosen = texts.join(F.broadcast(wanted) if few else wanted, F.col("doc_id") == F.col("id"), "left_semi")
@@ -249,7 +264,7 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: st
     )
     mixed = placed.groupBy("bucket", "i", "j").agg(F.min("component").alias("u"), F.max("component").alias("v"))
     open_ = placed.join(mixed.where("u < v").drop("u", "v"), ["bucket", "i", "j"])
-    more = stage(_bucket_pairs(open_, across=True).join(pairs, ["a", "b"], "left_anti"), "more-pairs")
+    more = stage(_bucket_pairs(open_, percent / 100, across=True).join(pairs, ["a", "b"], "left_anti"), "more-pairs")
     if more.limit(1).count():
         links = stage(links.unionByName(_confirmed(more, sets, percent)), "all-links")
         parts = components(links)
