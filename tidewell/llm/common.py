@@ -75,10 +75,11 @@ def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads each value's bits over the whole 64 (overwrites nothing)."""
     x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(27)
     x *= np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -94,12 +95,31 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
+class SpanHashes:
+    """64-bit hashes of byte strings in ``data``, equal bytes giving equal hashes anywhere."""
+
+    def __init__(self, data: np.ndarray):
+        up, self.down = _powers(len(data) + 1)
+        self.total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_BYTE_VALUE[data] * up[: len(data)], out=self.total[1:])
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The hash of each ``data[start:end]``."""
+        spans = (self.total[ends] - self.total[starts]) * self.down[starts]
+        return mix(spans + (ends - starts).astype(np.uint64))
+
+    def windows(self, width: int) -> np.ndarray:
+        """The hash of the ``width`` bytes from each place on."""
+        n = len(self.total) - width
+        spans = self.total[width:] - self.total[:n]
+        spans *= self.down[:n]
+        spans += np.uint64(width)
+        return mix(spans)
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each ``data[start:end]``, equal bytes giving equal hashes anywhere."""
-    up, down = _powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUE[data] * up[: len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    """The hash of each ``data[start:end]``."""
+    return SpanHashes(data).of(starts, ends)
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, width: int) -> list[np.ndarray]:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import mix, slices, span_hashes, stage, text_bytes
+from tidewell.llm.common import SpanHashes, mix, slices, span_hashes, stage, text_bytes
 
 LENGTH = 200
 ANCHOR = 32  # bytes of an anchor
@@ -262,7 +262,7 @@ def repeated_windows(segments: list[bytes], counts: list[int], length: int) -> l
 # --- segments ----------------------------------------------------------------------------------
 
 
-def anchors(data: np.ndarray, bounds: np.ndarray, length: int):
+def anchors(data: np.ndarray, bounds: np.ndarray, length: int, hashed: SpanHashes | None = None):
     """Segments ``(text number, start, end, anchor, places)`` that cover every window of every text.
 
     ``places`` is 2 where the segment's windows take their anchor from several places: only such a
@@ -272,14 +272,17 @@ def anchors(data: np.ndarray, bounds: np.ndarray, length: int):
     if n < length:
         return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.int64))
     starts = np.arange(n - span + 1)
-    hashes = span_hashes(data, starts, starts + span)
+    hashes = (hashed or SpanHashes(data)).windows(span)
     # Least hash over each window by doubling; low bits hold the place, so the leftmost one wins.
     bits = np.uint64(n.bit_length())
-    least = (hashes >> bits << bits) | starts.astype(np.uint64)
+    least = hashes >> bits
+    least <<= bits
+    least |= starts.view(np.uint64)
     reach, wanted = 1, length - span + 1
     while reach < wanted:
         step = min(reach, wanted - reach)
-        least = np.minimum(least[: len(least) - step], least[step:])
+        # Each value is taken before the one it is compared with changes.
+        least = np.minimum(least[: len(least) - step], least[step:], out=least[: len(least) - step])
         reach += step
     place = (least & np.uint64((1 << int(bits)) - 1)).astype(np.int64)
     value = hashes[place]
@@ -317,8 +320,9 @@ def _segments(texts: DataFrame, length: int) -> DataFrame:
             data, bounds = text_bytes(batch.column(2))
             for lo, hi in slices(bounds):
                 part, edge = data[bounds[lo] : bounds[hi]], bounds[lo : hi + 1] - bounds[lo]
-                text, start, end, anchor, places = anchors(part, edge, length)
-                name = mix(span_hashes(part, start, end) ^ anchor)
+                hashed = SpanHashes(part)
+                text, start, end, anchor, places = anchors(part, edge, length, hashed)
+                name = mix(hashed.of(start, end) ^ anchor)
                 keys = pa.array(text + lo, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(keys), batch.column(1).take(keys),
@@ -453,11 +457,15 @@ def remove_repeats(
             out = ([], [], [])
             for row in range(batch.num_rows):
                 data, _ = text_bytes(batch.column(0).slice(row, 1))
+                pieces = batch.column(1)[row].values
                 gone = np.zeros(len(data) + 1, np.int32)
-                for piece in batch.column(1)[row].as_py() or ():
-                    edges = np.array(piece["runs"]) + piece["start"]
-                    np.add.at(gone, edges[::2], 1)
-                    np.add.at(gone, edges[1::2] - 1 + length, -1)
+                if pieces is not None and len(pieces):
+                    # Each piece's runs, as places in the text.
+                    runs = pieces.field("runs")
+                    counts = np.diff(np.asarray(runs.offsets))
+                    edges = np.asarray(runs.flatten()) + np.repeat(np.asarray(pieces.field("start")), counts)
+                    gone += np.bincount(edges[::2], minlength=len(gone)).astype(np.int32)
+                    gone -= np.bincount(edges[1::2] - 1 + length, minlength=len(gone)).astype(np.int32)
                 covered = np.cumsum(gone[:-1]) > 0
                 edges = np.flatnonzero(np.diff(np.concatenate(([False], covered, [False])).astype(np.int8)))
                 kept = data[~covered].tobytes()
