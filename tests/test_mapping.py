@@ -87,12 +87,23 @@ def test_second_sync_covers_everything(spark):
 @pytest.mark.parametrize("n", [0, 1, 77, 500, 999, 1000, 1500])
 def test_large_samples_are_exact(spark, monkeypatch, n):
     df = spark.range(1000).withColumnRenamed("id", "k")
-    small = {r["k"] for r in sampling.sample_exact(df, "k", n, seed=4).collect()}
-    monkeypatch.setattr(sampling, "SMALL_SAMPLE", 0)
+    small = {r["k"] for r in df.orderBy(sampling.sample_order("k", 4)).limit(n).collect()}
+    monkeypatch.setattr(sampling, "_DIGIT_BITS", 8)
+    monkeypatch.setattr(sampling, "_DIGITS", 256)
     large = [r["k"] for r in sampling.sample_exact(df.repartition(5), "k", n, seed=4).collect()]
     assert len(large) == min(n, 1000) and set(large) == small
 
 
+@pytest.mark.parametrize("n", [10, 400, 650])
+def test_samples_of_a_repeated_key_are_exact(spark, monkeypatch, n):
+    monkeypatch.setattr(sampling, "_DIGIT_BITS", 4)
+    monkeypatch.setattr(sampling, "_DIGITS", 16)
+    df = spark.range(700).select(F.when(F.col("id") < 500, 7).otherwise(F.col("id")).alias("k"), (F.col("id") % 350).alias("v"))
+    first = sampling.sample_exact(df, "k", n, seed=1)
+    assert first.count() == n and first.exceptAll(df).isEmpty()
+    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, sampling.sample_exact(df.repartition(9), "k", n, seed=1).collect()))
+
+
 def test_rank_follows_the_sample_order(spark):
     df = spark.range(300).withColumnRenamed("id", "k")
     ranks = {r["rank"]: r["k"] for r in sampling.with_rank(df, "k", seed=2).collect()}
@@ -192,3 +203,70 @@ def test_update_writes_nulls(spark):
     changes = spark.createDataFrame([(1, None, 1), (1, "x", 0), (9, "y", 0)], "id int, v string, n int")
     rows = sorted(tuple(r) for r in keyed.update_by_key(target, changes, "id", "v", order="n").collect())
     assert rows == [(1, None, 1), (2, "b", 2)]
+
+
+def test_update_of_a_repeated_key_fails_without_an_order(spark):
+    target = spark.createDataFrame([(1, "a")], "id int, v string")
+    changes = spark.createDataFrame([(1, "b"), (1, "c")], "id int, v string")
+    with pytest.raises(Exception, match="changed twice"):
+        keyed.update_by_key(target, changes, "id", "v").collect()
+
+
+def test_null_keys_change_nothing(spark):
+    target = spark.createDataFrame([(1, "a", 0), (None, "n", 0)], "id int, v string, n int")
+    changes = spark.createDataFrame([(None, "x", 1), (2, "b", 1), (1, "c", 1)], "id int, v string, n int")
+    once = keyed.upsert_by_key(target, changes, "id", "n")
+    twice = keyed.upsert_by_key(once, changes, "id", "n")
+    rows = sorted((r["id"] or 0, r["v"]) for r in twice.collect())
+    assert rows == sorted((r["id"] or 0, r["v"]) for r in once.collect()) == [(0, "n"), (1, "c"), (2, "b")]
+    assert keyed.split_null_keys(changes, "id")[1].count() == 1
+
+
+def test_rows_that_cannot_be_repaired_are_returned(spark):
+    rows = spark.range(50).select("id", F.lit(1).alias("v"))
+    done = mapping.repair_unique_columns(rows, rows.limit(0), {"v": lambda n: F.lit(1)}, ["id"], max_attempts=2)
+    assert (done.accepted.count(), done.rejected.count(), done.skipped) == (1, 49, 49)
+
+
+def fullest_share(spark, df):
+    """The largest part of a join's probe rows that one task read."""
+    # The id stays in the plan, so that rows of one key have a size of their own.
+    sizes = df.select(F.spark_partition_id().alias("p"), "id").groupBy("p").agg(F.count("*").alias("n"), F.max("id"))
+    total = sizes.agg(F.sum("n"), F.max("n")).first()
+    return total[1] / total[0]
+
+
+@pytest.mark.parametrize("side", ["left", "right", "null"])
+def test_existence_joins_split_hot_keys(spark, side):
+    hot = F.lit(None).cast("long") if side == "null" else F.lit(7).cast("long")
+    skewed = spark.range(300_000).select(F.when(F.col("id") % 3 == 0, hot).otherwise(F.col("id")).alias("k"), "id")
+    even = spark.range(300_000).select(F.col("id").alias("k"), "id").where("k % 2 = 1")
+    left, right = (even, skewed) if side == "right" else (skewed, even)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        join = keyed.absent_by_key if side == "null" else keyed.present_by_key
+        assert fullest_share(spark, join(left, right, "k")) < 0.2
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_staged_copies_are_removed(spark):
+    import os
+
+    from tidewell import session
+
+    session.release_staged(spark)
+    copy = session.staged(spark.range(5))
+    path = copy.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(path) and copy.count() == 5
+    assert session.release_staged(spark) == 1 and not os.path.exists(path)

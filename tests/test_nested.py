@@ -28,7 +28,7 @@ def frame(spark):
 
 
 def test_flatten_explode(spark):
-    flat = nested.flatten(frame(spark))
+    flat = nested.flatten(frame(spark), max_keys=100)
     assert flat.columns == ["id", "arr", "s_a", "arr_s_x", "k1", "k2", "j1", "s_b_c"]
     rows = {(r["id"], r["arr"], r["arr_s_x"], r["s_b_c"], r["k1"], r["k2"], r["j1"]) for r in flat.collect()}
     assert rows == {(1, 1, 7, "p", 1, None, 5), (1, 2, 7, "p", 1, None, 5),
@@ -36,7 +36,7 @@ def test_flatten_explode(spark):
 
 
 def test_flatten_outer_keeps_rows(spark):
-    flat = nested.flatten(frame(spark), mode="outer")
+    flat = nested.flatten(frame(spark), mode="outer", max_keys=100)
     assert sorted({r["id"] for r in flat.collect()}) == [1, 2, 3, 4]
 
 
@@ -65,7 +65,7 @@ def test_name_clash_is_an_error(spark):
 def test_flatten_keeps_leaves(spark, rows):
     data = [(i, (a, [(x,) for x in xs])) for i, (a, xs) in enumerate(rows)]
     df = spark.createDataFrame(data, "id int, s struct<a int, l array<struct<x int>>>")
-    flat = nested.flatten(df)
+    flat = nested.flatten(df, max_keys=100)
     expected = sorted((i, a, x) for i, (a, xs) in enumerate(rows) for x in xs)
     assert sorted((r["id"], r["s_a"], r["s_l_x"]) for r in flat.collect()) == expected
 
@@ -109,7 +109,12 @@ def test_writer_schema_from_header(spark, tmp_path):
     schema = json.dumps({"type": "record", "name": "r", "fields": [{"name": "d", "type": decimal_type(50)}]})
     entries = b"".join(zigzag(len(x)) + x for x in (b"avro.codec", b"null", b"avro.schema", schema.encode()))
     (tmp_path / "a.avro").write_bytes(b"Obj\x01" + zigzag(2) + entries + zigzag(0) + b"s" * 16)
-    assert avro.writer_schema(spark, str(tmp_path)) == schema
+    assert avro.writer_schema(spark, str(tmp_path / "a.avro")) == schema
+    other = schema.replace("\"d\"", "\"e\"").encode()
+    entries = b"".join(zigzag(len(x)) + x for x in (b"avro.schema", other))
+    (tmp_path / "b.avro").write_bytes(b"Obj\x01" + zigzag(1) + entries + zigzag(0) + b"s" * 16)
+    with pytest.raises(ValueError, match="2 writer schemas"):
+        avro.writer_schema(spark, str(tmp_path))
     with pytest.raises(ValueError):
         avro.header_schema(b"PAR1")
 

@@ -78,10 +78,10 @@ def test_rule_order_and_captures(spark):
         [("env.ti.finish.dagA.taskB.success",), ("env.ti.start.dagA.my_start",), ("odd",), ("a.b.c.job_end",), (None,)], "name string")
     rows = {r["name"]: (r["metric"], r["labels"]) for r in metrics.map_metric_names(df).collect()}
     assert rows["env.ti.finish.dagA.taskB.success"] == (
-        "af_agg_ti_finish", {"airflow_id": "env", "dag_id": "dagA", "task_id": "taskB", "state": "success"})
+        "af_agg_ti_finish", {"instance": "env", "dag_id": "dagA", "task_id": "taskB", "state": "success"})
     assert rows["env.ti.start.dagA.my_start"] == (
-        "af_agg_job_start", {"airflow_id": "env.ti.start.dagA", "job_name": "my"})
-    assert rows["a.b.c.job_end"] == ("af_agg_job_end", {"airflow_id": "a.b.c", "job_name": "job"})
+        "af_agg_job_start", {"instance": "env.ti.start.dagA", "job_name": "my"})
+    assert rows["a.b.c.job_end"] == ("af_agg_job_end", {"instance": "a.b.c", "job_name": "job"})
     assert rows["odd"] == (None, None) and rows[None] == (None, None)
     globs = {r["name"]: r["metric"] for r in metrics.map_metric_names(df, precedence="glob").collect()}
     assert globs["env.ti.start.dagA.my_start"] == "af_agg_ti_start"

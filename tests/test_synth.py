@@ -81,3 +81,8 @@ def test_workload_overlap_and_log(spark):
     again = workload.change_events(table.repartition(3), "id", {"phone": F.lit("x")}, 5, 2, 2, seed=9)
     once = workload.change_events(table, "id", {"phone": F.lit("x")}, 5, 2, 2, seed=9)
     assert sorted(map(repr, again.collect())) == sorted(map(repr, once.collect()))
+
+
+def test_keys_beyond_the_range_fail(spark):
+    with pytest.raises(Exception, match="no unique number"):
+        spark.range(11).select(draws.unique_number(F.col("id"), 0, 10, 7)).collect()

@@ -84,10 +84,14 @@ def uuid_text(name: str, key: Column, seed: int = 0) -> Column:
 def unique_number(key: Column, low: int, size: int, step: int) -> Column:
     """A different number in [low, low + size) for each key in [0, size): no two keys collide.
 
-    Multiplying by a step that shares no factor with ``size`` permutes the range.
+    Multiplying by a step that shares no factor with ``size`` permutes the range. A key outside it
+    fails the query, as its number would repeat another one's.
     """
     if math.gcd(step, size) != 1:
         raise ValueError("step and size share a factor")
     if size * step >= 1 << 63:
         raise ValueError("size * step does not fit a long")
-    return F.pmod(key.cast("long") * F.lit(step).cast("long"), F.lit(size).cast("long")) + F.lit(low).cast("long")
+    place = key.cast("long")
+    number = F.pmod(place * F.lit(step).cast("long"), F.lit(size).cast("long")) + F.lit(low).cast("long")
+    beyond = F.raise_error(F.concat(F.lit(f"no unique number below {size} for key "), place.cast("string")))
+    return F.when(place.isNull() | place.between(0, size - 1), number).otherwise(beyond.cast("long"))

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tidewell.functions.clock import wall_literal
 from tidewell.functions.codes import operation_code
 from tidewell.functions.text import quoted
-from tidewell.operators.keyed import absent_by_key, as_list, latest_per_key, present_by_key
+from tidewell.operators.keyed import absent_by_key, as_list, latest_per_key, split_null_keys, upsert_by_key
 
 # Offsets of commit number and log position from the row id, and what later
 # operations add to them.
@@ -169,8 +169,8 @@ def position_number(pos: Column) -> Column:
 
 
 def latest_changes(log: DataFrame, keys, order) -> DataFrame:
-    """The last event of each key."""
-    return latest_per_key(log, keys, order)
+    """The last event of each key. Events with a NULL key concern no row: see ``split_null_keys``."""
+    return latest_per_key(split_null_keys(log, keys)[0], keys, order)
 
 
 def apply_changes(
@@ -195,10 +195,7 @@ def merge_with_markers(
 
     A late older upsert then cannot bring back a deleted row. ``live_rows`` drops the markers.
     """
-    fresh = latest_changes(log.select(*state.columns), keys, order)
-    untouched = absent_by_key(state, log, keys)
-    touched = present_by_key(state, log, keys)
-    return untouched.unionByName(latest_per_key(touched.unionByName(fresh), keys, order))
+    return upsert_by_key(state, log, keys, order)
 
 
 def live_rows(state: DataFrame, op_column: str = "op") -> DataFrame:
@@ -312,7 +309,8 @@ def decode_typed_json(
     """Decode a text column whose every JSON value is wrapped as ``{"type": value}``.
 
     ``fields`` maps business columns to Spark types. ``into`` becomes a struct of the header, of
-    both images with those columns, and of ``malformed``; what the text does not carry is NULL. The text is parsed
+    both images with those columns, and of ``malformed``; what the text does not carry is NULL. A value
+    that is not of its column's type is NULL and makes the event malformed. The text is parsed
     in a projection of its own, so that it is parsed once and not once per field.
     """
     header = ("table", "op_type", "op_ts", "current_ts", "pos")
@@ -333,16 +331,23 @@ def decode_typed_json(
 
     def image_values(name: str) -> Column:
         values = [
-            unwrapped(f"{name}.row.{quoted(field)}").cast(kind).alias(field)
+            unwrapped(f"{name}.row.{quoted(field)}").try_cast(kind).alias(field)
             for field, kind in fields.items()
         ]
         return F.when(F.col(f"_json.{name}").isNotNull(), F.struct(*values)).alias(name)
 
+    bad_values = [
+        unwrapped(path).isNotNull() & unwrapped(path).try_cast(kind).isNull()
+        for name in ("before", "after")
+        for field, kind in fields.items()
+        for path in [f"{name}.row.{quoted(field)}"]
+    ]
+    malformed = reduce(lambda a, b: a | b, bad_values, F.col("_json._corrupt").isNotNull())
     event = F.struct(
         *[unwrapped(name).alias(name) for name in header],
         image_values("before"),
         image_values("after"),
-        F.col("_json._corrupt").isNotNull().alias("malformed"),
+        malformed.alias("malformed"),
     )
     return parsed.withColumn(into, event).drop("_json")
 

@@ -72,15 +72,30 @@ def pick_survivor(df: DataFrame, keys, preference: list[Column]) -> DataFrame:
     return _top_row(df, keys, list(preference))
 
 
-def _match(left: DataFrame, right: DataFrame, left_keys, right_keys):
-    """The right side's distinct keys, renamed out of the way, and the join condition.
+def combined(df: DataFrame, keys, *aggregates: Column) -> DataFrame:
+    """One row per key, for a join on the key that can split a hot key of the other side.
 
-    Only existence counts, so repeats are combined before the shuffle: a key that holds a third of
-    the right side arrives once per task. The join uses the partitioning this leaves.
+    Repeats are combined before the shuffle, so a hot key of ``df`` arrives once per task. Grouped by
+    the keys alone, the result would be joined as it lies, and AQE splits a join only between two
+    exchanges of its own; the hash in the grouping makes Spark exchange the few combined rows anew.
     """
+    keys = as_list(keys)
+    grouped = df.groupBy(*keys, F.xxhash64(*keys).alias("_place"))
+    return (grouped.agg(*aggregates) if aggregates else grouped.agg(F.count("*").alias("_n")).drop("_n")).drop("_place")
+
+
+def split_null_keys(df: DataFrame, keys) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key columns are all set, and the others, for quarantine."""
+    whole = reduce(lambda a, b: a & b, [F.col(quoted(k)).isNotNull() for k in as_list(keys)])
+    return df.where(whole), df.where(~whole)
+
+
+def _match(left: DataFrame, right: DataFrame, left_keys, right_keys):
+    """The right side's distinct keys, renamed out of the way, and the join condition."""
     left_keys = as_list(left_keys)
     right_keys = as_list(right_keys) if right_keys is not None else left_keys
-    side = right.select(*[F.col(r).alias(f"_r{i}") for i, r in enumerate(right_keys)]).distinct()
+    names = [f"_r{i}" for i in range(len(right_keys))]
+    side = combined(right.select(*[F.col(r).alias(n) for r, n in zip(right_keys, names)]), names)
     condition = reduce(
         lambda a, b: a & b,
         [F.col(quoted(k)) == F.col(f"_r{i}") for i, k in enumerate(left_keys)],
@@ -102,36 +117,49 @@ def present_by_key(df: DataFrame, other: DataFrame, keys, other_keys=None) -> Da
 
 def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
     """Keys that hold more than ``share`` of the rows: there are fewer than ``1 / share`` of them."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
     total = df.select(F.count("*")).scalar()
-    return counts.where(F.col("_n") > total * F.lit(share)).select(key)
+    return _key_counts(df, key).where(F.col("_n") > total * F.lit(share)).select(key)
+
+
+def _key_counts(df: DataFrame, key: str) -> DataFrame:
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+
+
+MOST_HOT_KEYS = 10_000  # rows of the one broadcast: a few hundred kilobytes
 
 
 def join_many_to_one(
-    many: DataFrame, one: DataFrame, key: str, hot_share: float = 0.01, salts: int = 64
+    many: DataFrame, one: DataFrame, key: str, hot_share: float | None = None, salts: int | None = None,
+    task_rows: int = 1_000_000,
 ) -> DataFrame:
     """Inner join on a key that ``one`` holds once and of which ``many`` may hold any number.
 
-    Rows of a hot key are dealt over ``salts`` groups, and the one matching row is copied to each,
-    so that no task gets a whole hot key, whatever the session's skew settings are. The hot keys
-    are at most ``1 / hot_share`` rows, which bounds the broadcast. A row's group comes from its
-    content and its input partition: equal copies are spread too, and a retried task deals alike.
+    A key with more than ``task_rows`` rows is dealt over as many groups as it holds that many rows,
+    and the one matching row is copied to each, so no task gets a whole hot key, whatever the
+    session's skew settings are. Beyond ``MOST_HOT_KEYS`` times ``task_rows`` rows a group grows
+    with the table instead, so the broadcast of the hot keys stays bounded. ``hot_share`` (a share of the
+    rows in place of ``task_rows``) and ``salts`` (one number of groups for every hot key) set them
+    by hand. A row's group comes from its content and its input partition: equal copies are spread
+    too, and a retried task deals alike.
     """
+    total = many.count()
+    reach = max(task_rows, -(-total // MOST_HOT_KEYS)) if hot_share is None else max(total * hot_share, 1)
+    groups = F.ceil(F.col("_n") / F.lit(reach)).cast("int") if salts is None else F.lit(salts)
     hot = F.broadcast(
-        hot_keys(many, key, hot_share).select(F.col(key).alias("_hot"))
+        _key_counts(many, key).where(F.col("_n") > reach).select(F.col(key).alias("_hot"), groups.alias("_salts"))
     )
     place = F.xxhash64(content_hash(many), F.spark_partition_id())
-    deal = F.pmod(place, F.lit(salts)).cast("int")
+    deal = F.pmod(place, F.col("_salts")).cast("int")
     dealt = many.join(hot, F.col(quoted(key)) == F.col("_hot"), "left").withColumn(
         "_salt", F.when(F.col("_hot").isNotNull(), deal).otherwise(0)
     )
-    copies = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
+    copies = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.col("_salts") - 1)).otherwise(
         F.array(F.lit(0))
     )
     copied = one.join(hot, F.col(quoted(key)) == F.col("_hot"), "left").withColumn(
         "_salt", F.explode(copies)
     )
-    return dealt.drop("_hot").join(copied.drop("_hot"), [key, "_salt"]).drop("_salt")
+    return dealt.drop("_hot", "_salts").join(copied.drop("_hot", "_salts"), [key, "_salt"]).drop("_salt")
 
 
 def either_key_absent(df: DataFrame, existing: DataFrame, keys) -> DataFrame:
@@ -147,11 +175,15 @@ def either_key_absent(df: DataFrame, existing: DataFrame, keys) -> DataFrame:
 def upsert_by_key(target: DataFrame, changes: DataFrame, keys, order) -> DataFrame:
     """Insert or replace rows by key. A change older than the stored row leaves it as it is.
 
+    Changes with a NULL key concern no row and are passed over, so applying them again changes nothing;
+    ``split_null_keys`` gives them for quarantine. Stored rows with a NULL key stay as they are.
+
     The target is read once whole and once for its key columns. With a small change set AQE
     broadcasts the changes both times, so the target is not shuffled.
     """
     keys, order = as_list(keys), as_list(order)
-    fresh = latest_per_key(changes.select(*target.columns), keys, order)
+    changes, _ = split_null_keys(changes.select(*target.columns), keys)
+    fresh = latest_per_key(changes, keys, order)
     rest = [c for c in target.columns if c not in keys]
     incoming = fresh.select(
         *[F.col(quoted(k)).alias(f"_k{i}") for i, k in enumerate(keys)],
@@ -185,15 +217,18 @@ def delete_by_key(target: DataFrame, doomed: DataFrame, keys) -> DataFrame:
 def update_by_key(target: DataFrame, changes: DataFrame, keys, columns, order=None) -> DataFrame:
     """Set ``columns`` from ``changes`` where the key matches; a NULL in a change is written.
 
-    ``changes`` needs one row per key; give ``order`` to take the latest of several.
+    Give ``order`` to take the latest of several changes of one key; without it a key that is
+    changed twice fails the query, and never multiplies rows.
     """
     keys, columns = as_list(keys), as_list(columns)
     if order is not None:
         changes = latest_per_key(changes, keys, order)
-    incoming = changes.select(
-        *[F.col(quoted(k)).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.struct(*[F.col(quoted(c)) for c in columns]).alias("_new"),
-    )
+    once = F.when(
+        F.count("*") > 1, F.raise_error(F.lit("a key is changed twice: give an order"))
+    ).otherwise(F.first(F.struct(*[F.col(quoted(c)) for c in columns])))
+    incoming = split_null_keys(changes, keys)[0].groupBy(
+        *[F.col(quoted(k)).alias(f"_k{i}") for i, k in enumerate(keys)]
+    ).agg(once.alias("_new"))
     same_key = reduce(
         lambda a, b: a & b,
         [F.col(quoted(k)) == F.col(f"_k{i}") for i, k in enumerate(keys)],

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.operators.keyed import (
     absent_by_key,
+    combined,
     duplicate_groups,
     either_key_absent,
     present_by_key,
@@ -108,46 +110,77 @@ def assign_unique_uuids(
     return fixed.select(key, "uuid")
 
 
-def repair_unique(df: DataFrame, existing: DataFrame, column: str, order, redraw, max_attempts=5):
-    """Make ``column`` unique against ``existing`` and within ``df`` by drawing anew.
+@dataclass
+class Repair:
+    """Rows with unique values, the rows that got none, and how many draws each column took."""
+
+    accepted: DataFrame
+    rejected: DataFrame
+    regenerated: dict[str, int]
+    skipped: int
+
 
-    The first row of a value by ``order``, which must give every row its own place, keeps it; the
-    others draw ``redraw(attempt)``, up to
-    ``max_attempts`` times. Returns the rows that got a value and the counts
-    ``regenerated`` (draws made) and ``skipped`` (rows left without a value).
+def repair_unique_columns(
+    df: DataFrame, existing: DataFrame, redraws: dict, order, max_attempts: int = 5
+) -> Repair:
+    """Make several columns unique at once, against ``existing`` and within ``df``, by drawing anew.
+
+    ``redraws`` names the columns and gives each a function of the attempt's number. The first row
+    of a value by ``order``, which must give every row its own place, keeps it unless it is stored
+    already; a row draws anew only in the columns that clash, up to ``max_attempts`` times. What
+    still clashes then is returned as ``rejected``, with its last values.
+
+    Each attempt reads the rows that still clash and writes them once; the others are written once.
     """
     columns = df.columns
-    taken = existing.select(column).where(F.col(column).isNotNull())
-    pending, accepted, regenerated = df, None, 0
+    taken = {c: existing.select(c).where(F.col(c).isNotNull()) for c in redraws}
+    pending, accepted, regenerated = df, None, dict.fromkeys(redraws, 0)
     for attempt in range(max_attempts + 1):
-        winner = _first_of_value(pending, column, order)
-        judged = staged(
-            winner.join(
-                taken.distinct().withColumn("_stored", F.lit(True)), column, "left"
-            ).select(*columns, (F.col("_first") & F.col("_stored").isNull()).alias("_ok")),
-            "repair",
-        )
-        good = judged.where("_ok").select(*columns)
+        judged = pending
+        for i, column in enumerate(redraws):
+            stored = combined(taken[column], column).select(
+                F.col(column).alias(f"_s{i}"), F.lit(True).alias(f"_stored{i}")
+            )
+            judged = _first_of_value(judged, column, order, f"_first{i}")
+            judged = judged.join(stored, F.col(column) == F.col(f"_s{i}"), "left").withColumn(
+                f"_bad{i}", ~F.col(f"_first{i}") | F.col(f"_stored{i}").isNotNull()
+            )
+        bad = [f"_bad{i}" for i in range(len(redraws))]
+        judged = staged(judged.select(*columns, *bad), "repair")
+        free = reduce(lambda a, b: a & b, [~F.col(b) for b in bad])
+        good = judged.where(free).select(*columns)
         accepted = good if accepted is None else accepted.unionByName(good)
-        pending = judged.where("not _ok").select(*columns)
-        left = pending.count()
-        if left == 0 or attempt == max_attempts:
-            return accepted, {"regenerated": regenerated, "skipped": left}
-        regenerated += left
-        taken = taken.unionByName(good.select(column))
-        pending = pending.withColumn(column, redraw(attempt + 1))
+        clashing = judged.where(~free)
+        counts = clashing.agg(F.count("*").alias("n"), *[F.count_if(b).alias(b) for b in bad]).first()
+        if counts["n"] == 0 or attempt == max_attempts:
+            return Repair(accepted, clashing.select(*columns), regenerated, counts["n"])
+        for i, (column, redraw) in enumerate(redraws.items()):
+            regenerated[column] += counts[f"_bad{i}"]
+            taken[column] = taken[column].unionByName(good.select(column))
+            clashing = clashing.withColumn(
+                column, F.when(F.col(f"_bad{i}"), redraw(attempt + 1)).otherwise(F.col(column))
+            )
+        pending = clashing.select(*columns)
 
 
-def _first_of_value(df: DataFrame, column: str, order) -> DataFrame:
-    """``_first`` marks the first row of each value; a row without a value clashes with none.
+def repair_unique(df: DataFrame, existing: DataFrame, column: str, order, redraw, max_attempts=5):
+    """``repair_unique_columns`` for one column: the rows that got a value, and the counts
+    ``regenerated`` (draws made) and ``skipped`` (rows left without a value)."""
+    done = repair_unique_columns(df, existing, {column: redraw}, order, max_attempts)
+    return done.accepted, {"regenerated": done.regenerated[column], "skipped": done.skipped}
 
-    The minimum is combined before the shuffle; the join back is split by AQE for a hot value.
+
+def _first_of_value(df: DataFrame, column: str, order, name: str = "_first") -> DataFrame:
+    """``name`` marks the first row of each value; a row without a value clashes with none.
+
+    The minimum is combined before the shuffle, and the join back is one that AQE can split.
     """
     rank = F.struct(*[F.col(c) for c in order])
-    least = df.groupBy(column).agg(F.min(rank).alias("_least"))
-    return df.join(least, column, "left").withColumn(
-        "_first", F.col(column).isNull() | rank.eqNullSafe(F.col("_least"))
-    )
+    least = combined(df.where(F.col(column).isNotNull()), column, F.min(rank).alias("_least"))
+    least = least.withColumnRenamed(column, "_value")
+    joined = df.join(least, F.col(column) == F.col("_value"), "left")
+    first = F.col(column).isNull() | rank.eqNullSafe(F.col("_least"))
+    return joined.withColumn(name, first).drop("_value", "_least")
 
 
 def load_skipping_duplicates(existing: DataFrame, incoming: DataFrame, unique_keys, order):
@@ -156,35 +189,45 @@ def load_skipping_duplicates(existing: DataFrame, incoming: DataFrame, unique_ke
     A row is loaded if no stored row and no row loaded before it shares any unique key. ``order``
     must give every row its own place. Rows that share no key are decided at once; the rest is
     decided in rounds: a row that comes first for all its keys is loaded, the rows that share a
-    key with it are rejected, and what is left goes on.
+    key with it are rejected, and what is left goes on. A round reads and writes only rows that are
+    still undecided, so the work falls with the rows that clash; the number of rounds is the length of
+    the longest chain of rows that wait for one another.
     """
     columns = incoming.columns
-    candidates = either_key_absent(incoming, existing, unique_keys)
-    rejected = incoming.join(candidates.select(*order), list(order), "left_anti")
-    rank = F.struct(*[F.col(c) for c in order])
-    pending, loaded, refused = staged(candidates, "load"), [], [rejected]
+    candidates = staged(either_key_absent(incoming, existing, unique_keys), "load")
+    refused = [incoming.join(candidates.select(*order), list(order), "left_anti")]
+    # Rows whose every key value occurs once are loaded at once and never looked at again.
+    alone = candidates
+    for i, k in enumerate(unique_keys):
+        counts = combined(candidates.where(F.col(k).isNotNull()), k, F.count("*").alias(f"_n{i}"))
+        alone = alone.join(counts.withColumnRenamed(k, f"_k{i}"), F.col(k) == F.col(f"_k{i}"), "left")
+    clashes = reduce(
+        lambda a, b: a | b, [F.coalesce(F.col(f"_n{i}") > 1, F.lit(False)) for i in range(len(unique_keys))]
+    )
+    marked = staged(alone.withColumn("_clash", clashes).select(*columns, "_clash"), "load")
+    loaded = [marked.where("not _clash").select(*columns)]
+    pending = marked.where("_clash").select(*columns)
     while not pending.isEmpty():
-        marked = pending
+        judged = pending
         for i, k in enumerate(unique_keys):
-            least = pending.groupBy(k).agg(F.min(rank).alias(f"_m{i}"))
-            marked = marked.join(least, k, "left")
-        first = None
+            judged = _first_of_value(judged, k, order, f"_first{i}")
+        first = reduce(lambda a, b: a & b, [F.col(f"_first{i}") for i in range(len(unique_keys))])
+        judged = staged(judged.withColumn("_win", first).select(*columns, "_win"), "load")
+        winners = judged.where("_win").select(*columns)
+        rest = judged.where("not _win").select(*columns)
+        # A loser that shares a key with a winner is decided; the others go on.
+        lost = F.lit(False)
         for i, k in enumerate(unique_keys):
-            here = F.col(k).isNull() | (rank == F.col(f"_m{i}"))
-            first = here if first is None else first & here
-        marked = staged(marked.withColumn("_first", first), "load")
-        winners = marked.where("_first").select(*columns)
-        rest = marked.where("not _first").select(*columns)
-        survivors = staged(either_key_absent(rest, winners, unique_keys), "load")
+            won = combined(winners.where(F.col(k).isNotNull()), k).withColumnRenamed(k, f"_w{i}")
+            rest = rest.join(won, F.col(k) == F.col(f"_w{i}"), "left")
+            lost = lost | F.col(f"_w{i}").isNotNull()
+        rest = staged(rest.withColumn("_lost", lost).select(*columns, "_lost"), "load")
         loaded.append(winners)
-        refused.append(rest.join(survivors.select(*order), list(order), "left_anti"))
-        pending = survivors
-    accept, reject = None, None
-    for part in loaded:
-        accept = part if accept is None else accept.unionByName(part)
-    for part in refused:
-        reject = part.select(*columns) if reject is None else reject.unionByName(part.select(*columns))
-    return (accept if accept is not None else incoming.limit(0)), reject
+        refused.append(rest.where("_lost").select(*columns))
+        pending = rest.where("not _lost").select(*columns)
+    return reduce(DataFrame.unionByName, loaded), reduce(
+        DataFrame.unionByName, [part.select(*columns) for part in refused]
+    )
 
 
 def sync_sampled_copy(

@@ -71,17 +71,19 @@ def distinct_map_keys(df: DataFrame, column: str) -> DataFrame:
 
 
 def map_keys_as_columns(
-    df: DataFrame, keys: dict[str, list] | None = None, columns=None, max_keys: int = 1000
+    df: DataFrame, keys: dict[str, list] | None = None, columns=None, max_keys: int | None = None
 ) -> DataFrame:
     """Each map key as a column named by it, after the other columns.
 
-    Give ``keys`` to skip the job that finds them. More than ``max_keys`` keys is an error,
-    since each of them becomes a column: none is left out.
+    Give ``keys``, or say with ``max_keys`` how many columns the caller is ready for: more keys than
+    that are an error, none is left out. Maps with any number of keys go to ``explode_maps``.
     """
     keys = dict(keys or {})
     columns = list(columns or columns_of_type(df, T.MapType))
     for c in columns:
         if c not in keys:
+            if max_keys is None:
+                raise ValueError(f"give the keys of map {c}, or max_keys")
             found = distinct_map_keys(df, c).limit(max_keys + 1).collect()
             if len(found) > max_keys:
                 raise ValueError(f"map {c} has more than {max_keys} keys; use explode_maps")
@@ -99,11 +101,12 @@ def map_keys_as_columns(
 
 
 def flatten(
-    df: DataFrame, maps: str = "columns", mode: str = "explode", max_keys: int = 1000
+    df: DataFrame, maps: str = "columns", mode: str = "explode", max_keys: int | None = None
 ) -> DataFrame:
     """Flatten until no array, struct or map is left; each round takes them in that order.
 
-    ``maps`` is ``columns`` (a column per key) or ``rows`` (a row per entry).
+    ``maps`` is ``columns`` (a column per key, at most ``max_keys``) or ``rows`` (a row per entry).
+    Two arrays of one row multiply.
     """
     while columns_of_type(df, T.ArrayType, T.StructType, T.MapType):
         if columns_of_type(df, T.ArrayType):

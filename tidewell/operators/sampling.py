@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.operators.keyed import as_list
+from tidewell.operators.keyed import as_list, content_hash
 
 # The sampling hash is cut into two digits of 16 bits; a count per digit is at most 65,536 rows.
 _DIGIT_BITS = 16
 _DIGITS = 1 << _DIGIT_BITS
-# Below this many rows the ordinary top-n is cheaper than two counting passes.
-SMALL_SAMPLE = 100_000
 
 
 def sample_order(keys, seed: int) -> Column:
@@ -21,47 +20,59 @@ def sample_order(keys, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), *[F.col(k) for k in as_list(keys)])
 
 
+def digest_order(keys, seed: int) -> Column:
+    """The same as a number that other engines can form: the first 60 bits of an MD5 digest."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in as_list(keys)])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
 def _digit(hashed: Column, index: int) -> Column:
-    """The first or second 16 bits of the signed hash, so that digits sort as the hash does."""
+    """The ``index``-th 16 bits of the signed hash, so that digits sort as the hash does."""
     if index == 0:
         return F.shiftright(hashed, 64 - _DIGIT_BITS) + F.lit(_DIGITS // 2)
-    return F.shiftright(hashed, 64 - 2 * _DIGIT_BITS).bitwiseAND(F.lit(_DIGITS - 1).cast("long"))
+    return F.shiftright(hashed, 64 - (index + 1) * _DIGIT_BITS).bitwiseAND(F.lit(_DIGITS - 1).cast("long"))
 
 
-def _boundary(df: DataFrame, digit: Column, n: int) -> tuple[int, int]:
-    """The digit that the n-th row falls on, and how many rows lie before that digit."""
+def _boundary(df: DataFrame, digit: Column, n: int) -> tuple[int, int, int]:
+    """The digit that the n-th row falls on, the rows before that digit, and the rows on it."""
     counts = df.groupBy(digit.alias("d")).agg(F.count("*").alias("n")).collect()
     before = 0
     for row in sorted(counts):
         if before + row["n"] >= n:
-            return row["d"], before
+            return row["d"], before, row["n"]
         before += row["n"]
-    return _DIGITS, before
+    return _DIGITS, before, 0
 
 
-def sample_exact(df: DataFrame, keys, n: int, seed: int = 0) -> DataFrame:
-    """Exactly ``n`` rows (all, if there are fewer); ``keys`` must identify a row.
+def sample_exact(df: DataFrame, keys, n: int, seed: int = 0, order: Column | None = None) -> DataFrame:
+    """Exactly ``n`` rows (all, if there are fewer), in order of a key hash.
 
-    Rows are taken in order of a key hash. For a large ``n`` two counting passes over hash digits
-    find the cut; only the rows of one 1/2^32 cell are ever ordered.
+    Counting passes over hash digits find the cut, whatever ``n`` is; the last cell is ordered, and
+    it holds at most ``_DIGITS`` rows. Rows that share a key are told apart by their content, digit by
+    digit too, so a repeated key does not gather in one task. Only rows equal in every column can
+    still share the last cell, and any of them will do. ``order`` is a 64-bit number to go by in place
+    of the hash, such as ``digest_order``.
     """
     if n <= 0:
         return df.limit(0)
-    order = sample_order(keys, seed)
     names = [F.col(k) for k in as_list(keys)]
-    if n <= SMALL_SAMPLE:
-        return df.orderBy(order, *names).limit(n)
-    hashed = df.withColumn("_h", order)
-    first, second = _digit(F.col("_h"), 0), _digit(F.col("_h"), 1)
-    cut, taken = _boundary(hashed, first, n)
-    below = hashed.where(first < cut)
-    if cut == _DIGITS:
-        return below.drop("_h")
-    cell = hashed.where(first == cut)
-    cut_2, taken_2 = _boundary(cell, second, n - taken)
-    rest = n - taken - taken_2
-    last = cell.where(second == cut_2).orderBy("_h", *names).limit(rest)
-    return below.unionByName(cell.where(second < cut_2)).unionByName(last).drop("_h")
+    cell = df.withColumn("_h", sample_order(keys, seed) if order is None else order).withColumn("_c", content_hash(df))
+    taken, left = [], n
+    for column, index in [(c, i) for c in ("_h", "_c") for i in range(64 // _DIGIT_BITS)]:
+        digit = _digit(F.col(column), index)
+        cut, before, on_cut = _boundary(cell, digit, left)
+        taken.append(cell.where(digit < cut))
+        cell, left = cell.where(digit == cut), left - before
+        if cut == _DIGITS or on_cut == left:
+            if cut != _DIGITS:
+                taken.append(cell)
+            left = 0
+            break
+        if on_cut <= _DIGITS:
+            break
+    if left:
+        taken.append(cell.orderBy("_h", *names, "_c").limit(left))
+    return reduce(DataFrame.unionByName, taken).drop("_h", "_c")
 
 
 def sample_fraction(df: DataFrame, keys, fraction: float, seed: int = 0) -> DataFrame:

@@ -468,3 +468,45 @@ def tombstones(spark, sf):
         empty.select(F.lit("tombstone").alias("kind"))
     )
     return tagged.groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@query(
+    "typed_json_malformed",
+    """
+SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 OR c_custkey % 11 = 0 THEN NULL ELSE c_acctbal END AS balance,
+       c_custkey % 7 = 0 OR c_custkey % 11 = 0 AS malformed
+FROM customer
+""",
+)
+def typed_json_malformed(spark, sf):
+    """Values that are not of their column's type, and cut texts, are flagged and fail nothing."""
+    key = F.col("c_custkey")
+    balance = F.when(key % 7 == 0, F.lit("much")).otherwise(F.col("c_acctbal").cast("string"))
+    written = F.to_json(
+        F.struct(F.struct(F.struct(F.struct(balance.alias("double")).alias("BALANCE")).alias("row")).alias("after"))
+    )
+    texts = load(spark, sf, "customer").withColumn("written", written).select(
+        "c_custkey", F.when(key % 11 == 0, F.expr("substring(written, 1, 20)")).otherwise(F.col("written")).alias("text")
+    )
+    decoded = cdc.decode_typed_json(texts, "text", {"BALANCE": "double"}, "e")
+    return decoded.select("c_custkey", F.col("e.after.BALANCE").alias("balance"), "e.malformed")
+
+
+@query(
+    "cdc_null_keys",
+    """
+SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey % 5 <> 0
+UNION ALL SELECT c_custkey, 'NEW' FROM customer WHERE c_custkey % 10 = 5
+""",
+)
+def cdc_null_keys(spark, sf):
+    """A log with events that carry no key, applied twice: the same as once, and no row without a key."""
+    table = load(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    log = table.where("c_custkey % 5 = 0").select(
+        "c_custkey", F.lit("NEW").alias("c_mktsegment"), F.lit(1).alias("pos"),
+        F.when(F.col("c_custkey") % 10 == 0, "D").otherwise("U").alias("op"),
+    )
+    keyless = log.withColumn("c_custkey", F.lit(None).cast("long"))
+    log = log.unionByName(keyless)
+    once = cdc.apply_changes(table, log, "c_custkey", "pos")
+    return cdc.apply_changes(once, log, "c_custkey", "pos")

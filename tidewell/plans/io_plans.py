@@ -398,3 +398,45 @@ def indexed_lookup(spark, sf):
     path = scratch_path(spark, "indexed")
     lake.write_indexed(load(spark, sf, "orders"), path, "o_custkey", ["o_custkey"])
     return spark.read.parquet(path).where("o_custkey = 77").select("o_orderkey", "o_custkey")
+
+
+@query("registered_partitions", "SELECT c_custkey, c_nationkey::VARCHAR AS c_nationkey FROM customer")
+def registered_partitions(spark, sf):
+    """A partitioned folder made known by name, with all its partitions."""
+    path = scratch_path(spark, "registered")
+    rows = load(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").cast("string"))
+    lake.write_table(rows, path, partition_by=["c_nationkey"])
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    lake.register_table(spark, name, path)
+    return spark.table(name).select("c_custkey", F.col("c_nationkey").cast("string"))
+
+
+@query("stream_two_checkpoints", STATE_SQL)
+def stream_two_checkpoints(spark, sf):
+    """Two streams with checkpoints of their own on one table, a compaction between and after, and the
+    folders of folded epochs removed: no epoch replaces another one."""
+    log = user_change_log(spark, sf)
+    out, _ = streaming.new_paths(spark, "two_streams")
+    table = lake.ChangeTable(spark, out, log.schema, "user_id", ["ts", "event_id"])
+    for part in range(2):
+        path = scratch_path(spark, "event_part")
+        log.where(F.col("event_id") % 2 == part).repartition(2, "event_id").write.parquet(path)
+        stream = file_stream(spark, path, log.schema, files_per_trigger=1)
+        streaming.apply_stream(stream, table, streaming.new_paths(spark, "two_streams")[1])
+        table.compact()
+    table.remove_folded()
+    return table.read()
+
+
+@query("stream_two_mappings", "SELECT count(DISTINCT user_id) AS ids, count(DISTINCT user_id) AS keys FROM events")
+def stream_two_mappings(spark, sf):
+    """Ids given by two streams with checkpoints of their own."""
+    users = load(spark, sf, "events").select("user_id")
+    out, _ = streaming.new_paths(spark, "two_mappings")
+    for part in range(2):
+        path = scratch_path(spark, "user_part")
+        users.where(F.col("user_id") % 3 >= part).write.parquet(path)
+        stream = file_stream(spark, path, users.schema)
+        streaming.map_stream(stream, out, "user_id", "salt", streaming.new_paths(spark, "two_mappings")[1])
+    rows = spark.read.parquet(out)
+    return rows.agg(F.count("uuid").alias("ids"), F.count_distinct("user_id").alias("keys"))

@@ -527,7 +527,7 @@ def repair_unique(spark, sf):
     rows = load(spark, sf, "customer").select(
         "c_custkey", F.format_string("ACC%06d", F.pmod(n, F.lit(5000))).alias("account")
     )
-    stored = rows.limit(0)
+    stored = load(spark, sf, "supplier").select(F.format_string("ACC%06d", "s_suppkey").alias("account"))
     fixed, _ = mapping.repair_unique(
         rows,
         stored,
@@ -538,3 +538,91 @@ def repair_unique(spark, sf):
         ),
     )
     return fixed.agg(F.count("*").alias("rows"), F.count_distinct("account").alias("accounts"))
+
+
+@query(
+    "repair_two_columns",
+    """
+WITH o AS (SELECT o_orderkey AS n, o_custkey AS id, 'A' || (o_orderkey % 7000) AS account FROM orders),
+stored AS (SELECT c_custkey AS id, 'A' || (c_custkey * 3) AS account FROM customer WHERE c_custkey % 4 = 0),
+judged AS (
+  SELECT n, (row_number() OVER (PARTITION BY id ORDER BY n) > 1 OR id IN (SELECT id FROM stored)) AS bad_id,
+         (row_number() OVER (PARTITION BY account ORDER BY n) > 1 OR account IN (SELECT account FROM stored))
+           AS bad_account FROM o)
+SELECT 'all' AS what, count(*) AS rows FROM judged
+UNION ALL SELECT 'accepted', count(*) FILTER (NOT (bad_id AND n % 10 = 0)) FROM judged
+UNION ALL SELECT 'rejected', count(*) FILTER (bad_id AND n % 10 = 0) FROM judged
+UNION ALL SELECT 'ids', count(*) FILTER (NOT (bad_id AND n % 10 = 0)) FROM judged
+UNION ALL SELECT 'accounts', count(*) FILTER (NOT (bad_id AND n % 10 = 0)) FROM judged
+UNION ALL SELECT 'stored again', 0
+UNION ALL SELECT 'redrawn ids', count(*) FILTER (bad_id) + count(*) FILTER (bad_id AND n % 10 = 0) FROM judged
+UNION ALL SELECT 'redrawn accounts', count(*) FILTER (bad_account) FROM judged
+""",
+)
+def repair_two_columns(spark, sf):
+    """Orders whose customer and account numbers repeat and clash with stored ones. Every tenth order
+    can only draw a stored id, so it stays without one and is returned."""
+    rows = load(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("n"), F.col("o_custkey").alias("id"),
+        F.concat(F.lit("A"), (F.col("o_orderkey") % 7000).cast("string")).alias("account"),
+    )
+    customers = load(spark, sf, "customer").where("c_custkey % 4 = 0")
+    stored = customers.select(
+        F.col("c_custkey").alias("id"), F.concat(F.lit("A"), (F.col("c_custkey") * 3).cast("string")).alias("account")
+    )
+    taken = customers.agg(F.min("c_custkey")).first()[0]
+    done = mapping.repair_unique_columns(
+        rows,
+        stored,
+        {
+            "id": lambda attempt: F.when(F.col("n") % 10 == 0, F.lit(taken)).otherwise(
+                F.lit(10**9 * attempt) + F.col("n")
+            ),
+            "account": lambda attempt: F.concat(F.lit(f"B{attempt}-"), F.col("n").cast("string")),
+        },
+        order=["n"],
+        max_attempts=2,
+    )
+    again = keyed.present_by_key(done.accepted, stored, "id").unionByName(
+        keyed.present_by_key(done.accepted, stored, "account")
+    )
+    counts = [
+        ("all", rows.agg(F.count("*").alias("rows"))),
+        ("accepted", done.accepted.agg(F.count("*").alias("rows"))),
+        ("rejected", done.rejected.agg(F.count("*").alias("rows"))),
+        ("ids", done.accepted.agg(F.count_distinct("id").alias("rows"))),
+        ("accounts", done.accepted.agg(F.count_distinct("account").alias("rows"))),
+        ("stored again", again.agg(F.count("*").alias("rows"))),
+    ]
+    drawn = spark.createDataFrame(
+        [(f"redrawn {c}s", n) for c, n in done.regenerated.items()], "what string, rows long"
+    )
+    parts = [df.select(F.lit(what).alias("what"), "rows") for what, df in counts]
+    return reduce(DataFrame.unionByName, [*parts, drawn])
+
+
+@query(
+    "update_by_key_latest",
+    """
+SELECT c_custkey, coalesce(p, c_mktsegment) AS c_mktsegment FROM customer LEFT JOIN (
+  SELECT o_custkey, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS p FROM orders GROUP BY 1)
+  ON o_custkey = c_custkey
+""",
+)
+def update_by_key_latest(spark, sf):
+    """Every order of a customer is a change; the newest one counts."""
+    changes = load(spark, sf, "orders").select(
+        F.col("o_custkey").alias("c_custkey"), F.col("o_orderpriority").alias("c_mktsegment"), "o_orderdate", "o_orderkey"
+    )
+    table = load(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    return keyed.update_by_key(table, changes, "c_custkey", "c_mktsegment", order=["o_orderdate", "o_orderkey"])
+
+
+@query(
+    "sample_by_digest",
+    "SELECT c_custkey, c_name FROM customer ORDER BY md5('3|' || c_custkey) LIMIT 100",
+)
+def sample_by_digest(spark, sf):
+    """An exact sample in an order that other engines can form."""
+    rows = load(spark, sf, "customer").select("c_custkey", "c_name")
+    return sampling.sample_exact(rows, "c_custkey", 100, order=sampling.digest_order("c_custkey", 3))

@@ -32,7 +32,7 @@ SELECT event_id, user_id AS s_user, event_type AS s_what_kind, value AS s_what_v
 )
 def flatten_struct(spark, sf):
     rows = nested_events(spark, sf).select("event_id", "s")
-    return nested.flatten(rows)
+    return nested.flatten(rows, max_keys=1_000)
 
 
 @query(
@@ -78,7 +78,7 @@ FROM events
 """,
 )
 def flatten_map_keys(spark, sf):
-    return nested.map_keys_as_columns(nested_events(spark, sf).drop("s"))
+    return nested.map_keys_as_columns(nested_events(spark, sf).drop("s"), max_keys=1_000)
 
 
 @query(
@@ -110,7 +110,7 @@ def flatten_all(spark, sf):
         F.array(item(F.col("event_type"), value), item(F.lit("total"), value + 1)).alias("items"),
         F.from_json("props", "map<string,long>").alias("props"),
     )
-    return nested.flatten(rows)
+    return nested.flatten(rows, max_keys=1_000)
 
 
 @query(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidewell.functions import draws
 from tidewell.operators import synth, workload
 from tidewell.operators.cdc import apply_changes
-from tidewell.operators.customer_image import customer_events
+from tidewell.operators.customer_image import customer_events, generate_event_files
 from tidewell.operators.table_specs import SPECS
 from tidewell.plans.registry import load, query
 from tidewell.session import scratch_path
@@ -204,10 +204,10 @@ def customer_events_updated(spark, sf):
 
 @query(
     "customer_event_files",
-    "SELECT 4::BIGINT AS files, count(*) AS rows FROM customer",
+    "SELECT (4 * ceil(count(*) / 4.0 / 90000))::BIGINT AS files, count(*) AS rows FROM customer",
 )
 def customer_event_files(spark, sf):
-    """Envelopes of all customers in four files, with their manifest."""
+    """Envelopes of all customers, dealt to four tasks, in files of at most 90,000, with their manifest."""
     path = scratch_path(spark, "events")
     ids = load(spark, sf, "customer").select(F.col("c_custkey").alias("id"))
     events = customer_events(ids)
@@ -283,3 +283,21 @@ def change_log_lines(spark, sf):
     _, events = customer_workload(spark, sf, "first")
     lines = workload.log_lines(events, "c_custkey", ["c_mktsegment"])
     return lines.groupBy("line").agg(F.count("*").alias("n"))
+
+
+@query(
+    "generated_event_files",
+    """
+SELECT 4::BIGINT AS files, 4 * ceil(count(*) / 4.0)::BIGINT AS rows,
+       4 * ceil(count(*) / 4.0)::BIGINT AS ids FROM customer
+""",
+)
+def generated_event_files(spark, sf):
+    """As many generated customers as the table has, in four files made without a shuffle."""
+    path = scratch_path(spark, "generated")
+    per_file = -(-load(spark, sf, "customer").count() // 4)
+    summary = generate_event_files(spark, path, 4, per_file, run_at=AS_OF)
+    ids = F.coalesce("after.customer_id", "before.customer_id")
+    rows = spark.read.parquet(path).agg(F.count("*").alias("rows"), F.count_distinct(ids).alias("ids"))
+    files_made = summary.first()["actual_file_count"]
+    return rows.select(F.lit(files_made).cast("long").alias("files"), "rows", "ids")

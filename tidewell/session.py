@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -62,18 +62,17 @@ def build_session(app_name: str, master: str | None = None, conf: dict | None =
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, from ``spark.checkpoint.dir``.
+    """The cluster's shared folder: what ``spark.checkpoint.dir`` names.
 
-    Only a local master may go without it: there one process sees the folder we make.
+    Only a local master may go without the setting; there the folder lies in the warehouse. What the
+    setting names is trusted to be shared, also a ``file:`` path, which may be a mounted store.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    made = tempfile.mkdtemp(prefix="tidewell-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -81,13 +80,45 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder on whichever file system holds it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def child_folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """What follows ``prefix`` in the names of a folder's children; none if there is no such folder."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(where):
+        return []
+    names = [status.getPath().getName() for status in store.listStatus(where) if status.isDirectory()]
+    return sorted(name.removeprefix(prefix) for name in names if name.startswith(prefix))
+
+
+_STAGED: list[str] = []
+
+
 def staged(df, label: str = "staged"):
     """Write ``df`` to the shared folder and read it back.
 
     Later jobs then see one fixed result, and a lost executor re-reads files
-    in place of repeating the plan above them.
+    in place of repeating the plan above them. ``release_staged`` removes the copies.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.mode("error").parquet(path)
+    _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release_staged(spark: SparkSession) -> int:
+    """Remove every copy staged so far by this process and return their number.
+
+    For the owner of the results to call, once they are stored or no longer read: a frame that was
+    built on a staged copy cannot be read afterwards.
+    """
+    paths, _STAGED[:] = list(_STAGED), []
+    for path in paths:
+        delete_path(spark, path)
+    return len(paths)

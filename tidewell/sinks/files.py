@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions.numbers import megabytes
-from tidewell.operators.keyed import differing_rows
-from tidewell.session import scratch_path
+from tidewell.operators.keyed import content_hash, differing_rows
+from tidewell.session import delete_path, scratch_path
 from tidewell.sources.tables import list_files
 
 # Batch defaults of the envelope generator.
@@ -30,14 +30,23 @@ def write_sized(
     ).mode(mode).save(path)
 
 
-def bytes_per_row(df: DataFrame, rows: int = 50_000, fmt: str = "parquet") -> float:
-    """Written size of a row, measured on a sample of about ``rows`` rows in the shared folder."""
+def bytes_per_row(df: DataFrame, fraction: float = 0.1, fmt: str = "parquet") -> float:
+    """Written size of a row, measured on rows drawn from all partitions by a hash of their content.
+
+    The drawn rows are written by as many tasks as read them, and removed again. A table too small
+    for a draw is measured whole.
+    """
     spark = df.sparkSession
-    path = scratch_path(spark, "probe")
-    df.limit(rows).write.format(fmt).save(path)
-    size = list_files(spark, path, SUFFIX[fmt]).agg(F.sum("size_bytes")).first()[0] or 0
-    written = spark.read.format(fmt).schema(df.schema).load(path).count()
-    return size / written if written else 0.0
+    drawn = df.where(F.pmod(content_hash(df), F.lit(1_000)) < round(1_000 * fraction))
+    for part in (drawn, df):
+        path = scratch_path(spark, "probe")
+        part.write.format(fmt).save(path)
+        size = list_files(spark, path, SUFFIX[fmt]).agg(F.sum("size_bytes")).first()[0] or 0
+        written = spark.read.format(fmt).schema(df.schema).load(path).count()
+        delete_path(spark, path)
+        if written:
+            return size / written
+    return 0.0
 
 
 def write_to_target_size(
@@ -80,9 +89,9 @@ def manifest(
 
 
 def write_manifest(files: DataFrame, path: str) -> str:
-    """The manifest as JSON under ``_manifest``, which table scans pass over."""
+    """The manifest as JSON files under ``_manifest``, which table scans pass over."""
     target = f"{path.rstrip('/')}/_manifest"
-    files.coalesce(1).write.mode("overwrite").json(target)
+    files.write.mode("overwrite").json(target)
     return target
 
 

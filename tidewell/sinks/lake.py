@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators.cdc import latest_changes, live_rows, merge_with_markers
-from tidewell.sources.tables import connector, read_files_or_empty, table_exists
+from tidewell.session import child_folders, delete_path
+from tidewell.sources.tables import connector, read_files_or_empty
 
 # Write options of a lake format for each operation.
 OPERATIONS = ("bulk_insert", "insert", "upsert", "delete")
@@ -77,8 +78,10 @@ def write_table(df: DataFrame, path: str, mode: str = "error", fmt: str = "parqu
 
 
 def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
-    """Make files known to the metastore under a name; existing files are left as they are."""
+    """Make files known to the metastore under a name, with the partitions their folders hold."""
     spark.catalog.createTable(name, path=path, source=fmt)
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
 
 
 def save_as_table(df: DataFrame, name: str, path: str | None = None, mode="overwrite", fmt="parquet"):
@@ -124,22 +127,22 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, schema):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
-    def _committed(self) -> tuple[int, int]:
-        """(version, last epoch in it); (0, -1) before the first write."""
+    def _committed(self) -> tuple[int, dict[str, int]]:
+        """(version, last epoch of each stream in it); (0, {}) before the first write."""
         log = read_files_or_empty(
-            self.spark, f"{self.path}/commits", "version long, epoch long", "json"
+            self.spark, f"{self.path}/commits", "version long, epochs map<string,long>", "json"
         )
-        last = log.agg(F.max(F.struct("version", "epoch")).alias("last")).first()["last"]
-        return (last["version"], last["epoch"]) if last else (0, -1)
+        last = log.orderBy(F.desc("version")).limit(1).collect()
+        return (last[0]["version"], dict(last[0]["epochs"] or {})) if last else (0, {})
 
     def _data(self, version: int) -> DataFrame:
         if version == 0:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/data/version={version}")
 
-    def _write_version(self, df: DataFrame, version: int, epoch: int) -> None:
+    def _write_version(self, df: DataFrame, version: int, epochs: dict[str, int]) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/data/version={version}")
-        commit = self.spark.createDataFrame([(version, epoch)], "version long, epoch long")
+        commit = self.spark.createDataFrame([(version, epochs)], "version long, epochs map<string,long>")
         commit.coalesce(1).write.mode("append").json(f"{self.path}/commits")
 
     def version(self) -> int:
@@ -150,42 +153,59 @@ class VersionedTable:
 
     def write(self, df: DataFrame) -> int:
         """Replace the content, which ``df`` may be derived from."""
-        version = self.version() + 1
-        self._write_version(df, version, -1)
-        return version
+        version, epochs = self._committed()
+        self._write_version(df, version + 1, epochs)
+        return version + 1
 
 
 class ChangeTable(VersionedTable):
     """A keyed table kept current by appending changes, merged when read.
 
-    A batch costs its own size, not the table's: it is written as ``changes/epoch=E``, and writing
-    an epoch again replaces it, so replays change nothing. ``compact`` folds the epochs into a new
-    base version. ``schema`` holds the order columns and ``op``: the newest event of each key is
-    kept, deletes too, so that a late older event cannot win.
+    A batch costs its own size, not the table's: it is written as ``changes/stream=S/epoch=E``, and
+    writing an epoch of a stream again replaces it, so replays change nothing. Epoch numbers count
+    within one checkpoint, so each checkpoint is a stream of its own. ``compact`` folds the epochs
+    into a new base version. ``schema`` holds the order columns and ``op``: the newest event of each
+    key is kept, deletes too, so that a late older event cannot win.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema, keys, order):
         super().__init__(spark, path, schema)
         self.keys, self.order = keys, order
 
-    def append(self, changes: DataFrame, epoch: int) -> None:
-        """Store one batch of changes."""
+    def append(self, changes: DataFrame, epoch: int, stream: str = "main") -> None:
+        """Store one batch of changes of one stream."""
         last = latest_changes(changes, self.keys, self.order)
-        last.write.mode("overwrite").parquet(f"{self.path}/changes/epoch={epoch}")
-
-    def _changes(self, after: int) -> DataFrame | None:
-        path = f"{self.path}/changes"
-        if not table_exists(self.spark, path):
-            return None
-        return self.spark.read.parquet(path).where(F.col("epoch").cast("long") > after)
+        last.write.mode("overwrite").parquet(f"{self.path}/changes/stream={stream}/epoch={epoch}")
+
+    def _open_epochs(self, epochs: dict[str, int]) -> dict[str, list[int]]:
+        """Stored epochs beyond the folded ones, by stream; from folder names only."""
+        return {
+            stream: [e for e in numbers if e > epochs.get(stream, -1)]
+            for stream, numbers in self._stored_epochs().items()
+        }
+
+    def _stored_epochs(self) -> dict[str, list[int]]:
+        found: dict[str, list[int]] = {}
+        for stream in child_folders(self.spark, f"{self.path}/changes", "stream="):
+            numbers = child_folders(self.spark, f"{self.path}/changes/stream={stream}", "epoch=")
+            found[stream] = sorted(int(n) for n in numbers)
+        return found
+
+    def _changes(self, open_epochs: dict[str, list[int]]) -> DataFrame | None:
+        paths = [
+            f"{self.path}/changes/stream={stream}/epoch={epoch}"
+            for stream, numbers in open_epochs.items()
+            for epoch in numbers
+        ]
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else None
 
     def state(self) -> DataFrame:
         """The newest event of each key, delete markers included."""
-        version, epoch = self._committed()
-        base, changes = self._data(version), self._changes(epoch)
+        version, epochs = self._committed()
+        base, changes = self._data(version), self._changes(self._open_epochs(epochs))
         if changes is None:
             return base
-        return merge_with_markers(base, changes.drop("epoch"), self.keys, self.order)
+        return merge_with_markers(base, changes, self.keys, self.order)
 
     def read(self) -> DataFrame:
         """The live rows as of the last appended batch."""
@@ -194,17 +214,30 @@ class ChangeTable(VersionedTable):
     def compact(self, forget: Column | None = None) -> int:
         """Write the merged state as a new base version and return its number.
 
+        Only epochs seen now are folded in; one that arrives meanwhile stays a change.
         ``forget`` selects delete markers that no late event can concern any more.
         """
-        version, epoch = self._committed()
-        changes = self._changes(epoch)
-        # Only epochs seen now are folded in; one that arrives meanwhile stays a change.
-        newest = changes and changes.agg(F.max(F.col("epoch").cast("long"))).first()[0]
-        if newest is None:
+        version, epochs = self._committed()
+        seen = self._open_epochs(epochs)
+        changes = self._changes(seen)
+        if changes is None:
             return version
-        seen = changes.where(F.col("epoch").cast("long") <= newest).drop("epoch")
-        merged = merge_with_markers(self._data(version), seen, self.keys, self.order)
+        merged = merge_with_markers(self._data(version), changes, self.keys, self.order)
         if forget is not None:
             merged = merged.where((F.col("op") != "D") | ~forget)
-        self._write_version(merged, version + 1, newest)
+        folded = epochs | {stream: numbers[-1] for stream, numbers in seen.items() if numbers}
+        self._write_version(merged, version + 1, folded)
         return version + 1
+
+    def remove_folded(self) -> int:
+        """Remove the folders of folded epochs, once no reader of an older version is left."""
+        _, epochs = self._committed()
+        gone = [
+            f"{self.path}/changes/stream={stream}/epoch={epoch}"
+            for stream, numbers in self._stored_epochs().items()
+            for epoch in numbers
+            if epoch <= epochs.get(stream, -1)
+        ]
+        for path in gone:
+            delete_path(self.spark, path)
+        return len(gone)

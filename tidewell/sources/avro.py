@@ -69,8 +69,8 @@ def header_schema(raw: bytes) -> str:
     return found["avro.schema"].decode()
 
 
-def writer_schema(spark: SparkSession, path: str) -> str:
-    """The writer schema of one file under ``path``, read in a task."""
+def writer_schema(spark: SparkSession, file: str) -> str:
+    """The writer schema of one container file, read in a task."""
 
     def from_files(batches):
         import pandas as pd
@@ -78,24 +78,22 @@ def writer_schema(spark: SparkSession, path: str) -> str:
         for batch in batches:
             yield pd.DataFrame({"schema": [header_schema(bytes(c)) for c in batch["content"]]})
 
-    one_file = (
+    content = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.avro")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select("path", "length")
-        .orderBy("length", "path")
-        .limit(1)
-        .first()
+        .load(file)
+        .select("content")
     )
-    if one_file is None:
-        raise FileNotFoundError(f"no Avro file under {path}")
-    content = spark.read.format("binaryFile").load(one_file["path"]).select("content")
-    return content.mapInPandas(from_files, "schema string").first()["schema"]
+    found = content.mapInPandas(from_files, "schema string").distinct().collect()
+    if not found:
+        raise FileNotFoundError(f"no Avro file at {file}")
+    if len(found) > 1:
+        raise ValueError(f"the files at {file} have {len(found)} writer schemas: give one file or a schema")
+    return found[0]["schema"]
 
 
-def read_avro(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """An Avro scan with a reader schema; by default the files' own, made safe."""
-    reader_schema = schema or safe_reader_schema(writer_schema(spark, path))
+def read_avro(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """An Avro scan with a reader schema, made safe. The schema is the table's, declared by the caller:
+    one file's own would drop the columns that other files added."""
     with connector("avro"):
-        return spark.read.format("avro").option("avroSchema", reader_schema).load(path)
+        return spark.read.format("avro").option("avroSchema", safe_reader_schema(schema)).load(path)

@@ -9,7 +9,7 @@ from tidewell.operators import cdc
 from tidewell.operators.keyed import absent_by_key, as_list, latest_per_key
 from tidewell.operators.mapping import derived_uuid
 from tidewell.operators.nested import convert_wall_clock
-from tidewell.session import scratch_path
+from tidewell.session import child_folders, scratch_path
 from tidewell.sinks.lake import ChangeTable
 from tidewell.sources.tables import table_exists
 
@@ -59,32 +59,52 @@ def user_sessions(stream: DataFrame, time_column: str, key: str, gap: str, laten
     )
 
 
-def run_available(writer, checkpoint: str):
-    """Process what has arrived, then stop; the checkpoint makes the next run go on from there."""
-    running = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    running.awaitTermination()
+def run_available(writer, checkpoint: str, trigger: dict | None = None):
+    """Process what has arrived, then stop; the checkpoint makes the next run go on from there.
+
+    With a ``trigger``, such as ``{"processingTime": "1 minute"}``, the query goes on and is handed
+    back running.
+    """
+    running = writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+    if trigger is None:
+        running.awaitTermination()
     return running
 
 
-def apply_stream(stream: DataFrame, table: ChangeTable, checkpoint: str):
-    """Keep a table current from a stream of changes; a replayed epoch is written over."""
+def stream_id(batch: DataFrame) -> str:
+    """The id of the query that a micro-batch belongs to. It lives in the checkpoint: a restart keeps
+    it, and a new checkpoint, also one in the same folder, has a new one."""
+    found = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not found:
+        raise RuntimeError("not inside a micro-batch")
+    return found
+
+
+def apply_stream(stream: DataFrame, table: ChangeTable, checkpoint: str, trigger: dict | None = None):
+    """Keep a table current from a stream of changes; a replayed epoch is written over.
+
+    Several streams and checkpoints may feed one table: epochs are kept apart by the query's id.
+    """
 
     def store(batch: DataFrame, epoch: int) -> None:
-        table.append(batch, epoch)
+        table.append(batch, epoch, stream_id(batch))
 
-    return run_available(stream.writeStream.foreachBatch(store), checkpoint)
+    return run_available(stream.writeStream.foreachBatch(store), checkpoint, trigger)
 
 
-def store_new_ids(batch: DataFrame, epoch: int, path: str, key: str, salt: str) -> None:
+def store_new_ids(
+    batch: DataFrame, epoch: int, path: str, key: str, salt: str, stream: str = "main"
+) -> None:
     """Ids for the keys of one batch that no other epoch holds; writing an epoch again replaces it."""
     spark = batch.sparkSession
     new = batch.select(key).where(F.col(key).isNotNull()).distinct()
     if table_exists(spark, path):
         # A replay must not see what its first try wrote.
-        known = spark.read.parquet(path).where(F.col("epoch").cast("long") != epoch)
+        own = F.col("stream").eqNullSafe(F.lit(stream)) & (F.col("epoch").cast("long") == epoch)
+        known = spark.read.parquet(path).where(~own)
         new = absent_by_key(new, known, key)
     new.withColumn("uuid", derived_uuid(F.col(key), salt)).write.mode("overwrite").parquet(
-        f"{path}/epoch={epoch}"
+        f"{path}/stream={stream}/epoch={epoch}"
     )
 
 
@@ -92,7 +112,7 @@ def map_stream(stream: DataFrame, path: str, key: str, salt: str, checkpoint: st
     """Give each new key an id, batch by batch; ids are derived, so a replay gives the same ones."""
 
     def store(batch: DataFrame, epoch: int) -> None:
-        store_new_ids(batch, epoch, path, key, salt)
+        store_new_ids(batch, epoch, path, key, salt, stream_id(batch))
 
     return run_available(stream.writeStream.foreachBatch(store), checkpoint)
 
@@ -108,15 +128,18 @@ def updates_to_table(stream: DataFrame, path: str, checkpoint: str):
     """Store every update of an aggregate with its epoch; ``latest_updates`` reads the newest."""
 
     def store(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        batch.write.mode("overwrite").parquet(f"{path}/stream={stream_id(batch)}/epoch={epoch}")
 
     return run_available(stream.writeStream.outputMode("update").foreachBatch(store), checkpoint)
 
 
 def latest_updates(spark: SparkSession, path: str, keys) -> DataFrame:
-    """The newest update of each key."""
+    """The newest update of each key, from each query that wrote here: a new checkpoint counts anew,
+    so its numbers stand beside the old ones under their own ``stream`` where there are several."""
     rows = spark.read.parquet(path).withColumn("epoch", F.col("epoch").cast("long"))
-    return latest_per_key(rows, keys, "epoch").drop("epoch")
+    newest = latest_per_key(rows, ["stream", *as_list(keys)], "epoch").drop("epoch")
+    several = len(child_folders(spark, path, "stream=")) > 1
+    return newest if several else newest.drop("stream")
 
 
 def new_paths(spark: SparkSession, label: str) -> tuple[str, str]:
