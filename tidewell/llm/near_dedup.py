@@ -118,83 +118,91 @@ def _set_rows(df: DataFrame, width: int) -> DataFrame:
     return df.mapInArrow(run, "doc_id long, n_shingles long, name binary, registers binary")
 
 
-def _pairs_of(sizes, rows, wanted, groups=None):
-    """Pairs of one bucket: a largest spanning forest and the nearest neighbours of each member, or,
-    with groups, all pairs across them."""
+def _first_pairs(sizes, rows, wanted, allowed):
+    """A largest spanning forest of one bucket and the nearest neighbours of each member."""
     n = len(sizes)
-    if groups is None:
-        best, parent = np.full(n, -1), np.zeros(n, np.int64)
-        todo = np.ones(n, bool)
-        node = 0
-        for _ in range(n):
-            todo[node] = False
-            likeness = _likeness(rows, sizes, node, wanted)
-            for other in np.argpartition(-likeness, min(NEAREST, n - 1))[:NEAREST]:
-                if likeness[other] >= 0:
-                    yield node, other
-            better = todo & (likeness > best)
-            best[better], parent[better] = likeness[better], node
-            if best[node] >= 0:
-                yield parent[node], node
-            left = np.flatnonzero(todo)
-            if len(left):
-                node = left[np.argmax(best[left])]
-        return
-    for node in range(n - 1):
-        likeness = _likeness(rows, sizes, node, wanted)
-        likeness[: node + 1] = -1
-        likeness[groups == groups[node]] = -1
-        for other in np.flatnonzero(likeness >= 0):
+    best, parent = np.full(n, -1), np.zeros(n, np.int64)
+    todo = np.ones(n, bool)
+    node = 0
+    for _ in range(n):
+        todo[node] = False
+        likeness = _likeness(rows, sizes, node, wanted, allowed(node))
+        for other in np.argpartition(-likeness, min(NEAREST, n - 1))[:NEAREST]:
+            if likeness[other] >= 0:
+                yield node, other
+        better = todo & (likeness > best)
+        best[better], parent[better] = likeness[better], node
+        if best[node] >= 0:
+            yield parent[node], node
+        left = np.flatnonzero(todo)
+        if len(left):
+            node = left[np.argmax(best[left])]
+
+
+def _pairs_across(sizes, rows, wanted, allowed, groups, band):
+    """All likely pairs of members of different groups that share no band before this one."""
+    bands = np.ascontiguousarray(rows[:, : BANDS * BAND]).view(np.uint64)[:, :band]
+    for node in range(len(sizes) - 1):
+        some = allowed(node) & (groups != groups[node])
+        some[: node + 1] = False
+        some &= ~(bands == bands[node]).any(axis=1)
+        for other in np.flatnonzero(_likeness(rows, sizes, node, wanted, some) >= 0):
             yield node, other
 
 
-def _likeness(rows, sizes, node, wanted):
-    """Equal registers of a member with every other one; -1 where they cannot be similar."""
-    fits = wanted * np.maximum(sizes, sizes[node]) <= np.minimum(sizes, sizes[node]) * (1 + 1e-9)
+def _likeness(rows, sizes, node, wanted, some):
+    """Equal registers of a member with each of ``some``; -1 where they cannot be similar."""
+    fits = some & (wanted * np.maximum(sizes, sizes[node]) <= np.minimum(sizes, sizes[node]) * (1 + 1e-9))
     fits[node] = False
     out = np.full(len(sizes), -1)
     some = np.flatnonzero(fits)
-    equal = (rows[node] == rows[some]).sum(axis=1)
-    greater = (rows[node] > rows[some]).sum(axis=1)
-    good = plausible(greater, equal, REGISTERS - equal - greater, sizes[node], sizes[some], wanted)
-    out[some[good]] = equal[good]
+    if len(some):
+        equal = (rows[node] == rows[some]).sum(axis=1)
+        greater = (rows[node] > rows[some]).sum(axis=1)
+        good = plausible(greater, equal, REGISTERS - equal - greater, sizes[node], sizes[some], wanted)
+        out[some[good]] = equal[good]
     return out
 
 
 def _bucket_pairs(members: DataFrame, wanted: float, across: bool) -> DataFrame:
-    """Distinct pairs ``(a, b)`` from the buckets of ``members``, read bucket by bucket."""
+    """Distinct pairs ``(a, b)`` from the buckets of ``members``, read one pair of blocks at a time.
+
+    Where the blocks differ, only pairs between them count. ``across`` gives each pair once, in the
+    bucket of the first band that both share.
+    """
     keys = ["bucket", "i", "j"]
     dealt = members.repartition(*keys).sortWithinPartitions(*keys)
 
     def run(batches):
         kept, key = [], None
 
-        def solve(rows):
+        def solve(key, rows):
             if len(rows) < 2:
                 return
-            order = sorted(range(len(rows)), key=lambda k: rows[k][0])
-            ids = np.array([rows[k][0] for k in order])
-            sizes = np.array([rows[k][1] for k in order])
-            registers = np.frombuffer(b"".join(rows[k][2] for k in order), np.uint16).reshape(len(ids), -1)
-            groups = np.array([rows[k][3] for k in order]) if across else None
-            pairs = [(int(ids[x]), int(ids[y])) for x, y in _pairs_of(sizes, registers, wanted, groups)]
-            for lo in range(0, len(pairs), 10_000):
-                some = pairs[lo : lo + 10_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([min(p) for p in some], pa.int64()), pa.array([max(p) for p in some], pa.int64())],
-                    ["a", "b"],
-                )
+            rows.sort(key=lambda r: r[0])
+            ids, sizes, blocks = (np.array([r[k] for r in rows]) for k in (0, 1, 2))
+            registers = np.frombuffer(b"".join(r[4] for r in rows), np.uint16).reshape(len(ids), -1)
+            every = np.ones(len(ids), bool)
+            allowed = (lambda node: every.copy()) if key[1] == key[2] else (lambda node: blocks != blocks[node])
+            if across:
+                groups = np.array([r[5] for r in rows])
+                found = _pairs_across(sizes, registers, wanted, allowed, groups, rows[0][3])
+            else:
+                found = _first_pairs(sizes, registers, wanted, allowed)
+            pairs = {(int(min(ids[x], ids[y])), int(max(ids[x], ids[y]))) for x, y in found}
+            if pairs:
+                a, b = zip(*sorted(pairs))
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
         for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            for row in zip(*columns):
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if row[:3] != key:
-                    yield from solve(kept)
+                    yield from solve(key, kept)
                     kept, key = [], row[:3]
                 kept.append(row[3:])
-        yield from solve(kept)
+        yield from solve(key, kept)
 
-    columns = [*keys, "id", "n_shingles", "registers", *(["component"] if across else [])]
+    columns = [*keys, "id", "n_shingles", "own", "band", "registers", *(["component"] if across else [])]
     return dealt.select(*columns).mapInArrow(run, "a long, b long").distinct()
 
 
@@ -229,25 +237,25 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: st
     )
     bands = classes.select(
         "id",
-        F.explode(F.array(*(
-            F.xxhash64(F.lit(k), F.substring("registers", 2 * BAND * k + 1, 2 * BAND))
-            for k in range(BANDS)
-        ))).alias("bucket"),
+        F.posexplode(F.array(*(
+            F.xxhash64(F.lit(k), F.substring("registers", 2 * BAND * k + 1, 2 * BAND)) for k in range(BANDS)
+        ))).alias("band", "bucket"),
     )
     same = bands.groupBy("bucket").agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"),
+        F.count("*").alias("n"), F.min("band").alias("band"), F.bit_xor(F.xxhash64("id")).alias("x"),
         F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("y"),
     ).where("n > 1")
-    # Buckets with the same members are one.
-    buckets = same.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
-    seated = bands.join(buckets, "bucket").join(classes.drop("name"), "id")
+    # Buckets with the same members are one, that of the first band.
+    buckets = same.groupBy("n", "x", "y").agg(F.min(F.struct("band", "bucket")).alias("first"))
+    buckets = buckets.select("first.bucket", "first.band", "n")
+    seated = bands.select("id", "bucket").join(buckets, "bucket").join(classes.drop("name"), "id")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64(F.lit(2), "id"), blocks).cast("int")
     other = F.explode(F.sequence(F.lit(0), blocks - 1))
     members = stage(
         seated.withColumn("own", own).withColumn("other", other).select(
             "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-            "id", "n_shingles", "registers",
+            "id", "n_shingles", "own", "band", "registers",
         ),
         "members",
     )
