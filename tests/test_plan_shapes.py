@@ -131,3 +131,18 @@ def test_intervals_shuffle_samples_once(spark):
 def test_only_wide_decimals_use_python(spark):
     df = spark.createDataFrame([(bytearray(b"\x01"),)], "raw binary")
     assert "ArrowEvalPython" in plan(df.select(nested.decode_wide_decimal(F.col("raw"), 0)))
+
+
+def test_latest_row_reads_what_is_used_when_the_order_is_unique(spark):
+    latest = keyed.latest_per_key(orders(spark), "o_custkey", "o_orderkey", unique_order=True)
+    text = plan(latest.select("o_custkey", "o_orderkey"))
+    assert re.search(r"ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>", text)
+
+
+def test_state_is_read_whole_once(spark, tmp_path):
+    state = orders(spark).select("o_orderkey", "o_orderdate", F.lit("U").alias("op"), "o_totalprice")
+    path = str(tmp_path / "state")
+    state.write.parquet(path)
+    merged = cdc.merge_with_markers(spark.read.parquet(path), state, "o_orderkey", "o_orderdate")
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\].*?" + re.escape("state") + r"\]", plan(merged))
+    assert sum("o_totalprice" in columns for columns in scans) == 1

@@ -50,26 +50,32 @@ def _ascending(order) -> list[Column]:
     return [(F.col(c) if isinstance(c, str) else c).asc_nulls_last() for c in as_list(order)]
 
 
-def _top_row(df: DataFrame, keys, order: list[Column]) -> DataFrame:
+def _top_row(df: DataFrame, keys, order: list[Column], unique_order: bool) -> DataFrame:
     # rank = 1 lets Spark keep one row per key in every map task before the shuffle, so a key that
     # holds a third of the rows still sends one row per task.
-    ranked = Window.partitionBy(*as_list(keys)).orderBy(*order, content_hash(df))
+    ties = [] if unique_order else [content_hash(df)]
+    ranked = Window.partitionBy(*as_list(keys)).orderBy(*order, *ties)
     return df.withColumn("_rank", F.row_number().over(ranked)).where("_rank = 1").drop("_rank")
 
 
-def latest_per_key(df: DataFrame, keys, order) -> DataFrame:
-    """One row per key: the one with the greatest ``order`` columns."""
-    return _top_row(df, keys, _descending(order))
+def latest_per_key(df: DataFrame, keys, order, unique_order: bool = False) -> DataFrame:
+    """One row per key: the one with the greatest ``order`` columns.
+
+    Ties are broken by the content of the whole row, which therefore is read whole. A caller who
+    knows that no two rows of a key share their order says ``unique_order``; then only the columns in
+    use are read.
+    """
+    return _top_row(df, keys, _descending(order), unique_order)
 
 
-def first_per_key(df: DataFrame, keys, order) -> DataFrame:
-    """One row per key: the one with the smallest ``order`` columns."""
-    return _top_row(df, keys, _ascending(order))
+def first_per_key(df: DataFrame, keys, order, unique_order: bool = False) -> DataFrame:
+    """One row per key: the one with the smallest ``order`` columns; ties as in ``latest_per_key``."""
+    return _top_row(df, keys, _ascending(order), unique_order)
 
 
 def pick_survivor(df: DataFrame, keys, preference: list[Column]) -> DataFrame:
     """One row per key by a declared preference, such as ``[F.col("is_new").asc()]``."""
-    return _top_row(df, keys, list(preference))
+    return _top_row(df, keys, list(preference), False)
 
 
 def combined(df: DataFrame, keys, *aggregates: Column) -> DataFrame:

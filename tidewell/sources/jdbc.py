@@ -36,18 +36,20 @@ def read_query(spark: SparkSession, url: str, sql: str, **options) -> DataFrame:
     return spark.read.format("jdbc").options(**query_options(url, sql, **options)).load()
 
 
-def read_jdbc_table(spark: SparkSession, url: str, table: str, split=None, **options) -> DataFrame:
+def read_jdbc_table(spark: SparkSession, url: str, table: str, split, **options) -> DataFrame:
+    """``split`` is how the table is cut into parallel reads, or None, said on purpose, for one task."""
     return spark.read.format("jdbc").options(**table_options(url, table, split, **options)).load()
 
 
-def append_batches(df: DataFrame, url: str, table: str, batch: int = 10_000, connections=None, **options):
-    """Append; the columns come from the frame, and the table is created where it is absent."""
+def append_batches(df: DataFrame, url: str, table: str, connections: int, batch: int = 10_000, **options):
+    """Append over at most ``connections`` connections; the columns come from the frame, and the table
+    is created where it is absent."""
     chosen = load_options(url, table, batch, connections, **options)
     df.write.format("jdbc").options(**chosen).mode("append").save()
 
 
 def replace_jdbc_table(
-    df: DataFrame, url: str, table: str, keep_definition=False, batch=10_000, connections=None, **options
+    df: DataFrame, url: str, table: str, connections: int, keep_definition=False, batch=10_000, **options
 ):
     """Drop and create again, or with ``keep_definition`` truncate and load."""
     chosen = load_options(url, table, batch, connections, **options)
