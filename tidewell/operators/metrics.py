@@ -93,8 +93,9 @@ def range_last(samples: DataFrame, series, step: int, lookback: int) -> DataFram
     """For a range query: per series and step, the last value within ``lookback`` before the step.
 
     ``lookback`` is a multiple of ``step`` (seconds). Samples are first reduced to the last of each
-    step, and only those are copied to the ``lookback / step`` steps that can see them, so the work
-    is one pass over the samples and no series is gathered in one task.
+    step, combined before the shuffle. Each of those is then given to the steps from its own to the one
+    before the series' next sample, so every row made is a row of the result. What is ordered per
+    series is one row for each step, however many samples the series has.
     """
     if lookback % step:
         raise ValueError("lookback must be a multiple of step")
@@ -106,11 +107,14 @@ def range_last(samples: DataFrame, series, step: int, lookback: int) -> DataFram
         .groupBy(*series, first_step.alias("_step"))
         .agg(F.max(F.struct("ts", "value")).alias("_last"))
     )
-    copies = F.sequence(F.col("_step"), F.col("_step") + F.lit(lookback // step - 1))
-    spread = reduced.select(*series, F.explode(copies).alias("_step"), "_last")
-    best = spread.groupBy(*series, "_step").agg(F.max("_last").alias("_last"))
+    following = F.lead("_step").over(Window.partitionBy(*series).orderBy("_step"))
+    # ``least`` passes over the NULL after a series' last sample.
+    end = F.least(F.col("_step") + F.lit(lookback // step - 1), following - 1)
+    spread = reduced.withColumn("_end", end).select(
+        *series, F.explode(F.sequence("_step", "_end")).alias("_step"), "_last"
+    )
     at = from_seconds(F.col("_step") * step)
-    return best.select(*series, at.alias("ts"), F.col("_last.value").alias("value"))
+    return spread.select(*series, at.alias("ts"), F.col("_last.value").alias("value"))
 
 
 def distinct_series(samples: DataFrame, label: str) -> DataFrame:
