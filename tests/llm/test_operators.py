@@ -141,8 +141,9 @@ def test_suffix_array(monkeypatch, by_bucket):
             assert shared[y] == n
 
 
-@pytest.mark.parametrize("hot,shard", [(20_000, 3 << 20), (3, 500)])
-def test_remove_repeats(docs, doc_rows, monkeypatch, hot, shard):
+@pytest.mark.parametrize("hot,shard,long", [(20_000, 3 << 20, 1 << 20), (3, 500, 1 << 20), (20_000, 3 << 20, 400)])
+def test_remove_repeats(docs, doc_rows, monkeypatch, hot, shard, long):
+    monkeypatch.setattr(suffix_dedup, "LONG", long)
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
     monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", shard)
     got = by_id(suffix_dedup.digest(suffix_dedup.remove_repeats(docs)), "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -167,6 +168,12 @@ def test_remove_repeats_odd_rows(spark, empty):
     assert sorted((str(r[0]), *r[1:]) for r in suffix_dedup.digest(got).collect()) == wanted
 
 
+def test_remove_repeats_from_a_very_long_text(spark):
+    text = "all work and no play. " * 130_000
+    row = suffix_dedup.digest(suffix_dedup.remove_repeats(spark.createDataFrame([(1, text)], "doc_id int, text string")))
+    assert row.first()[:4] == (1, len(text), len(text), 1)
+
+
 def test_remove_repeats_as_text(docs, doc_rows):
     cut = suffix_dedup.remove_repeats(docs, length=31, carry=("lang", "n_chars"), as_text=True)
     got = by_id(cut, "kept", "lang", "n_chars")

@@ -7,8 +7,9 @@ are judged on the input, so all places of a repeated string go. Steps:
    ``ANCHOR``-byte substrings, its anchor: equal windows share their anchor wherever they stand. A run of
    windows with one anchor is a segment. Anchors are counted over the corpus; a segment whose anchor
    stands at one place only holds no repeated window.
-2. **Hot anchors.** An anchor with more than ``HOT`` segments is cut again, one window to a segment and
-   that window's hash as its anchor, so no shard grows with a common passage.
+2. **Hot anchors.** An anchor with more than ``HOT`` segments, or one beyond ``LONG`` bytes, is cut again,
+   one window to a segment and that window's hash as its anchor, so no shard grows with a common
+   passage or a text that repeats itself.
 3. **Distinct segments.** Segments with equal bytes are one with a count; only one place of each is
    read again, and none of those that are alone with their anchor.
 4. **Suffix arrays.** Each task strings its anchors' distinct segments together, some megabytes at a time, and
@@ -36,11 +37,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import SpanHashes, mix, slices, span_hashes, stage, text_bytes
+from tidewell.llm.common import SpanHashes, mix, slices, stage, text_bytes
 
 LENGTH = 200
 ANCHOR = 32  # bytes of an anchor
 HOT = 20_000  # segments of one anchor that one shard may hold, about 6 MB
+LONG = 1 << 20  # bytes of one segment, as in a text that repeats a short pattern all along
 SHARD_BYTES = 3 << 20  # text of one suffix array
 BY_BUCKET = 64  # letters of text for each letter of the alphabet from which buckets are filled whole
 
@@ -340,16 +342,18 @@ def _single_windows(hot: DataFrame, texts: DataFrame, length: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for row in range(batch.num_rows):
-                data, _ = text_bytes(batch.column(2).slice(row, 1))
+                hashed = SpanHashes(text_bytes(batch.column(2).slice(row, 1))[0])
                 for piece in batch.column(3)[row].as_py():
-                    starts = np.arange(piece["start"], piece["start"] + piece["len"] - length + 1)
-                    name = span_hashes(data, starts, starts + length).view(np.int64)
-                    keys = pa.array(np.full(len(starts), row), pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(keys), batch.column(1).take(keys), pa.array(starts.astype(np.int32)),
-                         pa.array(np.full(len(starts), length, np.int32)), pa.array(name), pa.array(name)],
-                        [*_KEYS, "start", "len", "anchor", "name"],
-                    )
+                    last = piece["start"] + piece["len"] - length + 1
+                    for first in range(piece["start"], last, 1 << 16):
+                        starts = np.arange(first, min(last, first + (1 << 16)))
+                        name = hashed.of(starts, starts + length).view(np.int64)
+                        keys = pa.array(np.full(len(starts), row), pa.int64())
+                        yield pa.RecordBatch.from_arrays(
+                            [batch.column(0).take(keys), batch.column(1).take(keys), pa.array(starts.astype(np.int32)),
+                             pa.array(np.full(len(starts), length, np.int32)), pa.array(name), pa.array(name)],
+                            [*_KEYS, "start", "len", "anchor", "name"],
+                        )
 
     return _at_texts(hot, texts, F.struct("start", "len")).mapInArrow(run, _SEGMENT.removesuffix(", places int"))
 
@@ -426,15 +430,17 @@ def remove_repeats(
     texts = _texts(df, id_col, text_col)
     parts = _segments(texts, length)
     seen = parts.groupBy(F.col("anchor").alias("a")).agg(
-        F.count("*").alias("count"), F.sum("places").alias("p"), F.min("name").alias("u"), F.max("name").alias("v")
+        F.count("*").alias("count"), F.sum("places").alias("p"), F.min("name").alias("u"), F.max("name").alias("v"),
+        F.max("len").alias("longest"),
     ).where("p > 1")
     # The only segment of its anchor, whose windows all differ, has no order to be found: each of
     # its windows stands in as many places as it does.
-    seen = seen.select("a", "count", ((F.col("u") == F.col("v")) & (F.col("p") == F.col("count"))).alias("alone"))
+    recut = ((F.col("count") > HOT) | (F.col("longest") > LONG)).alias("recut")
+    seen = seen.select("a", recut, ((F.col("u") == F.col("v")) & (F.col("p") == F.col("count"))).alias("alone"))
     found = stage(parts.join(seen, F.col("anchor") == F.col("a")).drop("a", "places"), "segments")
     whole = found.where("alone").select(*_KEYS, "start", F.array(F.lit(0), F.col("len") - (length - 1)).alias("runs"))
-    usual = found.where(~F.col("alone") & (F.col("count") <= HOT)).drop("alone", "count")
-    hot = found.where(~F.col("alone") & (F.col("count") > HOT))
+    usual = found.where("NOT alone AND NOT recut").drop("alone", "recut")
+    hot = found.where("NOT alone AND recut")
     if hot.limit(1).count():
         usual = stage(usual.unionByName(_single_windows(hot, texts, length)), "recut")
     distinct = usual.groupBy("anchor", "name", "len").agg(
