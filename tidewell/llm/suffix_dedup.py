@@ -43,7 +43,7 @@ LENGTH = 200
 ANCHOR = 32  # bytes of an anchor
 HOT = 20_000  # segments of one anchor that one shard may hold, about 6 MB
 LONG = 1 << 20  # bytes of one segment, as in a text that repeats a short pattern all along
-SHARD_BYTES = 3 << 20  # text of one suffix array
+SHARD_BYTES = 2 << 20  # text of one suffix array
 BY_BUCKET = 64  # letters of text for each letter of the alphabet from which buckets are filled whole
 
 
