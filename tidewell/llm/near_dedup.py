@@ -123,12 +123,9 @@ def _bands(rows, band):
     return np.ascontiguousarray(rows[:, : BANDS * BAND]).view(np.uint64)[:, :band]
 
 
-def _first_pairs(sizes, rows, wanted, allowed, band):
-    """A largest spanning forest of one bucket and the nearest neighbours of each member.
-
-    Pairs that share an earlier band are left to its bucket: there both had at least as good ones.
-    """
-    n, bands = len(sizes), _bands(rows, band)
+def _first_pairs(sizes, rows, wanted, allowed):
+    """A largest spanning forest of one bucket and the nearest neighbours of each member."""
+    n = len(sizes)
     best, parent = np.full(n, -1), np.zeros(n, np.int64)
     todo = np.ones(n, bool)
     node = 0
@@ -136,11 +133,11 @@ def _first_pairs(sizes, rows, wanted, allowed, band):
         todo[node] = False
         likeness = _likeness(rows, sizes, node, wanted, allowed(node))
         for other in np.argpartition(-likeness, min(NEAREST, n - 1))[:NEAREST]:
-            if likeness[other] >= 0 and not (bands[node] == bands[other]).any():
+            if likeness[other] >= 0:
                 yield node, other
         better = todo & (likeness > best)
         best[better], parent[better] = likeness[better], node
-        if best[node] >= 0 and not (bands[node] == bands[parent[node]]).any():
+        if best[node] >= 0:
             yield parent[node], node
         left = np.flatnonzero(todo)
         if len(left):
@@ -175,8 +172,8 @@ def _likeness(rows, sizes, node, wanted, some):
 def _bucket_pairs(members: DataFrame, wanted: float, across: bool) -> DataFrame:
     """Distinct pairs ``(a, b)`` from the buckets of ``members``, read one pair of blocks at a time.
 
-    Where the blocks differ, only pairs between them count. Each pair is given once, in the bucket of
-    the first band that both share.
+    Where the blocks differ, only pairs between them count. ``across`` gives each pair once, in the
+    bucket of the first band that both share.
     """
     keys = ["bucket", "i", "j"]
     dealt = members.repartition(*keys).sortWithinPartitions(*keys)
@@ -196,7 +193,7 @@ def _bucket_pairs(members: DataFrame, wanted: float, across: bool) -> DataFrame:
                 groups = np.array([r[5] for r in rows])
                 found = _pairs_across(sizes, registers, wanted, allowed, groups, rows[0][3])
             else:
-                found = _first_pairs(sizes, registers, wanted, allowed, rows[0][3])
+                found = _first_pairs(sizes, registers, wanted, allowed)
             pairs = {(int(min(ids[x], ids[y])), int(max(ids[x], ids[y]))) for x, y in found}
             if pairs:
                 a, b = zip(*sorted(pairs))
