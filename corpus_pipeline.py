@@ -4,9 +4,8 @@ Every stage takes the documents as its predecessor wrote them and returns docume
 one returns encoded texts. ``run`` writes each stage's rows as Parquet to the shared folder and
 reads them back, so an executor lost later repeats no finished stage.
 
-Edge cases follow the operators: null and empty texts fall to the quality rules; rows that repeat an
-id are one document and stay together; rows without an id pass the stages that name rows by id;
-empty tables give empty results; columns beyond those of ``documents`` are handed on by the stages that
+Edge cases follow the operators: null and empty texts fall to the quality rules; the second stage
+judges each row by itself, whether its id is null or repeated, and of equal rows one goes on; empty tables give empty results; columns beyond those of ``documents`` are handed on by the stages that
 drop rows and left out from the third stage on.
 """
 
@@ -27,9 +26,17 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the least id."""
-    found = near_dedup.near_duplicates(docs, WIDTH, PERCENT)
-    return without_ids(docs, found.where("NOT kept"))
+    """One row of each group of near duplicates, the one with the least id; null ids come last.
+
+    Rows are numbered, so that those without an id and those that repeat one are told apart. The numbers
+    are written down, as they depend on how the rows are dealt.
+    """
+    rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    found = near_dedup.near_duplicates(rows, WIDTH, PERCENT, id_col="_row").select("_row", "component_id")
+    placed = stage(found.join(rows.select("_row", "doc_id"), "_row"), "placed")
+    least = placed.groupBy("component_id").agg(F.min(F.struct(F.isnull("doc_id"), "doc_id", "_row")).alias("least"))
+    gone = placed.join(least.select("least._row"), "_row", "left_anti")
+    return without_ids(rows, gone, "_row").drop("_row")
 
 
 def unrepeated_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

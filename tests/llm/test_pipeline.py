@@ -56,6 +56,19 @@ def test_odd_rows_pass_through(spark, tmp_path, doc_rows):
     assert 3_000 not in got and got.count(None) == 2
 
 
+def test_one_of_equal_rows_survives(spark, tmp_path, doc_rows):
+    """Also under a null id, and a row is not lost for another one of its id."""
+    good = quality_rules.keep_good(spark.createDataFrame(doc_rows[6:30], SCHEMA)).orderBy("doc_id").collect()
+    one, two, three = [r["text"] for r in good if len(r["text"].encode()) >= 250][:3]
+    rows = [(1, one), (1, one), (None, two), (None, two), (None, one), (2, one), (2, three)]
+    rows = [(k, t, "en", "web", len(t)) for k, t in rows]
+    spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    engine = encoder(model_path())
+    got = [(r["doc_id"], engine.decode(r["piece_ids"])) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted([(1, one), (None, two), (2, three)], key=str)
+
+
 def test_queries_are_registered():
     import re
 
