@@ -168,6 +168,41 @@ def test_remove_repeats_odd_rows(spark, empty):
     assert sorted((str(r[0]), *r[1:]) for r in suffix_dedup.digest(got).collect()) == wanted
 
 
+def test_rows_of_one_id_with_equal_checksums(spark):
+    """Two texts of one CRC-32 and unequal length, both under the null id, one with a repeat."""
+    import zlib
+
+    shared = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(300))
+    long, wanted = "only here: " + shared, zlib.crc32(("only here: " + shared).encode())
+    own = "".join(chr(65 + (i * i * i + i // 5) % 26) for i in range(210))
+    short = _with_checksum(own, wanted)
+    assert zlib.crc32(short.encode()) == wanted and len(short) != len(long)
+    rows = [(None, long), (None, short), (5, shared + " and its end")]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    wanted = sorted((str(r[0]), *brute.digest(*t)) for r, t in zip(rows, brute.unrepeated([r[1] for r in rows], 200)))
+    assert sorted((str(r[0]), *r[1:]) for r in suffix_dedup.digest(got).collect()) == wanted
+
+
+def _with_checksum(text, wanted):
+    """The text with 40 letters behind it, of two kinds, that give it this CRC-32: 32 linear equations."""
+    import zlib
+
+    base = zlib.crc32((text + "a" * 40).encode())
+    rows = []
+    for k in range(40):
+        rows.append((zlib.crc32((text + "a" * k + "c" + "a" * (39 - k)).encode()) ^ base, 1 << k))
+    left, chosen, goal = rows, 0, base ^ wanted
+    for bit in range(32):
+        pivot = next((r for r in left if r[0] >> bit & 1), None)
+        if pivot is None:
+            assert not goal >> bit & 1
+            continue
+        left = [(a ^ pivot[0], b ^ pivot[1]) if a >> bit & 1 else (a, b) for a, b in left if (a, b) != pivot]
+        if goal >> bit & 1:
+            goal, chosen = goal ^ pivot[0], chosen ^ pivot[1]
+    return text + "".join("c" if chosen >> k & 1 else "a" for k in range(40))
+
+
 def test_remove_repeats_from_a_very_long_text(spark):
     text = "all work and no play. " * 130_000
     row = suffix_dedup.digest(suffix_dedup.remove_repeats(spark.createDataFrame([(1, text)], "doc_id int, text string")))

@@ -298,20 +298,19 @@ def anchors(data: np.ndarray, bounds: np.ndarray, length: int, hashed: SpanHashe
     return text[heads], heads, last + length, value[heads], 1 + (place[heads] != place[last])
 
 
-_SEGMENT = "id_key long, text_key long, start int, len int, anchor long, name long, places int"
-_KEYS = ["id_key", "text_key"]
+_SEGMENT = "key_a long, key_b long, start int, len int, anchor long, name long, places int"
+_KEYS = ["key_a", "key_b"]
 
 
 def _texts(df: DataFrame, id_col: str, text_col: str, others: tuple[str, ...] = ()) -> DataFrame:
-    """Id, text and the key that stands for both: rows equal in id and text share it, others do not."""
-    key = F.col(id_col)
-    if df.schema[id_col].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint"):
-        key = F.coalesce(key.cast("long"), F.lit(-(1 << 63)).cast("long"))
-    else:
-        key = F.coalesce(F.xxhash64(key), F.lit(0))
+    """Id, text and the key that stands for both: rows equal in id and text share it, others do not.
+
+    The key has 128 bits, two hashes of id and text from different seeds.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
+    key_a, key_b = (F.xxhash64(F.lit(seed), F.isnull(id_col), F.col(id_col), text) for seed in (1, 2))
     return df.select(
-        key.alias("id_key"), F.crc32(text.cast("binary")).alias("text_key"), F.col(id_col).alias("doc_id"),
+        key_a.alias("key_a"), key_b.alias("key_b"), F.col(id_col).alias("doc_id"),
         text.alias("text"), *others,
     )
 
