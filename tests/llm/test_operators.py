@@ -1,5 +1,6 @@
 """Each operator against a plain version, and on the awkward tables."""
 
+import heapq
 import json
 import random
 
@@ -289,6 +290,25 @@ def test_n_best_is_exact():
         assert all(engine.decode(ids) == text for _, ids in got)
 
 
+@pytest.mark.parametrize("letter", [" ", "-"])
+def test_tied_paths_are_not_all_explored(monkeypatch, letter):
+    pushed = []
+
+    def push(queue, way):
+        pushed.append(1)
+        assert len(pushed) < 200_000
+        heapq.heappush(queue, way)
+
+    monkeypatch.setattr(sentencepiece_nbest, "heappush", push)
+    engine = sentencepiece_nbest.encoder(model_path())
+    for n in (2, 4):
+        pushed.clear()
+        chunk = sentencepiece_nbest.SPACE_MARK * 501 if letter == " " else letter * 501
+        found = sentencepiece_nbest.n_best(chunk, engine.pieces, n)
+        assert len({tuple(parts) for _, parts in found}) == n and all("".join(parts) == chunk for _, parts in found)
+        assert [s for s, _ in found] == sorted((s for s, _ in found), reverse=True)
+
+
 def test_encode_decode_round_trip(spark, docs, doc_rows, empty):
     rows = [*doc_rows, *((1_000 + k, t, None, None, None) for k, t in enumerate(TEXTS)), (5_000, "ab" * 4_000, "", "", 0)]
     frame = spark.createDataFrame(rows, SCHEMA)
