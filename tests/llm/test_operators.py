@@ -572,6 +572,17 @@ def test_list_entries_hold_in_their_time(spark):
     assert url_filter.filter_captures(captures.limit(0), entries).count() == 0
 
 
+def test_folders_keep_their_case(spark):
+    entries = spark.createDataFrame([("Example.ORG/Ads/", "ads"), ("example.org/a./B", "dot"), ("x.net./c", "end")], "pattern string, list string")
+    captures = spark.createDataFrame(
+        [(1, "http://EXAMPLE.org/Ads/x"), (2, "http://example.org/ads/x"), (3, "http://example.org/a./B"),
+         (4, "http://x.net/c/d")], "page_id long, url string")
+    at = "timestamp_ntz '2024-01-05 00:00:00'"
+    got = url_filter.filter_captures(
+        captures.selectExpr("*", f"{at} fetched_at"), entries.selectExpr("*", "'add' action", f"{at} at")).collect()
+    assert {r["page_id"]: r["patterns"] for r in got} == {1: "example.org/Ads", 2: "", 3: "example.org/a./B", 4: "x.net/c"}
+
+
 def test_url_filter_runs_no_python(spark):
     pages = spark.createDataFrame([(1, "http://a.b.c/d")], "page_id long, url string")
     plan = url_filter.filter_captures(url_filter.page_captures(pages), url_filter.page_list(pages))

@@ -9,7 +9,7 @@ all captures multiplies no rows, and its captures can be split between tasks.
 
 Patterns are stored as host, or host and path prefix that ends at a folder: ``example.com``,
 ``example.com/ads``. Both sides are normalised alike: lower-case host without ``www.``, port, user
-and final dot; path without query, fragment and final slash.
+and final dot; path in its own case, without query, fragment and final slash.
 
 Edge cases: a null or hostless URL, or a null fetch time, matches nothing and is kept; entries
 without a pattern or date are ignored; repeated entries change nothing; of several entries of one
@@ -65,7 +65,9 @@ def intervals(entries: DataFrame) -> DataFrame:
     ``entries`` has ``pattern, list, action, at``. A pattern's log is bounded by how often list
     keepers touch one pattern, not by the captures.
     """
-    normal = F.regexp_replace(F.regexp_replace(F.lower(F.trim("pattern")), "^www\\.", ""), "[/.]+$", "")
+    page = F.concat(F.lit("http://"), F.trim("pattern"))  # a pattern is a URL without its scheme
+    path = F.regexp_replace(path_of(page), "/+", "/")
+    normal = F.when(host_of(page) != "", F.concat_ws("/", host_of(page), F.when(path != "", path)))
     log = (
         entries.select(normal.alias("pattern"), F.col("list"), (F.col("action") == ADD).alias("active"), "at")
         .where("pattern <> '' AND at IS NOT NULL AND active IS NOT NULL AND list IS NOT NULL")
