@@ -4,8 +4,8 @@ Every stage takes the documents as its predecessor wrote them and returns docume
 one returns encoded texts. ``run`` writes each stage's rows as Parquet to the shared folder and
 reads them back, so an executor lost later repeats no finished stage.
 
-Edge cases follow the operators: null and empty texts fall to the quality rules; the second stage
-judges each row by itself, whether its id is null or repeated, and of equal rows one goes on; empty tables give empty results; columns beyond those of ``documents`` are handed on by the stages that
+Edge cases follow the operators: null and empty texts fall to the quality rules; the stages that drop
+rows judge each by itself, whether its id is null or repeated, and of equal rows the second lets one go on; empty tables give empty results; columns beyond those of ``documents`` are handed on by the stages that
 drop rows and left out from the third stage on.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm import decontaminate, near_dedup, quality_rules, sentencepiece_nbest, suffix_dedup
-from tidewell.llm.common import load, stage, without_ids
+from tidewell.llm.common import load, row_key, stage, without_ids
 
 WIDTH, PERCENT = 5, 80  # words to a shingle, similarity of near duplicates
 
@@ -50,8 +50,9 @@ def unrepeated_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no benchmark item contaminates."""
-    found = decontaminate.contaminated(docs, load(spark, sf_dir, "benchmark"))
-    return without_ids(docs, found)
+    rows = docs.withColumn("_row", row_key())
+    found = decontaminate.contaminated(rows, load(spark, sf_dir, "benchmark"), id_col="_row")
+    return without_ids(rows, found, "_row").drop("_row")
 
 
 def encoded_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

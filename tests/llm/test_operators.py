@@ -452,6 +452,15 @@ def test_slots_must_be_consistent(spark):
     assert [r["doc_id"] for r in got.collect()] == [1]
 
 
+def test_rows_without_an_id_are_judged_apart(spark):
+    """Two copies with other values under one null id contradict each other if they share a diagonal."""
+    bench = [(1, "add 5 apples to 5 pears and take 7 plums from the table then count 5 again and 7 again")]
+    docs = [(None, bench[0][1]), (None, bench[0][1].replace("5", "8")), (None, bench[0][1].replace("7", "3")), (None, bench[0][1])]
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                                     spark.createDataFrame(bench, "item_id long, text string"))
+    assert [(r["doc_id"], r["item_id"], r["covered"]) for r in got.collect()] == [(None, 1, 20)] * 3
+
+
 def test_both_joins_agree(spark, docs, doc_rows, monkeypatch, empty):
     items = [(k, " ".join(r[1].split(" ")[3:25])) for k, r in enumerate(doc_rows[:20])]
     bench = spark.createDataFrame(items, "item_id long, text string")

@@ -69,6 +69,13 @@ def test_one_of_equal_rows_survives(spark, tmp_path, doc_rows):
     assert sorted(got, key=str) == sorted([(1, one), (None, two), (2, three)], key=str)
 
 
+def test_contaminated_rows_without_an_id_go(spark, tmp_path, doc_rows):
+    rows = [(k, t, "en", "web", len(t)) for k, t in ((None, doc_rows[7][1]), (None, doc_rows[9][1]), (3, doc_rows[7][1]), (3, doc_rows[9][1]))]
+    spark.createDataFrame([(1, doc_rows[7][1])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = corpus_pipeline.clean_documents(spark, spark.createDataFrame(rows, SCHEMA), str(tmp_path)).collect()
+    assert [(r["doc_id"], r["text"]) for r in left] == [(None, doc_rows[9][1]), (3, doc_rows[9][1])]
+
+
 def test_queries_are_registered():
     import re
 

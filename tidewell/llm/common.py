@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.session import staged
@@ -160,6 +160,12 @@ def with_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
 
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """128 bits that stand for id and text: rows equal in both share it, null ids or not."""
+    return F.struct(*(F.xxhash64(F.lit(k), F.isnull(id_col), F.col(id_col), F.isnull(text_col), F.col(text_col)).alias(c)
+                      for k, c in ((1, "a"), (2, "b"))))
+
+
 SMALL_IDS = 4_000_000  # ids of 8 bytes that may be broadcast: 32 MB
 
 

@@ -14,8 +14,9 @@ that only matching windows are shuffled; otherwise all windows are shuffled to t
 equal template are one, under the least id. An item with fewer tokens is one window of its own
 width. Windows with less than half literal words match nothing, as they say nothing.
 
-Edge cases: null or empty texts and items match nothing; equal rows are reported once for each id;
-rows without an id are reported with a null id; empty tables give an empty result; very long texts
+Edge cases: null or empty texts and items match nothing; rows equal in id and text are reported
+once, rows that share an id but not their text are judged apart; so are rows without an id, which are
+reported with a null id; empty tables give an empty result; very long texts
 are read in one piece each; further columns are ignored, whatever their names.
 """
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import LOWER, mix, slices, span_hashes, text_bytes
+from tidewell.llm.common import LOWER, mix, row_key, slices, span_hashes, text_bytes
 
 WINDOW = 8
 COVERAGE = 50  # per cent of an item's tokens
@@ -185,14 +186,14 @@ def _text_windows(texts: DataFrame, widths: list[int], known) -> DataFrame:
                     rows = text[at]
                     slots = slot[at[:, None] + np.arange(width)].view(np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(rows + lo)), pa.array(found.view(np.int64)),
+                        [batch.column(0).take(pa.array(rows + lo)), batch.column(2).take(pa.array(rows + lo)), pa.array(found.view(np.int64)),
                          pa.array((at - first[rows]).astype(np.int32)),
                          pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * width), pa.array(slots.ravel()))],
-                        ["doc_id", "hash", "at", "values"],
+                        ["doc_id", "key", "hash", "at", "values"],
                     )
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"doc_id {kind}, hash long, at int, values array<long>")
+    return texts.mapInArrow(run, f"doc_id {kind}, key struct<a:long,b:long>, hash long, at int, values array<long>")
 
 
 def contaminated(
@@ -202,7 +203,7 @@ def contaminated(
     """One row for each text and item class that contaminates it: the best covering diagonal."""
     from tidewell.llm.common import stage
 
-    texts = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    texts = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("key"))
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text"))
     classes = stage(_item_rows(items), "items")
     widths = sorted(r[0] for r in classes.select("width").distinct().collect())  # at most WINDOW
@@ -216,12 +217,12 @@ def contaminated(
         known = df.sparkSession.sparkContext.broadcast(found)
     matched = _text_windows(texts, widths or [WINDOW], known)
     lined = matched.join(pieces, (F.col("hash") == F.col("h")) & (F.size("values") == F.col("width"))).select(
-        "doc_id", "item_id", "n_items", "n_tokens", "width", (F.col("at") - F.col("pos")).alias("offset"), "pos",
+        "key", "doc_id", "item_id", "n_items", "n_tokens", "width", (F.col("at") - F.col("pos")).alias("offset"), "pos",
         F.arrays_zip(F.col("slots").alias("i"), F.col("values").alias("t")).alias("z"),
     )
     # A diagonal has one window at each place of the item, so its group is bounded by the item.
-    slots = F.array_distinct(F.filter(F.flatten(F.collect_list("z")), lambda z: z["i"] != 0))
-    diagonals = lined.groupBy("doc_id", "item_id", "n_items", "n_tokens", "width", "offset").agg(
+    slots = F.array_distinct(F.filter(F.flatten(F.collect_set("z")), lambda z: z["i"] != 0))
+    diagonals = lined.groupBy("key", "doc_id", "item_id", "n_items", "n_tokens", "width", "offset").agg(
         F.sort_array(F.collect_set("pos")).alias("places"), slots.alias("slots")
     )
     step = lambda acc, p: F.struct(
@@ -235,11 +236,11 @@ def contaminated(
     )
     same = F.size(F.filter("slots", lambda z: z["i"] != z["t"])) == 0
     judged = diagonals.select(
-        "doc_id", "item_id", "n_items", "n_tokens", covered.alias("covered"), F.size("slots").alias("n_slots"),
+        "key", "doc_id", "item_id", "n_items", "n_tokens", covered.alias("covered"), F.size("slots").alias("n_slots"),
         one_to_one.alias("consistent"), same.alias("verbatim"),
     ).where(F.col("consistent") & (100 * F.col("covered") >= coverage * F.col("n_tokens")))
     best = F.max(F.struct("covered", "verbatim", "n_slots"))
-    return judged.groupBy("doc_id", "item_id", "n_items", "n_tokens").agg(best.alias("b")).select(
+    return judged.groupBy("key", "doc_id", "item_id", "n_items", "n_tokens").agg(best.alias("b")).select(
         F.col("doc_id").alias(id_col), F.col("item_id").alias(item_col), "n_items", "n_tokens", "b.covered", "b.n_slots",
         "b.verbatim",
     )
