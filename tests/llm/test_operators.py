@@ -461,6 +461,36 @@ def test_rows_without_an_id_are_judged_apart(spark):
     assert [(r["doc_id"], r["item_id"], r["covered"]) for r in got.collect()] == [(None, 1, 20)] * 3
 
 
+def _hits(spark, pairs):
+    """For each ``(item, text)``, whether the text is contaminated by its item."""
+    bench = spark.createDataFrame([(k, i) for k, (i, _) in enumerate(pairs)], "item_id long, text string")
+    docs = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(pairs)], "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, bench).collect()}
+    return [(k, k) in found for k in range(len(pairs))]
+
+
+def _made_up(seed, n):
+    rng = random.Random(seed)
+    return ["".join(rng.choices("bcdfglmnprst", k=3)) + rng.choice("aeiou") for _ in range(n)]
+
+
+def test_parts_and_changed_copies_are_found(spark):
+    long, other, third, fourth, fifth = (_made_up(k, 250 if k == 2 else 36 if k in (3, 4) else 59) for k in (1, 2, 3, 4, 5))
+    put_in = [*third[:12], "extra", *third[12:24], "more", *third[24:]]
+    left_out = [w for k, w in enumerate(fourth) if k not in (12, 24)]
+    trip = "a clerk from Paris sends one letter to his sister near Paris and she sends two of them back to Paris before he calls"
+    asked = "yesterday a boy called Tim from the village of Ham asked his aunt for a bag of plums and got two of them each day"
+    walk = "the guide led from Paris over the hill and along the river then home to Paris again for the night"
+    got = _hits(spark, [
+        (" ".join(long), "we read " + " ".join(long[10:38]) + " and so on"),
+        (" ".join(other), "we read " + " ".join(other[100:200]) + " and so on"),
+        (" ".join(third), " ".join(put_in)), (" ".join(fourth), " ".join(left_out)),
+        (trip, trip.replace("Paris", "New York")), (asked, asked.replace("Tim", "Jan Erik").replace("Ham", "Ba Be")),
+        (walk, walk.replace("to Paris", "to Rome")), (" ".join(fifth), " ".join(fifth[30:42]) + " and nothing more of it"),
+    ])
+    assert got == [True] * 7 + [False]
+
+
 def test_both_joins_agree(spark, docs, doc_rows, monkeypatch, empty):
     items = [(k, " ".join(r[1].split(" ")[3:25])) for k, r in enumerate(doc_rows[:20])]
     bench = spark.createDataFrame(items, "item_id long, text string")
