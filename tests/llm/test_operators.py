@@ -491,6 +491,17 @@ def test_parts_and_changed_copies_are_found(spark):
     assert got == [True] * 7 + [False]
 
 
+def test_all_readings_are_found(spark):
+    tom = "Tom has 3 red pens. Tom buys 4 more pens. Tom gives 2 pens away. How many pens has Tom?"
+    anna = "when Anna met Bert and Carl near Dover they gave Emma the key of Fred and the hat of Gina"
+    sums = "Compute 12 + 45 - 7 * 3 + 9."
+    assert _hits(spark, [
+        (sums, f"The task was: {sums} Then it ended."), (tom, tom.replace("Tom", "Ann").replace("3", "8")),
+        (anna, anna.lower()), (tom.replace("red", "blue"), tom.replace("red", "blue").lower()),
+        ("Compute 31 + 62 - 8 * 5 + 4.", "Compute 77 + 1 - 16 * 2 + 6."),
+    ]) == [True] * 4 + [False]
+
+
 def test_both_joins_agree(spark, docs, doc_rows, monkeypatch, empty):
     items = [(k, " ".join(r[1].split(" ")[3:25])) for k, r in enumerate(doc_rows[:20])]
     bench = spark.createDataFrame(items, "item_id long, text string")

@@ -1,8 +1,10 @@
 """Benchmark decontamination by templates, so that re-parameterised questions are found too.
 
 Numbers, names and units become typed placeholders: ``3.5`` is a number, a known unit right behind a
-number is a unit, a capitalised word inside a sentence is a name. Other words are lower-cased. Texts and items are read with
-placeholders and without; a window belongs to the first reading that gives its tokens.
+number is a unit, a capitalised word is a name. Other words are lower-cased. Texts and items are read
+four ways: no placeholders; numbers and units; names inside a sentence as well; and names at a
+sentence's start as well. So a copy in another case is found, one with sparse literal words, and one whose
+sentences begin with an exchanged name. A window belongs to the first reading that gives its tokens.
 
 Windows of ``WINDOW`` tokens are joined with the benchmark's by their hash. On one diagonal, that is, one
 offset between text and item, matching windows line up. Diagonals at most ``SHIFT`` apart are chained,
@@ -123,7 +125,7 @@ def template(data: np.ndarray, bounds: np.ndarray):
     return value, mark, reading, text
 
 
-READINGS = (0, 2)  # no slots; numbers, units and names inside a sentence
+READINGS = range(4)  # no slots; numbers and units; names inside a sentence; all names
 
 
 def windows(value, mark, reading, text, width: int):
