@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.llm import (
-    chat_format, decontaminate, language_id, near_dedup, quality_rules, sentencepiece_nbest, sharding, suffix_dedup,
-    token_counts, url_filter,
+    chat_format, decontaminate, language_id, license_scan, near_dedup, quality_rules, sentencepiece_nbest, sharding,
+    suffix_dedup, token_counts, url_filter,
 )
 from tidewell.llm.common import load
 
@@ -81,3 +81,8 @@ def op6_language_id(spark, sf):
 @query
 def op7_chat_format(spark, sf):
     return chat_format.format_chats(load(spark, sf, "conversations"))
+
+
+@query
+def op13_license_scan(spark, sf):
+    return license_scan.license_report(load(spark, sf, "documents"))
