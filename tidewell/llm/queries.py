@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.llm import (
     chat_format, decontaminate, language_id, license_scan, near_dedup, quality_rules, sentencepiece_nbest, sharding,
-    suffix_dedup, token_counts, url_filter,
+    suffix_dedup, token_counts, url_filter, whitening,
 )
 from tidewell.llm.common import load
 
@@ -86,3 +86,8 @@ def op7_chat_format(spark, sf):
 @query
 def op13_license_scan(spark, sf):
     return license_scan.license_report(load(spark, sf, "documents"))
+
+
+@query
+def op11_embedding_whitening(spark, sf):
+    return whitening.whitened_components(load(spark, sf, "embeddings"))
