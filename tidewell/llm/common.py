@@ -72,6 +72,17 @@ def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends, np.searchsorted(bounds, starts, "right") - 1
 
 
+def span_edges(inside: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text number of each run of bytes ``inside``; runs end at their text's end."""
+    edge = np.zeros(len(inside) + 1, bool)
+    edge[bounds] = True
+    begins, stops = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1] | edge[1:-1]
+    stops[:-1] &= ~inside[1:] | edge[1:-1]
+    starts = np.flatnonzero(begins)
+    return starts, np.flatnonzero(stops) + 1, np.searchsorted(bounds, starts, "right") - 1
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads each value's bits over the whole 64 (overwrites nothing)."""
     x = x ^ (x >> np.uint64(30))

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.llm import (
-    chat_format, decontaminate, language_id, license_scan, near_dedup, quality_rules, sentencepiece_nbest, sharding,
-    suffix_dedup, token_counts, url_filter, whitening,
+    chat_format, decontaminate, language_id, lexical_search, license_scan, near_dedup, quality_rules, sentencepiece_nbest,
+    sharding, suffix_dedup, token_counts, url_filter, whitening,
 )
 from tidewell.llm.common import load
 
@@ -91,3 +91,11 @@ def op13_license_scan(spark, sf):
 @query
 def op11_embedding_whitening(spark, sf):
     return whitening.whitened_components(load(spark, sf, "embeddings"))
+
+
+@query
+def op12_lexical_search(spark, sf):
+    return lexical_search.search(load(spark, sf, "documents"), load(spark, sf, "benchmark"), k=50)
+
+
+SQL["op12_lexical_search"] = lexical_search.ORACLE_SQL.strip()
