@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("cdc_plans", "keyed_plans", "metric_plans", "quality_plans", "nested_plans", "io_plans", "synth_plans")
+MODULES = ("cdc_plans", "snapshot_plans", "keyed_plans", "metric_plans", "quality_plans", "nested_plans", "io_plans", "synth_plans")
 
 
 def load_all():
