@@ -76,6 +76,47 @@ def test_load_decides_as_one_by_one_inserts(spark, stored, rows):
     assert sorted(r["n"] for r in reject.collect()) == [n for n in range(len(rows)) if n not in loaded]
 
 
+@pytest.mark.parametrize("one_task", [10**6, 2])
+def test_load_in_one_task_or_in_rounds(spark, one_task):
+    """A few components, decided in order or in rounds, with keys of two types."""
+    rows = [(n, n // 2 % 7 if n % 5 else None, f"k{n % 3}" if n % 4 else None) for n in range(40)]
+    taken, loaded = [set(), set()], []
+    for n, *keys in rows:
+        if not any(k in t for k, t in zip(keys, taken)):
+            loaded.append(n)
+            for k, t in zip(keys, taken):
+                t |= {k} - {None}
+    incoming = spark.createDataFrame(rows, "n int, a int, b string")
+    accept, reject = mapping.load_skipping_duplicates(incoming.limit(0), incoming, ["a", "b"], ["n"], one_task)
+    assert sorted(r["n"] for r in accept.collect()) == loaded
+    assert reject.count() == len(rows) - len(loaded)
+
+
+def test_a_long_chain_takes_few_jobs(spark):
+    """Each row shares a key with the next one: every second row is loaded."""
+    n = 1000
+    rows = [(i, i // 2, (i + 1) // 2 + 10**6) for i in range(n)]
+    incoming = spark.createDataFrame(rows, "n int, a int, b int").repartition(4)
+    spark.sparkContext.setJobGroup("chain", "chain")
+    try:
+        accept, reject = mapping.load_skipping_duplicates(incoming.limit(0), incoming, ["a", "b"], ["n"])
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("chain"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(r["n"] for r in accept.collect()) == list(range(0, n, 2)) and reject.count() == n // 2
+    assert jobs < 250
+
+
+def test_components_of_links(spark):
+    from tidewell.operators import graph
+
+    links = [(i, i + 1) for i in range(300, 360)] + [(900, k) for k in range(901, 940)] + [(7, 7), (None, 3), (5, 6), (6, 5)]
+    got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(links, "u long, v long")).collect()}
+    wanted = {i: 300 for i in range(300, 361)} | {k: 900 for k in range(900, 940)} | {5: 5, 6: 5}
+    assert got == wanted
+    assert graph.components(spark.createDataFrame([], "u long, v long")).isEmpty()
+
+
 def test_second_sync_covers_everything(spark):
     rows = source(spark, 21)
     first = mapping.sync_sampled_copy(rows, None, "cust_id", SALT)
@@ -88,8 +129,9 @@ def test_second_sync_covers_everything(spark):
 def test_large_samples_are_exact(spark, monkeypatch, n):
     df = spark.range(1000).withColumnRenamed("id", "k")
     small = {r["k"] for r in df.orderBy(sampling.sample_order("k", 4)).limit(n).collect()}
-    monkeypatch.setattr(sampling, "_DIGIT_BITS", 8)
-    monkeypatch.setattr(sampling, "_DIGITS", 256)
+    monkeypatch.setattr(sampling, "CELL", 40)  # the band around the cut is cut again
+    monkeypatch.setattr(sampling, "MARGIN", 0.06)
+    monkeypatch.setattr(sampling, "SKETCH", 100)
     large = [r["k"] for r in sampling.sample_exact(df.repartition(5), "k", n, seed=4).collect()]
     assert len(large) == min(n, 1000) and set(large) == small
 
@@ -98,6 +140,7 @@ def test_large_samples_are_exact(spark, monkeypatch, n):
 def test_samples_of_a_repeated_key_are_exact(spark, monkeypatch, n):
     monkeypatch.setattr(sampling, "_DIGIT_BITS", 4)
     monkeypatch.setattr(sampling, "_DIGITS", 16)
+    monkeypatch.setattr(sampling, "CELL", 30)
     df = spark.range(700).select(F.when(F.col("id") < 500, 7).otherwise(F.col("id")).alias("k"), (F.col("id") % 350).alias("v"))
     first = sampling.sample_exact(df, "k", n, seed=1)
     assert first.count() == n and first.exceptAll(df).isEmpty()
@@ -230,10 +273,10 @@ def test_rows_that_cannot_be_repaired_are_returned(spark):
 
 def fullest_share(spark, df):
     """The largest part of a join's probe rows that one task read."""
-    # The id stays in the plan, so that rows of one key have a size of their own.
+    # The id stays in the plan, so that rows of one key have a size of their own; an aggregate over the sizes would drop it.
     sizes = df.select(F.spark_partition_id().alias("p"), "id").groupBy("p").agg(F.count("*").alias("n"), F.max("id"))
-    total = sizes.agg(F.sum("n"), F.max("n")).first()
-    return total[1] / total[0]
+    counts = [r["n"] for r in sizes.collect()]
+    return max(counts) / sum(counts)
 
 
 @pytest.mark.parametrize("side", ["left", "right", "null"])

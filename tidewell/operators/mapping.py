@@ -6,11 +6,14 @@ import math
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.operators.graph import components
 from tidewell.operators.keyed import (
     absent_by_key,
+    as_list,
     combined,
     duplicate_groups,
     either_key_absent,
@@ -183,17 +186,20 @@ def _first_of_value(df: DataFrame, column: str, order, name: str = "_first") ->
     return joined.withColumn(name, first).drop("_value", "_least")
 
 
-def load_skipping_duplicates(existing: DataFrame, incoming: DataFrame, unique_keys, order):
+ONE_TASK = 200_000  # rows of a clash component that one task may decide in order
+
+
+def load_skipping_duplicates(existing: DataFrame, incoming: DataFrame, unique_keys, order, one_task: int = ONE_TASK):
     """Rows to load and rows to reject under several unique keys, as one-by-one inserts decide.
 
     A row is loaded if no stored row and no row loaded before it shares any unique key. ``order``
-    must give every row its own place. Rows that share no key are decided at once; the rest is
-    decided in rounds: a row that comes first for all its keys is loaded, the rows that share a
-    key with it are rejected, and what is left goes on. A round reads and writes only rows that are
-    still undecided, so the work falls with the rows that clash; the number of rounds is the length of
-    the longest chain of rows that wait for one another.
+    must give every row its own place. Rows that share no key are decided at once. The others form components of rows
+    that share keys, directly or through others; each component is decided in order by one pass over its rows,
+    whatever the length of a chain of rows that wait for one another. What a task keeps are the keys of one
+    component's loaded rows. Components of more than ``one_task`` rows are decided in rounds instead, in which any number of
+    tasks takes part: a row that comes first for all its keys is loaded, and the rows that share a key with it are rejected.
     """
-    columns = incoming.columns
+    columns, unique_keys = incoming.columns, as_list(unique_keys)
     candidates = staged(either_key_absent(incoming, existing, unique_keys), "load")
     refused = [incoming.join(candidates.select(*order), list(order), "left_anti")]
     # Rows whose every key value occurs once are loaded at once and never looked at again.
@@ -204,9 +210,70 @@ def load_skipping_duplicates(existing: DataFrame, incoming: DataFrame, unique_ke
     clashes = reduce(
         lambda a, b: a | b, [F.coalesce(F.col(f"_n{i}") > 1, F.lit(False)) for i in range(len(unique_keys))]
     )
-    marked = staged(alone.withColumn("_clash", clashes).select(*columns, "_clash"), "load")
+    # Numbers depend on how rows are dealt, so they are written down.
+    marked = alone.withColumn("_clash", clashes).withColumn("_row", F.monotonically_increasing_id())
+    marked = staged(marked.select(*columns, "_clash", "_row"), "load")
     loaded = [marked.where("not _clash").select(*columns)]
-    pending = marked.where("_clash").select(*columns)
+    pending = marked.where("_clash").drop("_clash")
+    if not pending.isEmpty():
+        placed = staged(_clash_components(pending, unique_keys), "load")
+        sizes = combined(placed, "_component", F.count("*").alias("_size"))
+        placed = placed.join(sizes, "_component")
+        decided = staged(_decided_in_order(placed.where(F.col("_size") <= one_task), unique_keys, order), "load")
+        for won, part in ((True, loaded), (False, refused)):
+            rows = decided.where(F.col("_win") == won).select(F.col("_row").alias("_r"))
+            part.append(pending.join(rows, F.col("_row") == F.col("_r"), "left_semi").select(*columns))
+        large = placed.where(F.col("_size") > one_task).select(*columns)
+        if not large.isEmpty():
+            _decide_in_rounds(staged(large, "load"), unique_keys, order, loaded, refused)
+    return reduce(DataFrame.unionByName, loaded), reduce(
+        DataFrame.unionByName, [part.select(*columns) for part in refused]
+    )
+
+
+def _clash_components(rows: DataFrame, unique_keys) -> DataFrame:
+    """The rows with the component of rows that share keys; each row is linked to the least one of each of its keys."""
+    links = []
+    for k in unique_keys:
+        keyed = rows.where(F.col(k).isNotNull()).select(F.col(k).alias("_k"), "_row")
+        least = combined(keyed, "_k", F.min("_row").alias("v")).withColumnRenamed("_k", "_of")
+        links.append(keyed.join(least, F.col("_k") == F.col("_of")).select(F.col("_row").alias("u"), "v"))
+    parts = components(reduce(DataFrame.unionByName, links)).withColumnRenamed("component", "_component")
+    return rows.join(parts, F.col("_row") == F.col("node"), "left").drop("node").withColumn(
+        "_component", F.coalesce("_component", "_row")
+    )
+
+
+def _decided_in_order(placed: DataFrame, unique_keys, order) -> DataFrame:
+    """``(_row, _win)``: within each component, in order, whether no row before shares a key and is loaded.
+
+    Rows stream through a task component by component; keys are compared by their text.
+    """
+    width = len(unique_keys)
+
+    def run(batches):
+        current, taken = None, [set() for _ in range(width)]
+        for batch in batches:
+            wins = []
+            for component, *keys in zip(batch.column(1).to_pylist(), *(c.to_pylist() for c in batch.columns[2:])):
+                if component != current:
+                    current, taken = component, [set() for _ in range(width)]
+                win = not any(k in t for k, t in zip(keys, taken))
+                if win:
+                    for k, t in zip(keys, taken):
+                        if k is not None:
+                            t.add(k)
+                wins.append(win)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(wins, pa.bool_())], ["_row", "_win"])
+
+    dealt = placed.repartition("_component").sortWithinPartitions("_component", *order)
+    keys = [F.col(k).cast("string").alias(f"_k{i}") for i, k in enumerate(unique_keys)]
+    return dealt.select("_row", "_component", *keys).mapInArrow(run, "_row long, _win boolean")
+
+
+def _decide_in_rounds(pending: DataFrame, unique_keys, order, loaded: list, refused: list) -> None:
+    """Rounds over the rows still undecided; their number is the length of the longest chain."""
+    columns = pending.columns
     while not pending.isEmpty():
         judged = pending
         for i, k in enumerate(unique_keys):
@@ -225,9 +292,6 @@ def load_skipping_duplicates(existing: DataFrame, incoming: DataFrame, unique_ke
         loaded.append(winners)
         refused.append(rest.where("_lost").select(*columns))
         pending = rest.where("not _lost").select(*columns)
-    return reduce(DataFrame.unionByName, loaded), reduce(
-        DataFrame.unionByName, [part.select(*columns) for part in refused]
-    )
 
 
 def sync_sampled_copy(

@@ -420,3 +420,65 @@ def roll_up(samples: DataFrame, labels, bucket: str = "1 hour", accuracy: int =
         F.try_element_at("_q", F.lit(1)).alias("timer_p50"),
         F.try_element_at("_q", F.lit(2)).alias("timer_p99"),
     )
+
+
+# --- roll-ups that merge ---------------------------------------------------------------------------
+
+
+def sketched_roll_up(
+    samples: DataFrame, labels, bucket: str = "1 hour", distinct: str | None = None, accuracy: int = 400, hll_bits: int = 14
+) -> DataFrame:
+    """``roll_up`` in a form that merges: sums, counts, the last gauge, and sketches in place of quantiles.
+
+    Timers are kept as a quantile sketch (``accuracy`` is its size parameter: the rank error is about 2 divided by it) and the values of
+    column ``distinct`` as a distinct sketch of ``2 ** hll_bits`` registers. A sketch's size does not grow with the samples.
+    """
+    labels = as_list(labels)
+    value, kind = F.col("value"), F.col("kind")
+    timer = F.when(kind == "observer", value)
+    counts = [] if distinct is None else [F.hll_sketch_agg(distinct, F.lit(hll_bits)).alias("distinct_sketch")]
+    return samples.groupBy(F.window("ts", bucket).alias("_w"), "kind", *labels).agg(
+        F.sum(F.when(kind == "counter", value)).alias("counter_sum"),
+        F.max(F.when(kind == "gauge", F.struct("ts", "value"))).alias("gauge_last"),
+        F.count(timer).alias("timer_count"),
+        F.sum(timer).alias("timer_sum"),
+        F.min(timer).alias("timer_min"),
+        F.max(timer).alias("timer_max"),
+        F.kll_sketch_agg_double(timer, F.lit(accuracy)).alias("timer_sketch"),
+        *counts,
+    ).select(F.col("_w.start").alias("bucket"), "*").drop("_w")
+
+
+def merged_roll_up(rolled: DataFrame, labels, bucket: str = "1 day", keep_kind: bool = True) -> DataFrame:
+    """Roll-ups of a longer bucket and fewer labels from stored ones, without the samples.
+
+    The same columns come back, so roll-ups merge to any level, in any order.
+    """
+    labels = as_list(labels)
+    keys = [*(["kind"] if keep_kind else []), *labels]
+    counts = [F.hll_union_agg("distinct_sketch", F.lit(True)).alias("distinct_sketch")] if "distinct_sketch" in rolled.columns else []
+    return rolled.groupBy(F.window("bucket", bucket).alias("_w"), *keys).agg(
+        F.sum("counter_sum").alias("counter_sum"),
+        F.max("gauge_last").alias("gauge_last"),
+        F.sum("timer_count").alias("timer_count"),
+        F.sum("timer_sum").alias("timer_sum"),
+        F.min("timer_min").alias("timer_min"),
+        F.max("timer_max").alias("timer_max"),
+        F.kll_merge_agg_double("timer_sketch").alias("timer_sketch"),
+        *counts,
+    ).select(F.col("_w.start").alias("bucket"), "*").drop("_w")
+
+
+def read_roll_up(rolled: DataFrame, quantiles=(0.5, 0.99)) -> DataFrame:
+    """The figures of mergeable roll-ups: quantiles ``timer_p50`` and so on, the mean, and the number of distinct values."""
+    some = F.col("timer_count") > 0
+    figures = [
+        F.when(some, F.kll_sketch_get_quantile_double("timer_sketch", F.lit(float(q)))).alias(f"timer_p{round(q * 100)}")
+        for q in quantiles
+    ]
+    counts = [F.hll_sketch_estimate("distinct_sketch").alias("distinct")] if "distinct_sketch" in rolled.columns else []
+    left = [c for c in rolled.columns if c not in ("timer_sketch", "distinct_sketch", "gauge_last")]
+    return rolled.select(
+        *left, F.col("gauge_last.value").alias("gauge_last"), (F.col("timer_sum") / F.when(some, F.col("timer_count"))).alias("timer_mean"),
+        *figures, *counts,
+    )

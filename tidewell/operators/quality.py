@@ -33,7 +33,7 @@ TYPE_FAMILIES = {
 _RESULT = "rule string, column string, observed long, threshold long, passed boolean"
 
 
-def _observed(rule: dict) -> Column:
+def observed_count(rule: dict) -> Column:
     """The aggregate that a one-pass rule observes."""
     kind = rule["rule"]
     if kind == "row_count":
@@ -48,7 +48,7 @@ def _observed(rule: dict) -> Column:
     raise ValueError(f"unknown rule {kind}")
 
 
-def _entry(rule: dict, observed: Column) -> Column:
+def result_entry(rule: dict, observed: Column) -> Column:
     threshold = rule.get("above", 0) if rule["rule"] == "row_count" else rule.get("allowed", 0)
     passed = observed > threshold if rule["rule"] == "row_count" else observed <= threshold
     return F.struct(
@@ -87,12 +87,12 @@ def run_suite(df: DataFrame, rules: list[dict]) -> DataFrame:
     unique_rules = [r for r in rules if r["rule"] in ("unique", "duplicate_count")]
     counted = [r for r in rules if r not in schema_rules and r not in unique_rules]
     if counted:
-        totals = df.agg(*[_observed(r).alias(f"v{i}") for i, r in enumerate(counted)])
-        entries = [_entry(r, F.col(f"v{i}")) for i, r in enumerate(counted)]
+        totals = df.agg(*[observed_count(r).alias(f"v{i}") for i, r in enumerate(counted)])
+        entries = [result_entry(r, F.col(f"v{i}")) for i, r in enumerate(counted)]
         parts.append(totals.select(F.inline(F.array(*entries))))
     for column in dict.fromkeys(r["column"] for r in unique_rules):
         entries = [
-            _entry(r, F.col("rows" if r["rule"] == "unique" else "groups"))
+            result_entry(r, F.col("rows" if r["rule"] == "unique" else "groups"))
             for r in unique_rules
             if r["column"] == column
         ]

@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 
 from tidewell.operators.keyed import as_list, content_hash
 
-# The sampling hash is cut into two digits of 16 bits; a count per digit is at most 65,536 rows.
+# Hashes are cut into digits of 16 bits where rows are counted or told apart digit by digit.
 _DIGIT_BITS = 16
 _DIGITS = 1 << _DIGIT_BITS
 
+CELL = 65_536  # values that the driver may be given around the cut
+SKETCH = 4_000  # size of the quantile sketch
+MARGIN = 6 / SKETCH  # of the rank on either side of the cut: over twice the sketch's error
+
 
 def sample_order(keys, seed: int) -> Column:
     """A hash that depends on the key and the seed only, so any run picks the same rows."""
@@ -44,40 +48,89 @@ def _boundary(df: DataFrame, digit: Column, n: int) -> tuple[int, int, int]:
     return _DIGITS, before, 0
 
 
-def sample_exact(df: DataFrame, keys, n: int, seed: int = 0, order: Column | None = None) -> DataFrame:
-    """Exactly ``n`` rows (all, if there are fewer), in order of a key hash.
+def _around(spark, sketch: bytes, rank: float, margin: float) -> tuple[int, int]:
+    """Values ``margin`` below and above a relative rank, by a quantile sketch; the driver reads them off it."""
+    ranks = [F.lit(min(1.0, max(0.0, r))) for r in (rank - margin, rank + margin)]
+    held = F.lit(bytes(sketch))
+    return tuple(spark.sql("SELECT 1").select(*[F.kll_sketch_get_quantile_bigint(held, r) for r in ranks]).first())
+
 
-    Counting passes over hash digits find the cut, whatever ``n`` is; the last cell is ordered, and
-    it holds at most ``_DIGITS`` rows. Rows that share a key are told apart by their content, digit by
-    digit too, so a repeated key does not gather in one task. Only rows equal in every column can
-    still share the last cell, and any of them will do. ``order`` is a 64-bit number to go by in place
-    of the hash, such as ``digest_order``.
+def _find_cut(hashed: DataFrame, n: int, total: int, sketch: bytes) -> tuple[int, int, int]:
+    """The ``_h`` of the n-th row, the rows below it, and the rows that have it.
+
+    One pass counts the values between two bounds around the cut, which the sketch gives; they hold some thousandths
+    of the rows. Where those are too many for the driver, a pass makes a sketch of them first, so a pass is
+    added for each factor of some hundred. Bounds that the counts show to miss the cut are widened.
     """
+    value, margin = F.col("_h"), MARGIN
+    below, inside = 0, total
+    while True:
+        low, high = _around(hashed.sparkSession, sketch, (n - below) / inside, margin)
+        part = hashed.where(value <= high)
+        within = F.when(value >= low, value)
+        if low == high or 2 * margin * inside <= CELL:
+            found = part.groupBy(within.alias("v")).agg(F.count("*").alias("n")).collect()
+            passed = sum(r["n"] for r in found if r["v"] is None)
+            if passed < n:
+                for v, rows in sorted((r["v"], r["n"]) for r in found if r["v"] is not None):
+                    if passed + rows >= n:
+                        return v, passed, rows
+                    passed += rows
+        else:
+            row = part.agg(
+                F.count_if(value < low), F.count(within), F.kll_sketch_agg_bigint(within, F.lit(SKETCH))
+            ).first()
+            if row[0] < n <= row[0] + row[1]:
+                below, inside, sketch = row
+                continue
+        if margin > 1:
+            raise RuntimeError("the rows changed while they were counted")
+        margin *= 8
+
+
+def _sample(df: DataFrame, keys, seed: int, order: Column | None, size) -> DataFrame:
+    """The ``size(rows)`` first rows by key hash."""
+    names = [F.col(k) for k in as_list(keys)]
+    hashed = df.withColumn("_h", sample_order(keys, seed) if order is None else order)
+    total, sketch = hashed.agg(F.count("_h"), F.kll_sketch_agg_bigint("_h", F.lit(SKETCH))).first()
+    n = size(total)
     if n <= 0:
         return df.limit(0)
-    names = [F.col(k) for k in as_list(keys)]
-    cell = df.withColumn("_h", sample_order(keys, seed) if order is None else order).withColumn("_c", content_hash(df))
-    taken, left = [], n
-    for column, index in [(c, i) for c in ("_h", "_c") for i in range(64 // _DIGIT_BITS)]:
-        digit = _digit(F.col(column), index)
-        cut, before, on_cut = _boundary(cell, digit, left)
-        taken.append(cell.where(digit < cut))
-        cell, left = cell.where(digit == cut), left - before
-        if cut == _DIGITS or on_cut == left:
-            if cut != _DIGITS:
-                taken.append(cell)
-            left = 0
+    if n >= total:
+        return df
+    value, below, ties = _find_cut(hashed, n, total, sketch)
+    if below + ties == n:
+        return hashed.where(F.col("_h") <= value).drop("_h")
+    # Rows of the cut's key are told apart by their content, digit by digit, so they need not meet in one task.
+    taken, left = [hashed.where(F.col("_h") < value).drop("_h")], n - below
+    cell = hashed.where(F.col("_h") == value).withColumn("_c", content_hash(df))
+    for index in range(64 // _DIGIT_BITS):
+        if ties <= CELL:
             break
-        if on_cut <= _DIGITS:
-            break
-    if left:
-        taken.append(cell.orderBy("_h", *names, "_c").limit(left))
-    return reduce(DataFrame.unionByName, taken).drop("_h", "_c")
+        digit = _digit(F.col("_c"), index)
+        cut, before, ties = _boundary(cell, digit, left)
+        taken.append(cell.where(digit < cut).drop("_h", "_c"))
+        cell, left = cell.where(digit == cut), left - before
+    taken.append(cell.orderBy("_h", *names, "_c").limit(left).drop("_h", "_c"))
+    return reduce(DataFrame.unionByName, taken)
+
+
+def sample_exact(df: DataFrame, keys, n: int, seed: int = 0, order: Column | None = None) -> DataFrame:
+    """Exactly ``n`` rows (all, if there are fewer), in order of a key hash.
+
+    A first pass over the keys counts the rows and makes a quantile sketch of the hashes, a second one
+    finds the hash of the n-th row between two bounds of the sketch; the sample is then one filter on the
+    scan, whatever ``n`` is. Rows that share a key are told apart by their content, digit by digit, so a
+    repeated key does not gather in one task. Only rows equal in every column can still share the last
+    cell, and any of them will do. ``order`` is a 64-bit number, never NULL, to go by in place of the hash, such as
+    ``digest_order``.
+    """
+    return _sample(df, keys, seed, order, lambda total: n)
 
 
 def sample_fraction(df: DataFrame, keys, fraction: float, seed: int = 0) -> DataFrame:
-    """Exactly ``floor(fraction * rows)`` rows."""
-    return sample_exact(df, keys, math.floor(fraction * df.count()), seed)
+    """Exactly ``floor(fraction * rows)`` rows; the pass that sketches the hashes counts them too."""
+    return _sample(df, keys, seed, None, lambda total: math.floor(fraction * total))
 
 
 def sample_approximately(df: DataFrame, keys, fraction: float, seed: int = 0) -> DataFrame:

@@ -14,6 +14,7 @@ from tidewell.sinks import files, lake
 from tidewell.sources import tables
 from tidewell.sources.stream import file_stream
 from tidewell.streaming import events as streaming
+from tidewell.streaming import intervals
 
 
 def orders_by_year(spark, sf):
@@ -345,6 +346,42 @@ def stream_sessions(spark, sf):
     )
 
 
+LATE = "make_dt_interval(0, 0, 0, event_id % 3600)"  # how much later than its time an event arrives
+
+
+@query(
+    "stream_state_intervals",
+    """
+WITH s AS (SELECT CAST(user_id % 8 AS INTEGER) AS series, ts, event_id, event_type FROM events),
+marked AS (
+  SELECT *, CASE WHEN event_type = lag(event_type) OVER w THEN 0 ELSE 1 END AS new
+  FROM s WINDOW w AS (PARTITION BY series ORDER BY ts, event_id)),
+runs AS (SELECT *, sum(new) OVER (PARTITION BY series ORDER BY ts, event_id) AS run FROM marked)
+SELECT series, event_type, min(ts) AS start_ts, max(ts) AS end_ts, count(*) AS samples
+FROM runs GROUP BY series, event_type, run
+""",
+)
+def stream_state_intervals(spark, sf):
+    """Eight series that arrive up to an hour late, in four deliveries with a restart before each."""
+    rows = streaming.event_time(load(spark, sf, "events"), "ts").select(
+        (F.col("user_id") % 8).cast("int").alias("series"), "ts", "event_id", "event_type"
+    )
+    arrived = rows.withColumn("arrived", F.col("ts") + F.expr(LATE))
+    ends = arrived.agg(F.min(F.unix_micros("arrived")).alias("a"), F.max(F.unix_micros("arrived")).alias("b")).first()
+    part = F.floor((F.unix_micros("arrived") - ends["a"]) * 4 / (ends["b"] - ends["a"] + 1))
+    folder = scratch_path(spark, "arrivals")
+    out, checkpoint = streaming.new_paths(spark, "intervals")
+    for k in range(4):
+        arrived.where(part == k).select(*rows.columns).repartition(2).write.mode("append").parquet(folder)
+        stream = file_stream(spark, folder, rows.schema)
+        found = intervals.state_intervals(stream, "series", "event_type", "ts", "2 hours", "event_id")
+        intervals.intervals_to_table(found, out, checkpoint)
+    return intervals.intervals_so_far(spark, out, "series").select(
+        "series", "event_type", F.col("start_ts").cast("timestamp_ntz").alias("start_ts"),
+        F.col("end_ts").cast("timestamp_ntz").alias("end_ts"), "samples",
+    )
+
+
 @query(
     "target_sized_files",
     "SELECT count(*) AS rows, true AS within_target FROM lineitem",

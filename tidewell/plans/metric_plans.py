@@ -12,6 +12,7 @@ from tidewell.functions.text import rename_by_pattern
 from tidewell.operators import metrics, reconcile
 from tidewell.operators.metric_rules import METRIC_RULES
 from tidewell.plans.registry import load, query
+from tidewell.session import staged
 
 # Events become samples of one gauge: the user is the run's id, the event type its status.
 STATUS_OF = {"signup": "queued", "purchase": "success", "error": "failed", "click": "running"}
@@ -514,6 +515,47 @@ def metric_roll_up(spark, sf):
     )
 
 
+@query(
+    "metric_sketch_merge",
+    """
+WITH s AS (
+  SELECT date_trunc('day', ts) AS bucket, event_type, user_id, value,
+         CASE WHEN event_type IN ('click', 'view') THEN 'counter' WHEN event_type = 'signup' THEN 'gauge' ELSE 'observer' END AS kind
+  FROM events)
+SELECT bucket, kind, count(*) FILTER (kind = 'observer') AS timer_count,
+       round(sum(value) FILTER (kind = 'counter'), 4) AS counter_sum,
+       round(sum(value) FILTER (kind = 'observer'), 4) AS timer_sum,
+       min(value) FILTER (kind = 'observer') AS timer_min, max(value) FILTER (kind = 'observer') AS timer_max,
+       CASE WHEN kind = 'observer' THEN true END AS p50_fits, CASE WHEN kind = 'observer' THEN true END AS p99_fits,
+       true AS distinct_fits
+FROM s GROUP BY bucket, kind
+""",
+)
+def metric_sketch_merge(spark, sf):
+    """Days over all event types from stored hours of each type. Quantiles must lie within a hundredth of their rank, numbers
+    of distinct users within a twentieth; both are held against the samples."""
+    samples = load(spark, sf, "events").withColumn("kind", kind_of(F.col("event_type")))
+    hours = staged(metrics.sketched_roll_up(samples, "event_type", "1 hour", distinct="user_id"), "hours")
+    days = metrics.read_roll_up(metrics.merged_roll_up(hours, [], "1 day"))
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz").alias("bucket")
+    timed = F.col("kind") == "observer"
+    met = samples.select(day, "kind", "value", "user_id").join(days.select("bucket", "kind", "timer_p50", "timer_p99"), ["bucket", "kind"])
+    exact = met.groupBy("bucket", "kind").agg(
+        *[F.avg((F.col("value") < F.col(f"timer_p{p}")).cast("int")).alias(f"below{p}") for p in (50, 99)],
+        *[F.avg((F.col("value") <= F.col(f"timer_p{p}")).cast("int")).alias(f"upto{p}") for p in (50, 99)],
+        F.count_distinct("user_id").alias("users"),
+    )
+
+    def fits(p):
+        near = (F.col(f"below{p}") <= p / 100 + 0.01) & (F.col(f"upto{p}") >= p / 100 - 0.01)
+        return F.when(timed, near).alias(f"p{p}_fits")
+
+    return days.join(exact, ["bucket", "kind"]).select(
+        "bucket", "kind", "timer_count", *[F.round(c, 4).alias(c) for c in ("counter_sum", "timer_sum")], "timer_min", "timer_max",
+        fits(50), fits(99), (F.abs(F.col("distinct") - F.col("users")) <= 0.05 * F.col("users")).alias("distinct_fits"),
+    )
+
+
 @query(
     "tumbling_rollup",
     """

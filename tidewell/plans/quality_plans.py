@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.operators import quality, reconcile
+from tidewell.operators import fingerprints, quality, reconcile
+from tidewell.operators.quality_states import QualityStates
 from tidewell.plans.io_plans import orders_by_year
 from tidewell.plans.registry import TABLES, load, query
+from tidewell.session import scratch_path
 from tidewell.sources.tables import table_counts
 
 NAME_PATTERN = r"^[A-Za-z\s]+$"  # fixed value: the name rule
@@ -21,6 +23,89 @@ def table_row_counts(spark, sf):
     return table_counts({t: load(spark, sf, t) for t in TABLES})
 
 
+ORDER_RULES = [
+    {"rule": "row_count", "above": 100},
+    {"rule": "not_null", "column": "o_custkey"},
+    {"rule": "matches", "column": "o_orderpriority", "pattern": "^[0-3]-"},
+    {"rule": "max_length", "column": "o_orderpriority", "length": 8},
+    {"rule": "unique", "column": "o_orderkey"},
+    {"rule": "unique", "column": "o_custkey"},
+    {"rule": "duplicate_count", "column": "o_custkey"},
+    {"rule": "schema", "column": "o_orderkey", "type": "integer"},
+    {"rule": "schema", "column": "o_totalprice", "type": "string"},
+]
+MONTHS = ("1995-03", "1996-10")
+
+
+@query(
+    "dq_range_from_states",
+    f"""
+WITH o AS (SELECT * FROM orders WHERE strftime(o_orderdate, '%Y-%m') BETWEEN '{MONTHS[0]}' AND '{MONTHS[1]}'),
+d AS (SELECT count(*) AS n FROM o GROUP BY o_custkey HAVING count(*) > 1),
+r(rule, "column", observed, threshold) AS (
+  SELECT 'row_count', CAST(NULL AS VARCHAR), count(*), 100::BIGINT FROM o
+  UNION ALL SELECT 'not_null', 'o_custkey', count(*) FILTER (o_custkey IS NULL), 0 FROM o
+  UNION ALL SELECT 'matches', 'o_orderpriority', count(*) FILTER (NOT regexp_matches(o_orderpriority, '^[0-3]-')), 0 FROM o
+  UNION ALL SELECT 'max_length', 'o_orderpriority', count(*) FILTER (length(o_orderpriority) > 8), 0 FROM o
+  UNION ALL SELECT 'unique', 'o_orderkey', count(*) - count(DISTINCT o_orderkey), 0 FROM o
+  UNION ALL SELECT 'unique', 'o_custkey', coalesce(sum(n), 0)::BIGINT, 0 FROM d
+  UNION ALL SELECT 'duplicate_count', 'o_custkey', count(*), 0 FROM d
+  UNION ALL SELECT 'schema', 'o_orderkey', 0, 0
+  UNION ALL SELECT 'schema', 'o_totalprice', 1, 0)
+SELECT rule, "column", observed, threshold,
+       CASE WHEN rule = 'row_count' THEN observed > threshold ELSE observed <= threshold END AS passed
+FROM r
+""",
+)
+def dq_range_from_states(spark, sf):
+    """A suite over twenty months, answered from the states of all months; one month was added twice."""
+    orders = load(spark, sf, "orders")
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    states = QualityStates(spark, scratch_path(spark, "quality"), ORDER_RULES)
+    states.add(orders, month)
+    states.add(orders.where(month == MONTHS[0]), month)
+    return states.report(*MONTHS)
+
+
+CHANGED = "o_orderkey % 4000 BETWEEN 100 AND 120"  # orders whose copy in the target differs
+LOST = "o_orderkey % 6000 BETWEEN 500 AND 505"
+TWICE = "o_orderkey % 9000 BETWEEN 700 AND 702"
+
+
+def drifted_orders(spark, sf):
+    """The orders, and a target in which some are changed, lost or loaded twice."""
+    orders = load(spark, sf, "orders")
+    target = orders.where(f"NOT ({LOST})").withColumn(
+        "o_totalprice", F.when(F.expr(CHANGED), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    )
+    return orders, target.unionByName(target.where(TWICE))
+
+
+@query(
+    "compare_by_ranges",
+    f"""
+WITH target AS (
+  SELECT * REPLACE (CASE WHEN {CHANGED} THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice)
+  FROM orders WHERE NOT ({LOST})),
+b AS (SELECT * FROM target UNION ALL SELECT * FROM target WHERE {TWICE}),
+missing AS (SELECT * FROM orders EXCEPT ALL SELECT * FROM b),
+extra AS (SELECT * FROM b EXCEPT ALL SELECT * FROM orders)
+SELECT 'source' AS side, o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, count(*) AS n
+FROM missing GROUP BY ALL
+UNION ALL
+SELECT 'target', o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, count(*) FROM extra GROUP BY ALL
+""",
+)
+def compare_by_ranges(spark, sf):
+    """What either side has more of, found by descent through fingerprints of key ranges."""
+    source, target = drifted_orders(spark, sf)
+    rows = fingerprints.compare_by_ranges(source, target, "o_orderkey", fan=64, leaf_rows=500).rows
+    more = F.col("copies_a") - F.col("copies_b")
+    return rows.select(
+        F.when(more > 0, "source").otherwise("target").alias("side"), *source.columns, F.abs(more).alias("n")
+    )
+
+
 RULES = [
     {"rule": "row_count", "above": 0},
     {"rule": "not_null", "column": "c_custkey"},

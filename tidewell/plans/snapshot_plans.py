@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewell.operators import cdc
+from tidewell.operators import cdc, schema_versions
 from tidewell.operators.snapshot import ChunkedSnapshot
 from tidewell.plans.cdc_plans import user_change_log
-from tidewell.plans.registry import query
+from tidewell.plans.registry import load, query
 from tidewell.session import scratch_path
 
 TAKES = 5  # one chunk each
@@ -76,3 +76,56 @@ def snapshot_frames(spark, sf):
     """What each frame read and what changed inside it."""
     snapshot, log = framed_snapshot(spark, sf)
     return snapshot.report(log, "event_id")
+
+
+VERSIONS = (
+    (0, "c_custkey int, c_acctbal int"),
+    (1, "c_custkey bigint, c_acctbal decimal(12,2), c_mktsegment string"),
+    (2, "c_custkey bigint, c_acctbal decimal(15,4), c_nationkey string, c_mktsegment string"),
+)
+
+
+@query(
+    "schema_versions_applied",
+    """
+WITH ends AS (SELECT max(o_orderkey) // 3 AS step FROM orders),
+last AS (
+  SELECT o_custkey, o_orderkey, o_totalprice, o_orderstatus, o_orderpriority, least(o_orderkey // (step + 1), 2) AS v,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS r
+  FROM orders, ends)
+SELECT CAST(c_custkey AS BIGINT) AS c_custkey, CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS DOUBLE) AS c_acctbal,
+       CAST(NULL AS VARCHAR) AS c_mktsegment, CAST(c_nationkey AS VARCHAR) AS c_nationkey
+FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
+UNION ALL
+SELECT o_custkey,
+       CASE v WHEN 0 THEN floor(o_totalprice) ELSE CAST(CAST(round(o_totalprice, 2) AS DECIMAL(15,4)) AS DOUBLE) END,
+       CASE WHEN v >= 1 THEN o_orderstatus END, CASE WHEN v = 2 THEN o_orderpriority END
+FROM last WHERE r = 1 AND o_orderkey % 7 <> 0
+""",
+)
+def schema_versions_applied(spark, sf):
+    """Customers after a log of orders whose payload changed its schema twice: one plan, one target schema."""
+    orders = load(spark, sf, "orders")
+    step = orders.agg(F.floor(F.max("o_orderkey") / 3)).first()[0]
+    changes = [(0 if not i else i * (step + 1), ddl) for i, ddl in VERSIONS]
+    versions = schema_versions.versions_of(spark.createDataFrame(changes, "position long, schema string"))
+    price = F.format_string("%.2f", "o_totalprice")
+    written = [
+        F.concat(F.lit('{"c_custkey":'), F.col("o_custkey"), F.lit(',"c_acctbal":'), F.floor("o_totalprice"), F.lit("}")),
+        F.concat(F.lit('{"c_custkey":'), F.col("o_custkey"), F.lit(',"c_acctbal":'), price, F.lit(',"c_mktsegment":"'),
+                 F.col("o_orderstatus"), F.lit('"}')),
+        F.concat(F.lit('{"c_custkey":'), F.col("o_custkey"), F.lit(',"c_acctbal":'), price, F.lit(',"c_nationkey":"'),
+                 F.col("o_orderpriority"), F.lit('","c_mktsegment":"'), F.col("o_orderstatus"), F.lit('"}')),
+    ]
+    at = F.floor(F.col("o_orderkey") / (step + 1))
+    events = orders.select(
+        F.col("o_orderkey").alias("pos"), F.col("o_custkey").alias("c_custkey"),
+        F.when(F.col("o_orderkey") % 7 == 0, "D").otherwise("U").alias("op"),
+        F.when(at == 0, written[0]).when(at == 1, written[1]).otherwise(written[2]).alias("payload"),
+    )
+    table = load(spark, sf, "customer").select(
+        F.col("c_custkey").cast("int").alias("c_custkey"), F.col("c_acctbal").cast("decimal(12,2)").alias("c_acctbal"),
+        F.lit(None).cast("string").alias("c_mktsegment"), F.col("c_nationkey").cast("int").alias("c_nationkey"),
+    )
+    applied = schema_versions.apply_versioned(table, events, versions, "c_custkey", "payload", "pos")
+    return applied.withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
