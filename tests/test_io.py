@@ -121,6 +121,31 @@ def test_target_size_in_one_pass(spark, tmp_path):
     assert files.rows_for_size(df, 2**20) == pytest.approx(limit, rel=0.2)
 
 
+def test_small_files_are_packed(spark, tmp_path):
+    """Many tasks with little each: near the target but for one file, every row once, appended files left alone."""
+    df = spark.range(60000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h"))
+    path = str(tmp_path / "out")
+    files.write_to_target_size(df.repartition(24), path, target_mb=1)
+    sizes = sorted(r["size_bytes"] / 2**20 for r in tables.list_files(spark, path, ".parquet").collect())
+    assert sum(0.8 <= s <= 1.2 for s in sizes) >= len(sizes) - 1 and len(sizes) < 8
+    assert spark.read.parquet(path).exceptAll(df).isEmpty() and spark.read.parquet(path).count() == 60000
+    before = {r["file_name"] for r in tables.list_files(spark, path, ".parquet").collect()}
+    files.write_to_target_size(df.limit(100), path, target_mb=1, mode="append")
+    after = {r["file_name"] for r in tables.list_files(spark, path, ".parquet").collect()}
+    assert before < after and len(after) == len(before) + 1 and spark.read.parquet(path).count() == 60100
+    files.write_to_target_size(df.limit(0), path, target_mb=1)
+    assert spark.read.schema(df.schema).parquet(path).count() == 0
+
+
+def test_bins_hold_what_fits():
+    rng = __import__("random").Random(1)
+    sizes = {f"f{i}": rng.randrange(1, 90) for i in range(200)}
+    bins = files.bins_of(sizes, 100)
+    assert sorted(n for b in bins for n in b) == sorted(sizes)
+    full = [sum(sizes[n] for n in b) for b in bins]
+    assert max(full) <= 100 and sum(s < 50 for s in full) <= 1 and len(bins) <= 1.3 * sum(sizes.values()) / 100 + 1
+
+
 def test_round_trip_counts_copies(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "i int, s string")
     assert files.write_and_compare(df, str(tmp_path / "rt")).isEmpty()

@@ -313,3 +313,14 @@ def test_staged_copies_are_removed(spark):
     path = copy.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
     assert os.path.isdir(path) and copy.count() == 5
     assert session.release_staged(spark) == 1 and not os.path.exists(path)
+
+
+@pytest.mark.parametrize("n", [0, 5, 60, 300, 777, 990, 1000, 2000])
+def test_first_rows_by_ranges(spark, monkeypatch, n):
+    """More rows than one task should merge: NULLs, a value with most rows, ties decided by the second key."""
+    monkeypatch.setattr(sampling, "RANGES", 8)
+    a = F.when(F.col("id") % 100 == 3, None).when(F.col("id") % 5 > 0, 50).otherwise(F.col("id") % 83)
+    df = spark.range(1000).select(a.alias("a"), F.concat(F.lit("t"), F.col("id") * 7 % 1000).alias("b"))
+    rows = sorted(map(tuple, df.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    got = sampling.first_n(df, ["a", "b"], n, few=20)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(rows[:n], key=repr)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.operators.keyed import as_list, content_hash
+from tidewell.operators.ranges import key_cuts, range_number
 
 # Hashes are cut into digits of 16 bits where rows are counted or told apart digit by digit.
 _DIGIT_BITS = 16
@@ -139,9 +140,43 @@ def sample_approximately(df: DataFrame, keys, fraction: float, seed: int = 0) ->
     return df.where(bound < F.lit(int(fraction * (1 << 53))))
 
 
-def first_n(df: DataFrame, keys, n: int) -> DataFrame:
-    """The first ``n`` rows by key."""
-    return df.orderBy(*[F.col(k) for k in as_list(keys)]).limit(n)
+RANGES = 512  # key ranges that are counted to find where the first rows end
+
+
+def first_n(df: DataFrame, keys, n: int, few: int = CELL) -> DataFrame:
+    """The first ``n`` rows by key, NULLs first.
+
+    Up to ``few`` rows are merged in one task. For more, ranges of the first key are counted: ranges before the cut are taken
+    whole, where they lie, and only the one that holds the cut goes on, in finer ranges, until few of its rows are wanted. The
+    rows are then not in one order. A single value of the first key that holds the cut goes on by the next keys.
+    """
+    names, taken = as_list(keys), []
+    while n > few and names:
+        key = F.col(names[0])
+        cuts = key_cuts(df, names[0], RANGES)
+        while True:
+            number = F.when(key.isNull(), -1).otherwise(range_number(key, cuts))
+            found = df.groupBy(number.alias("p")).agg(F.count("*").alias("n"), F.min(key).alias("a"), F.max(key).alias("b"))
+            ranges = sorted(found.collect())
+            if len(ranges) != 1 or ranges[0]["a"] == ranges[0]["b"]:
+                break
+            cuts = [ranges[0]["a"]]  # no cut told the values apart: the least one is
+        before, at = 0, None
+        for r in ranges:
+            if before + r["n"] > n:
+                at = r["p"]
+                break
+            before += r["n"]
+        if at is None:
+            return reduce(DataFrame.unionByName, [*taken, df])
+        if len(ranges) == 1:  # one value: the rows differ in the next keys
+            names = names[1:]
+            continue
+        taken.append(df.where(number < at))
+        df, n = df.where(number == at), n - before
+    if n > 0:
+        taken.append(df.orderBy(*[F.col(k) for k in as_list(keys)]).limit(n))
+    return reduce(DataFrame.unionByName, taken) if taken else df.limit(0)
 
 
 def with_rank(df: DataFrame, keys, seed: int = 0, column: str = "rank") -> DataFrame:

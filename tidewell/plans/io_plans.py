@@ -395,6 +395,22 @@ def target_sized_files(spark, sf):
     return rows.withColumn("within_target", F.lit(largest < 1.5 * 1024 * 1024))
 
 
+@query(
+    "small_files_packed",
+    "SELECT count(*) AS rows, sum(l_orderkey)::BIGINT AS keys, true AS near_target FROM lineitem",
+)
+def small_files_packed(spark, sf):
+    """Lines from many tasks: all files but one within a fifth of the target, small tables in one file."""
+    path = scratch_path(spark, "packed_lines")
+    rows = load(spark, sf, "lineitem")
+    files.write_to_target_size(rows.repartition(24, "l_orderkey"), path, target_mb=0.25)
+    sizes = [r["size_bytes"] / 2**18 for r in tables.list_files(spark, path, ".parquet").collect()]
+    near = sum(0.8 <= s <= 1.2 for s in sizes) >= len(sizes) - 1
+    return spark.read.parquet(path).agg(
+        F.count("*").alias("rows"), F.sum("l_orderkey").alias("keys")
+    ).withColumn("near_target", F.lit(near))
+
+
 @query("metastore_table", "SELECT c_custkey, c_name FROM customer")
 def metastore_table(spark, sf):
     """Customers written and registered, then read by name."""

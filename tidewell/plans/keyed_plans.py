@@ -471,6 +471,33 @@ def first_n(spark, sf):
     return sampling.first_n(load(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", 100)
 
 
+@query(
+    "first_rows_by_ranges",
+    "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 4000",
+)
+def first_rows_by_ranges(spark, sf):
+    """More first rows than one task is asked to merge: whole ranges, and the one with the cut in finer ranges."""
+    rows = load(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    return sampling.first_n(rows, ["o_orderdate", "o_orderkey"], 4000, few=200)
+
+
+@query(
+    "load_long_chain",
+    """
+SELECT c_custkey, c_custkey % 2 = 0 AS loaded FROM customer
+""",
+)
+def load_long_chain(spark, sf):
+    """All customers in one chain of shared keys, each the next one's rival: every second one is loaded."""
+    rows = load(spark, sf, "customer").select(
+        "c_custkey", F.floor(F.col("c_custkey") / 2).alias("id"), F.floor((F.col("c_custkey") + 1) / 2).alias("account")
+    )
+    loaded, refused = mapping.load_skipping_duplicates(rows.limit(0), rows, ["id", "account"], ["c_custkey"])
+    return loaded.select("c_custkey", F.lit(True).alias("loaded")).unionByName(
+        refused.select("c_custkey", F.lit(False).alias("loaded"))
+    )
+
+
 @query(
     "load_skipping_duplicates",
     """

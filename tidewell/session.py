@@ -86,6 +86,25 @@ def delete_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def move_files(spark: SparkSession, source: str, target: str, prefix: str = "") -> None:
+    """Move a folder's files into another folder, which is made if need be, and remove the first one. One rename for each
+    file, which puts ``prefix`` before its name, or for the whole folder where the target does not exist yet."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    where, to = path(source), path(target)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(to):
+        if to.getParent() is not None:
+            store.mkdirs(to.getParent())
+        if not store.rename(where, to):
+            raise OSError(f"cannot move {source} to {target}")
+        return
+    for status in store.listStatus(where):
+        name = status.getPath().getName()
+        if status.isFile() and not name.startswith(("_", ".")) and not store.rename(status.getPath(), path(to, prefix + name)):
+            raise OSError(f"cannot move {name} to {target}")
+    store.delete(where, True)
+
+
 def child_folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
     """What follows ``prefix`` in the names of a folder's children; none if there is no such folder."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

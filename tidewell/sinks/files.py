@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.numbers import megabytes
 from tidewell.operators.keyed import content_hash, differing_rows
-from tidewell.session import delete_path, scratch_path
+from tidewell.session import delete_path, move_files, scratch_path
 from tidewell.sources.tables import list_files
 
 # Batch defaults of the envelope generator.
@@ -18,6 +18,9 @@ FILE_COUNT = 100
 TARGET_FILE_MB = 128
 RECORDS_PER_FILE = 90000
 
+PROBE_ROWS = 100_000  # rows written to measure a row's size
+MOST_PACKING = 10_000  # tasks that pack
+
 SUFFIX = {"parquet": ".parquet", "json": ".json", "csv": ".csv", "orc": ".orc", "avro": ".avro"}
 
 
@@ -30,14 +33,15 @@ def write_sized(
     ).mode(mode).save(path)
 
 
-def bytes_per_row(df: DataFrame, fraction: float = 0.1, fmt: str = "parquet") -> float:
-    """Written size of a row, measured on rows drawn from all partitions by a hash of their content.
+def bytes_per_row(df: DataFrame, rows: int = PROBE_ROWS, fmt: str = "parquet") -> float:
+    """Written size of a row, measured on about ``rows`` rows drawn from all partitions by a hash of their content.
 
-    The drawn rows are written by as many tasks as read them, and removed again. A table too small
-    for a draw is measured whole.
+    The number of drawn rows does not grow with the table. They are written by as many tasks as read them, and
+    removed again. A table too small for a draw is measured whole.
     """
     spark = df.sparkSession
-    drawn = df.where(F.pmod(content_hash(df), F.lit(1_000)) < round(1_000 * fraction))
+    bound = int(min(1.0, rows / max(1, df.count())) * (1 << 30))
+    drawn = df.where(F.pmod(content_hash(df), F.lit(1 << 30)) < bound)
     for part in (drawn, df):
         path = scratch_path(spark, "probe")
         part.write.format(fmt).save(path)
@@ -50,18 +54,72 @@ def bytes_per_row(df: DataFrame, fraction: float = 0.1, fmt: str = "parquet") ->
 
 
 def write_to_target_size(
-    df: DataFrame, path: str, target_mb: int = TARGET_FILE_MB, mode="overwrite", fmt="parquet"
+    df: DataFrame, path: str, target_mb: float = TARGET_FILE_MB, mode="overwrite", fmt="parquet"
 ) -> int:
-    """Files of about ``target_mb`` MB in one pass; returns the rows allowed per file.
+    """Files of about ``target_mb`` MB; returns the rows allowed per file.
 
-    The reach of a file is set by a measured row size, so nothing is written twice.
+    Files are cut at a row count that a bounded probe gives. What each task has left over is a smaller file; those alone
+    are packed together and written once more, before the files are put in their place. Bins are filled by
+    first fit, largest file first, so at most one file is less than half full, and at most the packed
+    share is written twice.
     """
+    spark = df.sparkSession
+    target = target_mb * 1024 * 1024
     per_row = bytes_per_row(df, fmt=fmt)
-    records = max(1, math.floor(target_mb * 1024 * 1024 / per_row)) if per_row else RECORDS_PER_FILE
-    df.write.format(fmt).option("maxRecordsPerFile", records).mode(mode).save(path)
+    records = max(1, math.floor(target / per_row)) if per_row else RECORDS_PER_FILE
+    if mode != "overwrite" and mode != "append":
+        raise ValueError(f"unknown mode {mode}")
+    work = scratch_path(spark, "sized")
+    df.write.format(fmt).option("maxRecordsPerFile", records).save(work)
+    pack_small_files(spark, work, target, df.schema, fmt)
+    if mode == "overwrite":
+        delete_path(spark, path)
+    move_files(spark, work, path)
     return records
 
 
+def bins_of(sizes: dict[str, int], room: float) -> list[list[str]]:
+    """Names in bins of at most ``room``, by first fit with the largest first; a larger one has its own bin."""
+    bins: list[list[str]] = []
+    left: list[float] = []
+    # First bin with room by a tree of maxima would matter beyond some 100,000 small files only.
+    for name in sorted(sizes, key=lambda n: (-sizes[n], n)):
+        at = next((k for k, free in enumerate(left) if free >= sizes[name]), None)
+        if at is None:
+            bins.append([name])
+            left.append(room - sizes[name])
+        else:
+            bins[at].append(name)
+            left[at] -= sizes[name]
+    return bins
+
+
+def pack_small_files(spark: SparkSession, path: str, target: float, schema, fmt: str = "parquet", full: float = 0.8) -> tuple[int, int]:
+    """Rewrite files below ``full`` of the target in bins of the target size; the number of files and bytes rewritten.
+
+    Only small files are read, each by the task of its bin. Give a folder that nobody reads yet.
+    """
+    sizes = {r["file_name"]: r["size_bytes"] for r in list_files(spark, path, SUFFIX[fmt]).collect()}
+    small = {n: s for n, s in sizes.items() if s < full * target}
+    bins = [b for b in bins_of(small, target) if len(b) > 1]
+    if not bins:
+        return 0, 0
+    names = [(n, k) for k, b in enumerate(bins) for n in b]
+    # One row for each small file: at most as many as tasks wrote the folder.
+    placed = F.broadcast(spark.createDataFrame(names, "_name string, _bin int"))
+    rows = spark.read.format(fmt).schema(schema).load([f"{path}/{n}" for n, _ in names])
+    rows = rows.withColumn("_name", F.col("_metadata.file_name")).join(placed, "_name").drop("_name")
+    packed = scratch_path(spark, "packed")
+    rows.repartition(min(len(bins), MOST_PACKING), "_bin").sortWithinPartitions("_bin").write.format(fmt).partitionBy("_bin").save(packed)
+    for k in range(len(bins)):
+        # One task's files share their name in the folders of different bins.
+        move_files(spark, f"{packed}/_bin={k}", path, f"bin{k}-")
+    for name, _ in names:
+        delete_path(spark, f"{path}/{name}")
+    delete_path(spark, packed)
+    return len(names), sum(small[n] for n, _ in names)
+
+
 def rows_for_size(df: DataFrame, target_bytes: int, fmt: str = "parquet") -> int:
     """How many rows like those of ``df`` fill ``target_bytes``."""
     per_row = bytes_per_row(df, fmt=fmt)
