@@ -26,7 +26,7 @@ by the suffix array, byte by byte, except for segments of one hash, length and a
 as equal.
 
 Edge cases: a null text is empty; a text shorter than ``length`` stays whole; equal rows repeat each
-other; rows that share an id but not their text are separate documents; ids may be null; an empty
+other, however many they are; rows that share an id but not their text are separate documents; ids may be null; an empty
 table gives an empty result; further columns are ignored, whatever their names.
 """
 
@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import SpanHashes, mix, slices, stage, text_bytes
+from tidewell.llm.common import SMALL_IDS, SpanHashes, lean, mix, slices, stage, text_bytes
 
 LENGTH = 200
 ANCHOR = 32  # bytes of an anchor
@@ -275,8 +275,9 @@ def anchors(data: np.ndarray, bounds: np.ndarray, length: int, hashed: SpanHashe
         return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.int64))
     starts = np.arange(n - span + 1)
     hashes = (hashed or SpanHashes(data)).windows(span)
-    # Least hash over each window by doubling; low bits hold the place, so the leftmost one wins.
-    bits = np.uint64(n.bit_length())
+    # Least hash over each window by doubling; low bits hold the place, so the leftmost one wins. As many bits of the
+    # hash are compared whatever the batch's length is: equal windows of different batches choose alike.
+    bits = np.uint64(32)
     least = hashes >> bits
     least <<= bits
     least |= starts.view(np.uint64)
@@ -332,7 +333,7 @@ def _segments(texts: DataFrame, length: int) -> DataFrame:
                     [*_KEYS, "start", "len", "anchor", "name", "places"],
                 )
 
-    return texts.select(*_KEYS, "text").mapInArrow(run, _SEGMENT)
+    return texts.select(*_KEYS, "text").mapInArrow(lean(run), _SEGMENT)
 
 
 def _single_windows(hot: DataFrame, texts: DataFrame, length: int) -> DataFrame:
@@ -354,7 +355,7 @@ def _single_windows(hot: DataFrame, texts: DataFrame, length: int) -> DataFrame:
                             [*_KEYS, "start", "len", "anchor", "name"],
                         )
 
-    return _at_texts(hot, texts, F.struct("start", "len")).mapInArrow(run, _SEGMENT.removesuffix(", places int"))
+    return _at_texts(hot, texts, F.struct("start", "len")).mapInArrow(lean(run), _SEGMENT.removesuffix(", places int"))
 
 
 def _at_texts(pieces: DataFrame, texts: DataFrame, what) -> DataFrame:
@@ -395,7 +396,7 @@ def _shards(bodies: DataFrame, length: int) -> DataFrame:
             yield solve()
 
     dealt = bodies.repartition("anchor").sortWithinPartitions("anchor", "name")
-    return dealt.select("anchor", "name", "n", "body").mapInArrow(run, "anchor long, name long, runs array<int>")
+    return dealt.select("anchor", "name", "n", "body").mapInArrow(lean(run), "anchor long, name long, runs array<int>")
 
 
 def _bodies(first: DataFrame, texts: DataFrame) -> DataFrame:
@@ -414,7 +415,25 @@ def _bodies(first: DataFrame, texts: DataFrame) -> DataFrame:
                 )
 
     at = _at_texts(first, texts, F.struct("anchor", "name", "n", "start", "len"))
-    return at.mapInArrow(run, "anchor long, name long, n long, body binary")
+    return at.mapInArrow(lean(run), "anchor long, name long, n long, body binary")
+
+
+def _repeated_keys(texts: DataFrame) -> DataFrame:
+    """Keys of rows that are equal in id and text."""
+    return stage(texts.select(*_KEYS).groupBy(*_KEYS).agg(F.count("*").alias("n")).where("n > 1").drop("n"), "repeated")
+
+
+def _whole_rows(rows: DataFrame, length: int, as_text: bool) -> DataFrame:
+    """What is left of rows that have an equal row: all their strings of ``length`` bytes stand elsewhere too."""
+    size = F.octet_length("text").cast("long")
+    gone = size >= length
+    span = F.array(F.struct(F.lit(0).cast("long").alias("start"), size.alias("end")))
+    kept = F.when(gone, F.lit("")).otherwise(F.col("text"))
+    columns = [c for c in rows.columns if c not in (*_KEYS, "text")]
+    return rows.select(
+        *columns, size.alias("n_bytes"), (kept if as_text else kept.cast("binary")).alias("kept"),
+        F.when(gone, span).otherwise(F.slice(span, 1, 0)).alias("spans"),
+    )
 
 
 def remove_repeats(
@@ -425,8 +444,34 @@ def remove_repeats(
 
     ``carry`` names columns to hand on. ``as_text`` gives ``kept`` as a string: characters of which
     only some bytes are left go as well.
+
+    Rows equal in id and text share a key. They are told by a count of keys, without their texts; one
+    row of each such key, combined before the shuffle, is judged against all other texts, and the verdict on
+    the equal rows themselves needs no search. So every key stands once in what is joined.
     """
     texts = _texts(df, id_col, text_col)
+    output = texts
+    if carry:
+        others = F.struct(*(F.col(c) for c in carry)).alias("carried")
+        output = _texts(df.withColumn("carried", others), id_col, text_col, ("carried",))
+    repeated = _repeated_keys(texts)
+    n = repeated.count()
+    if n:
+        keys = F.broadcast(repeated) if n <= SMALL_IDS // 2 else repeated
+        equal = output.join(keys, _KEYS, "left_semi")
+        once = equal.groupBy(*_KEYS).agg(F.first("text").alias("text"))
+        output = output.join(keys, _KEYS, "left_anti")
+        texts = output.select(*_KEYS, "text").unionByName(stage(once, "once"))
+    done = _cut(texts, output, length, as_text)
+    if n:
+        done = done.unionByName(_whole_rows(equal, length, as_text))
+    return done.select(
+        F.col("doc_id").alias(id_col), "n_bytes", "kept", "spans", *(F.col("carried")[c].alias(c) for c in carry)
+    )
+
+
+def _cut(texts: DataFrame, output: DataFrame, length: int, as_text: bool) -> DataFrame:
+    """The rows of ``output`` without what repeats among ``texts``; both have each key once."""
     parts = _segments(texts, length)
     seen = parts.groupBy(F.col("anchor").alias("a")).agg(
         F.count("*").alias("count"), F.sum("places").alias("p"), F.min("name").alias("u"), F.max("name").alias("v"),
@@ -451,10 +496,7 @@ def remove_repeats(
     listed = whole.unionByName(hits.select(*_KEYS, "start", "runs")).groupBy(*_KEYS).agg(
         F.collect_list(F.struct("start", "runs")).alias("pieces")
     )
-    if carry:
-        others = F.struct(*(F.col(c) for c in carry)).alias("carried")
-        texts = _texts(df.withColumn("carried", others), id_col, text_col, ("carried",))
-    cut = texts.join(listed, _KEYS, "left").drop(*_KEYS)
+    cut = output.join(listed, _KEYS, "left").drop(*_KEYS)
     columns = [c for c in cut.columns if c not in ("text", "pieces")]
 
     def run(batches):
@@ -484,11 +526,8 @@ def remove_repeats(
             )
 
     kinds = ", ".join(f"{c} {cut.schema[c].dataType.simpleString()}" for c in columns)
-    done = cut.select("text", "pieces", *columns).mapInArrow(
-        run, f"{kinds}, n_bytes long, kept {'string' if as_text else 'binary'}, spans array<struct<start:long,end:long>>"
-    )
-    return done.select(
-        F.col("doc_id").alias(id_col), "n_bytes", "kept", "spans", *(F.col("carried")[c].alias(c) for c in carry)
+    return cut.select("text", "pieces", *columns).mapInArrow(
+        lean(run), f"{kinds}, n_bytes long, kept {'string' if as_text else 'binary'}, spans array<struct<start:long,end:long>>"
     )
 
 
