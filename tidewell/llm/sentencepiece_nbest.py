@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import with_text
+from tidewell.llm.common import lean, with_text
 from tidewell.llm.pieces import SPACE_MARK, Memory, Pieces, model_path, pieces
 
 REMEMBERED = 200_000  # chunks in each generation
@@ -237,15 +237,18 @@ class Encoder(Memory):
             out += [(SPACE_MARK,)] * (k > 0) + self.pieces.chunks(part.replace(" ", SPACE_MARK))
         return out
 
-    def encode(self, chunks: list, n: int) -> tuple[np.ndarray, list[tuple[float, dict[int, list[int]]]]]:
-        """Best ids, and the ``n`` best as ``(score, {chunk number: other ids})``, the best one first."""
-        ids, scores, losses = [], [], []
+    def encode(self, chunks: list, n: int) -> tuple[np.ndarray, list[tuple[float, dict[tuple[int, int], list[int]]]]]:
+        """Best ids, and the ``n`` best as ``(score, {(first, length): other ids})``, the best one first: what stands in place of
+        some of the best ids."""
+        ids, scores, losses, sizes = [], [], [], []
         for lo in range(0, len(chunks), BLOCK):
             block = chunks[lo : lo + BLOCK]
             if len(chunks) > BLOCK:
                 self.learn(block)
             rows = list(map(self.__getitem__, block))
-            ids.append(b"".join([r[0] for r in rows]))
+            parts = [r[0] for r in rows]
+            ids.append(b"".join(parts))
+            sizes.append(np.fromiter(map(len, parts), np.int64, len(parts)) // 4)
             scores.append(np.array([r[1] for r in rows]))
             losses.append(np.array([r[2] for r in rows]))
         best = np.frombuffer(b"".join(ids), np.int32)
@@ -262,21 +265,34 @@ class Encoder(Memory):
                      for lost, way in ways for rank, (value, parts) in enumerate(others)),
                     key=lambda w: w[0],
                 )[:n]
-        return best, [(score - lost, {c: self.ids(parts) for c, parts in way.items()}) for lost, way in ways]
+        if len(ways) == 1:
+            return best, [(score, {})]
+        size = np.concatenate(sizes)
+        first = np.cumsum(size) - size
+        return best, [
+            (score - lost, {(int(first[c]), int(size[c])): self.ids(parts) for c, parts in sorted(way.items())})
+            for lost, way in ways
+        ]
 
     def alternatives(self, chunks: list, n: int) -> list[tuple[float, list[int]]]:
         """The ``n`` best segmentations in full: ``(score, ids)``, best first."""
-        _, ways = self.encode(chunks, n)
-        plain = [np.frombuffer(self[c][0], np.int32).tolist() for c in chunks]
-        return [
-            (score, [i for c, usual in enumerate(plain) for i in way.get(c, usual)]) for score, way in ways
-        ]
+        best, ways = self.encode(chunks, n)
+        return [(score, replaced(best.tolist(), way.items())) for score, way in ways]
 
     def decode(self, ids) -> str:
         """The text of any of its segmentations."""
         return b"".join(map(self.bytes_of.__getitem__, ids))[1:].decode("utf-8", "replace")
 
 
+def replaced(ids: list[int], places) -> list[int]:
+    """``ids`` with other ones at some places, ``((first, length), ids)`` by rising ``first``."""
+    out, at = [], 0
+    for (first, length), others in places:
+        out += [*ids[at:first], *others]
+        at = first + length
+    return out + ids[at:]
+
+
 class _Lists(Memory):
     """Lists of the best segmentations of chunks."""
 
@@ -316,11 +332,15 @@ def _groups(texts):
 
 def encode_texts(df: DataFrame, n: int = 1, path: str | None = None, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """Per text: ids of the best segmentation, the scores of the ``n`` best, and whether the ids
-    decode to the text again."""
+    """Per text: ids of the best segmentation, the scores of the ``n`` best, whether the ids decode to the text again, and
+    ``others``: for each further segmentation, in order, what it has in place of some of the best ids.
+
+    ``segmentations`` makes rows of all of them.
+    """
     path = path or model_path()
     rows = with_text(df, id_col, text_col).withColumn("_id", F.col("doc_id").cast("string"))
-    names = ["_id", "n_bytes", "n_pieces", "piece_ids", "best_scores", "round_trip"]
+    names = ["_id", "n_bytes", "n_pieces", "piece_ids", "best_scores", "round_trip", "others"]
+    places = pa.list_(pa.list_(pa.struct([("first", pa.int32()), ("length", pa.int32()), ("ids", pa.list_(pa.int32()))])))
 
     def run(batches):
         from tidewell.llm.sentencepiece_nbest import encoder
@@ -332,7 +352,7 @@ def encode_texts(df: DataFrame, n: int = 1, path: str | None = None, id_col: str
                 cut = [engine.chunks(text) for text in group]
                 if sum(map(len, cut)) <= 2 * BLOCK:
                     engine.learn(c for chunks in cut for c in chunks)
-                ids, bounds, out = [], [0], ([], [], [])
+                ids, bounds, out = [], [0], ([], [], [], [])
                 for text, chunks in zip(group, cut):
                     best, ways = engine.encode(chunks, n)
                     ids.append(best)
@@ -340,23 +360,44 @@ def encode_texts(df: DataFrame, n: int = 1, path: str | None = None, id_col: str
                     out[0].append(len(text.encode()))
                     out[1].append([score for score, _ in ways])
                     out[2].append(engine.decode(best.tolist()) == text if text else True)
+                    out[3].append([[{"first": a, "length": b, "ids": x} for (a, b), x in way.items()] for _, way in ways[1:]])
                 arrays = pa.ListArray.from_arrays(
                     pa.array(bounds, pa.int32()), pa.array(np.concatenate(ids), pa.int32())
                 )
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(2).slice(at, len(group)), pa.array(out[0], pa.int64()),
                      pa.array(np.diff(bounds), pa.int64()), arrays,
-                     pa.array(out[1], pa.list_(pa.float64())), pa.array(out[2], pa.bool_())],
+                     pa.array(out[1], pa.list_(pa.float64())), pa.array(out[2], pa.bool_()), pa.array(out[3], places)],
                     names,
                 )
                 at += len(group)
 
     schema = ("_id string, n_bytes long, n_pieces long, piece_ids array<int>, best_scores array<double>, "
-              "round_trip boolean")
-    encoded = rows.mapInArrow(run, schema)
+              "round_trip boolean, others array<array<struct<first:int,length:int,ids:array<int>>>>")
+    encoded = rows.mapInArrow(lean(run), schema)
     return encoded.select(F.col("_id").cast(rows.schema["doc_id"].dataType).alias(id_col), *names[1:])
 
 
+def segmentations(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """One row for each of a text's best segmentations: id, ``rank`` from 1, ``score`` and ``piece_ids``, from the rows of
+    ``encode_texts``. Each of them decodes to the text."""
+    rows = encoded.select(F.col(id_col).cast("string").alias("_id"), "piece_ids", "best_scores", "others")
+
+    def run(batches):
+        for batch in batches:
+            for key, ids, scores, others in zip(*(batch.column(k) for k in range(4))):
+                ids = ids.as_py()
+                ways = [[], *others.as_py()]
+                full = [replaced(ids, [((p["first"], p["length"]), p["ids"]) for p in way]) for way in ways]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([key.as_py()] * len(full), pa.string()), pa.array(range(1, len(full) + 1), pa.int32()),
+                     pa.array(scores.as_py(), pa.float64()), pa.array(full, pa.list_(pa.int32()))],
+                    ["_id", "rank", "score", "piece_ids"])
+
+    found = rows.mapInArrow(lean(run), "_id string, rank int, score double, piece_ids array<int>")
+    return found.select(F.col("_id").cast(encoded.schema[id_col].dataType).alias(id_col), "rank", "score", "piece_ids")
+
+
 def decode_ids(df: DataFrame, path: str | None = None, id_col: str = "doc_id",
                ids_col: str = "piece_ids") -> DataFrame:
     """The texts of encoded rows; null ids are an empty text."""
@@ -371,5 +412,5 @@ def decode_ids(df: DataFrame, path: str | None = None, id_col: str = "doc_id",
             texts = [engine.decode(ids.as_py() or []) for ids in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["_id", "text"])
 
-    decoded = rows.mapInArrow(run, "_id string, text string")
+    decoded = rows.mapInArrow(lean(run), "_id string, text string")
     return decoded.select(F.col("_id").cast(df.schema[id_col].dataType).alias(id_col), "text")
