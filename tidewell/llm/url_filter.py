@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.operators.keyed import combined
+
 ADD, REMOVE = "add", "remove"
 
 
@@ -87,7 +89,8 @@ def intervals(entries: DataFrame) -> DataFrame:
         F.explode(active).alias("v"),
         "list",
     ).select("pattern", F.struct("v.since", "v.until", "list").alias("v"))
-    return named.groupBy("pattern").agg(F.sort_array(F.collect_list("v")).alias("states"))
+    # Exchanged anew for the join with the captures, so that a host with most of them can be split.
+    return combined(named, "pattern", F.sort_array(F.collect_list("v")).alias("states"))
 
 
 def filter_captures(
@@ -103,8 +106,9 @@ def filter_captures(
         F.col(id_col).alias("_id"), F.coalesce(F.col(url_col), F.lit("")).alias("_url"),
         F.col(url_col).alias("url"), F.col(time_col).alias("fetched_at"),
     ).withColumn("host", host)
-    # Captures of one URL at one time share their answer, so each is looked up once.
-    asked = rows.groupBy("_url", "host", "fetched_at").agg(F.count("*").alias("_n"))
+    # Captures of one URL at one time share their answer, so each is looked up once. Those without a URL ask nothing.
+    asking = rows.where("_url <> ''")
+    asked = asking.groupBy("_url", "host", "fetched_at").agg(F.count("*").alias("_n"))
     probes = asked.select(
         "_url", "fetched_at", F.explode(candidates(F.col("host"), path)).alias("probe")
     ).where("fetched_at IS NOT NULL")
@@ -115,12 +119,14 @@ def filter_captures(
     hits = probes.join(listed, F.col("probe") == F.col("pattern")).select(
         "_url", "fetched_at", F.col("probe"), F.filter("states", in_force).alias("now")
     ).where(F.size("now") > 0)
-    answers = hits.groupBy("_url", "fetched_at").agg(
+    answers = combined(
+        hits, ["_url", "fetched_at"],
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("now.list")))).alias("lists"),
         F.array_sort(F.collect_set("probe")).alias("patterns"),
     ).select(F.col("_url").alias("u"), F.col("fetched_at").alias("t"), "lists", "patterns")
-    out = rows.join(answers, (F.col("_url") == F.col("u")) & (F.col("fetched_at") == F.col("t")), "left")
     none = F.array().cast("array<string>")
+    out = asking.join(answers, (F.col("_url") == F.col("u")) & (F.col("fetched_at") == F.col("t")), "left").drop("u", "t")
+    out = out.unionByName(rows.where("_url = ''").withColumns(dict.fromkeys(("lists", "patterns"), F.lit(None).cast("array<string>"))))
     return out.select(
         F.col("_id").alias(id_col), "url", "fetched_at", "host",
         F.array_join(F.coalesce("lists", none), ",").alias("lists"),
