@@ -1,7 +1,8 @@
 """Benchmark decontamination by templates, so that re-parameterised questions are found too.
 
 Numbers, names and units become typed placeholders: ``3.5`` is a number, a known unit right behind a
-number is a unit, a capitalised word is a name. Other words are lower-cased. Texts and items are read
+number is a unit, a capitalised word is a name. Other words are lower-cased; in both, capitals are those of ASCII and of
+the alphabets that UTF-8 writes in two bytes (Latin, Greek, Cyrillic, Armenian). Texts and items are read
 four ways: no placeholders; numbers and units; names inside a sentence as well; and names at a
 sentence's start as well. So a copy in another case is found, one with sparse literal words, and one whose
 sentences begin with an exchanged name. A window belongs to the first reading that gives its tokens.
@@ -56,6 +57,12 @@ UNITS = (
 
 NUMBER, NAME, UNIT = (np.uint64(k) for k in (0x6E756D, 0x6E616D, 0x756E69))
 
+# Lower-case form of the characters that UTF-8 writes in two bytes: Latin, Greek, Cyrillic, Armenian.
+_LOWER_OF = np.arange(0x800)
+for _c in range(0x80, 0x800):
+    if len(chr(_c).lower()) == 1 and 0x80 <= ord(chr(_c).lower()) < 0x800:
+        _LOWER_OF[_c] = ord(chr(_c).lower())
+
 _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
 _WORD = np.zeros(256, bool)
@@ -79,6 +86,21 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
+def folded(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes in lower case, as many as before, and where a capital begins."""
+    low = LOWER[data]
+    capital = low != data
+    at = np.flatnonzero((data >= 0xC2) & (data <= 0xDF))
+    at = at[at < len(data) - 1]
+    code = ((data[at] & 0x1F).astype(np.int64) << 6) | (data[at + 1] & 0x3F)
+    lower = _LOWER_OF[code]
+    changed = lower != code
+    at, lower = at[changed], lower[changed]
+    low[at], low[at + 1] = 0xC0 | (lower >> 6), 0x80 | (lower & 0x3F)
+    capital[at] = True
+    return low, capital
+
+
 def template(data: np.ndarray, bounds: np.ndarray):
     """Value, mark (0: always literal), least reading that has it as a slot, and text number of each token."""
     n = len(data)
@@ -101,7 +123,7 @@ def template(data: np.ndarray, bounds: np.ndarray):
     keep = kind[starts] > 0
     starts, ends = starts[keep], ends[keep]
     text = np.searchsorted(bounds, starts, "right") - 1
-    low = LOWER[data]
+    low, capital = folded(data)
     value = span_hashes(low, starts, ends)
     number = kind[starts] == 2
     follows = np.zeros(len(starts), bool)
@@ -110,10 +132,7 @@ def template(data: np.ndarray, bounds: np.ndarray):
     unit = np.zeros(len(starts), bool)
     unit[1:] = follows[1:] & number[:-1] & (starts[1:] - ends[:-1] <= 1)
     unit &= ~number & _among(value, _UNIT_HASHES)
-    lead = data[starts]
-    upper = (lead >= 65) & (lead < 91)
-    second = data[np.minimum(starts + 1, n - 1)]
-    upper |= (lead == 0xC3) & (second >= 0x80) & (second <= 0x9E)
+    upper = capital[starts]
     stops = np.concatenate(([0], np.cumsum(_STOP[data])))
     inside = np.zeros(len(starts), bool)
     inside[1:] = follows[1:] & (stops[starts[1:]] == stops[ends[:-1]])
@@ -202,7 +221,7 @@ def _item_rows(benchmark: DataFrame) -> DataFrame:
             )
 
     window = "struct<hash:long,pos:int,slots:array<long>,own:array<long>,exact:boolean>"
-    return benchmark.mapInArrow(run, f"item_id long, name binary, n_tokens int, width int, windows array<{window}>")
+    return benchmark.mapInArrow(lean(run), f"item_id long, name binary, n_tokens int, width int, windows array<{window}>")
 
 
 def _text_windows(texts: DataFrame, widths: list[int], known) -> DataFrame:
@@ -233,7 +252,7 @@ def _text_windows(texts: DataFrame, widths: list[int], known) -> DataFrame:
                     )
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"doc_id {kind}, key struct<a:long,b:long>, hash long, at int, values array<long>")
+    return texts.mapInArrow(lean(run), f"doc_id {kind}, key struct<a:long,b:long>, hash long, at int, values array<long>")
 
 
 def _chains(runs, n_tokens: int):
@@ -392,7 +411,7 @@ def contaminated(
 
     kind = texts.schema["doc_id"].dataType.simpleString()
     judged = stretches.select(*per_item, "width", "found").mapInArrow(
-        run, f"key struct<a:long,b:long>, doc_id {kind}, item_id long, n_items long, n_tokens int, "
+        lean(run), f"key struct<a:long,b:long>, doc_id {kind}, item_id long, n_items long, n_tokens int, "
         "hit struct<covered:int,verbatim:boolean,n_slots:int>",
     )
     return judged.groupBy(*per_item).agg(F.max("hit").alias("b")).select(
