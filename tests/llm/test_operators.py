@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tidewell.llm import (
@@ -321,6 +322,27 @@ def test_encode_decode_round_trip(spark, docs, doc_rows, empty):
     assert sentencepiece_nbest.encode_texts(empty).count() == 0
 
 
+def test_all_segmentations_decode(spark, doc_rows):
+    """The n best as rows: scores as listed, the first one the best, all different, each decodes to the text."""
+    rows = [(r[0], r[1]) for r in doc_rows] + [(2_000 + k, t) for k, t in enumerate(TEXTS)]
+    encoded = sentencepiece_nbest.encode_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), n=4)
+    listed = {r["doc_id"]: r for r in encoded.collect()}
+    engine = sentencepiece_nbest.encoder(model_path())
+    ways = {}
+    for r in sentencepiece_nbest.segmentations(encoded).orderBy("doc_id", "rank").collect():
+        ways.setdefault(r["doc_id"], []).append(r)
+    texts = dict(rows)
+    assert set(ways) == set(texts) and any(len(w) == 4 for w in ways.values())
+    for key, found in ways.items():
+        assert [w["rank"] for w in found] == list(range(1, len(found) + 1))
+        assert [w["score"] for w in found] == listed[key]["best_scores"] and found[0]["piece_ids"] == listed[key]["piece_ids"]
+        assert len({tuple(w["piece_ids"]) for w in found}) == len(found)
+        assert all(engine.decode(w["piece_ids"]) == (texts[key] or "") for w in found)
+        if texts[key] and len(texts[key]) < 300:
+            wanted = engine.alternatives(engine.chunks(texts[key]), 4)
+            assert [w["piece_ids"] for w in found] == [ids for _, ids in wanted]
+
+
 # --- shards --------------------------------------------------------------------------------------
 
 
@@ -658,3 +680,125 @@ def test_clashing_columns_change_nothing(docs, clashing):
 def test_results_are_stable(docs):
     one = json.dumps(sorted(by_id(near_dedup.near_duplicates(docs), "component_id").items()))
     assert one == json.dumps(sorted(by_id(near_dedup.near_duplicates(docs.repartition(7)), "component_id").items()))
+
+
+def test_many_equal_rows(spark):
+    """Rows equal in id and text, in number: one judgement, no row times row."""
+    import time
+
+    rng = random.Random(2)
+    text = "".join(rng.choices("abcdefgh ", k=1500))
+    base = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    more = [(1, text[:700] + "x" * 30), (2, "y" * 150 + text[900:1100]), (3, "short"), (3, "short"), (4, "z" + text[3:150])]
+    frame = base.unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    start = time.time()
+    got = suffix_dedup.remove_repeats(frame).groupBy("doc_id", "n_bytes", F.octet_length("kept").alias("left")).count()
+    found = {tuple(r) for r in got.collect()}
+    assert found == {(None, 1500, 0, 100_000), (1, 730, 30, 1), (2, 350, 150, 1), (3, 5, 5, 2), (4, 148, 148, 1)}
+    assert time.time() - start < 60
+
+
+def test_repeated_ids_link_once(spark):
+    """Two near texts under two ids, each row a thousand times; and one id with several unlike texts."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(200)]
+    a = " ".join(rng.choices(words, k=100))
+    b = a + " tail"
+    rows = [(7, a)] * 1000 + [(5, b)] * 1000 + [(9, "quite another text here"), (9, "and one more that is not like it"), (8, "and one more that is not like it")]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 2)
+    found = {tuple(r) for r in got.groupBy("doc_id", "component_id", "kept").count().collect()}
+    assert found == {(5, 5, True, 1000), (7, 5, False, 1000), (9, 8, False, 2), (8, 8, True, 1)}
+
+
+def test_leaders_join_a_large_group(spark):
+    """A chain of near copies and one large group: components as by brute force, few pairs for each seat."""
+    rng = random.Random(8)
+    words = [f"v{i}" for i in range(500)]
+    base = rng.choices(words, k=120)
+    rows = []
+    for k in range(150):
+        copy = list(base)
+        for _ in range(rng.randrange(8)):
+            copy[rng.randrange(120)] = rng.choice(words)
+        rows.append((k, " ".join(copy)))
+    for k in range(40):
+        base = list(base)
+        base[rng.randrange(120)] = rng.choice(words)
+        base[rng.randrange(120)] = rng.choice(words)
+        rows.append((1000 + k, " ".join(base)))
+    got = by_id(near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2), "component_id")
+    assert got == {k: (c,) for k, (_, c) in brute.components(rows, 2).items()}
+
+
+def test_a_hot_host_is_split(spark):
+    """A third of all captures on one listed host, and as many without a URL: no task reads most of either."""
+    n = 200_000
+    url = F.when(F.col("id") % 3 == 0, F.concat(F.lit("http://hot.example.org/p"), F.col("id"))).when(
+        F.col("id") % 3 == 1, F.concat(F.lit("http://h"), F.col("id"), F.lit(".net/x")))
+    captures = spark.range(n).select(
+        F.col("id").alias("page_id"), url.alias("url"), F.lit("2024-03-01 00:00:00").cast("timestamp_ntz").alias("fetched_at"))
+    entries = spark.range(40_000).select(
+        F.when(F.col("id") == 0, "example.org").otherwise(F.concat(F.lit("h"), F.col("id"), F.lit(".net"))).alias("pattern"),
+        F.lit("ads").alias("list"), F.lit(url_filter.ADD).alias("action"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("at"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = url_filter.filter_captures(captures, entries)
+        sizes = found.select(F.spark_partition_id().alias("p"), "page_id", "kept").groupBy("p").agg(
+            F.count("*").alias("n"), F.max("page_id"), F.count_if(~F.col("kept")).alias("gone")).collect()
+        assert sum(r["n"] for r in sizes) == n and max(r["n"] for r in sizes) < 0.2 * n
+        assert sum(r["gone"] for r in sizes) == sum(k % 3 == 0 or (k % 3 == 1 and 0 < k < 40_000) for k in range(n))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_unnumbered_turns_in_number(spark, monkeypatch):
+    """Conversations whose turns have no number, or one: blocks by rank, the same repair as in one block."""
+    rng = random.Random(5)
+    roles = ["user", "assistant", "system", "tool", None]
+    rows = [(1, None, rng.choice(roles), f"t{k:04d}") for k in range(300)] + [(2, 7, rng.choice(roles), f"s{k:04d}") for k in range(90)]
+    rows += [(3, k, rng.choice(roles), f"u{k}") for k in range(9)] + [(1, 5, "user", "first"), (None, 1, "user", "x")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    whole = {r["conv_id"]: r for r in chat_format.format_chats(frame).collect()}
+    monkeypatch.setattr(chat_format, "BLOCK", 8)
+    parts = {}
+    for r in chat_format.format_chats(frame).orderBy("conv_id", "block").collect():
+        parts.setdefault(r["conv_id"], []).append(r)
+    assert set(parts) == set(whole) == {1, 2, 3}
+    for key, found in parts.items():
+        assert max(r["n_turns"] for r in found) <= 16
+        assert sum(r["cost"] for r in found) == whole[key]["cost"] and sum(r["n_turns"] for r in found) == whole[key]["n_turns"]
+    assert len(parts[1]) == 38 and parts[1][0]["rendered"].startswith("<|im_start|>user\nfirst")
+
+
+def test_a_hundred_thousand_unnumbered_turns(spark):
+    frame = spark.range(100_000).select(
+        F.lit(1).alias("conv_id"), F.lit(None).cast("long").alias("turn"),
+        F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.format_string("%06d", "id").alias("text"))
+    got = chat_format.format_chats(frame).collect()
+    assert sum(r["n_turns"] for r in got) == 100_000 and max(r["n_turns"] for r in got) <= 2 * chat_format.BLOCK and len(got) > 20
+
+
+def test_capitals_of_other_alphabets(spark):
+    """Lower case byte by byte as Python has it; a Cyrillic and a Greek copy in other case, and one with another name."""
+    text = "ÀÉß Straße ŁÓDŹ Čapek ΑΒΓ Ωμέγα МОСКВА Ёлка Ђ × ÷ Ÿ plain ĲĳŸ Ա ա ſ"
+    data = np.frombuffer(text.encode(), np.uint8)
+    low, capital = decontaminate.folded(data)
+    wanted = "".join(c.lower() if len(c.lower()) == 1 and len(c.lower().encode()) == len(c.encode()) <= 2 else c for c in text)
+    assert low.tobytes().decode() == wanted and capital.any()
+    item = "поезд выехал из города Москва в 9 часов и прошёл 300 километров до города Тверь без остановки в пути"
+    greek = "το τρένο έφυγε από την Αθήνα στις 9 και έφτασε στη Πάτρα μετά από τρεις ώρες χωρίς στάση στο δρόμο"
+    docs = [(1, item.upper()), (2, item.replace("Москва", "Казань").replace("Тверь", "Пермь")), (3, greek.upper().replace("Σ ", "Σ ")),
+            (4, "совсем другой текст о погоде и о море который ни с чем здесь не совпадает и остаётся"), (5, greek.replace("Αθήνα", "Λάρισα"))]
+    found = decontaminate.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item), (2, greek)], "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} >= {(1, 1), (2, 1), (5, 2)}
+    assert 4 not in {r["doc_id"] for r in found.collect()}

@@ -9,7 +9,8 @@ relabel, insert.
 
 One turn's costs from state to state are a small matrix, and a run of turns is the product of its
 matrices where plus is the minimum and times the sum. So a conversation of any length is cut into
-blocks of ``BLOCK`` turn numbers: each block is reduced to one matrix, the matrices of a
+blocks of ``BLOCK`` turn numbers, or, where one of those holds more than twice as many rows (turns without a number, or
+of one number), of ``BLOCK`` rows by a counted rank: each block is reduced to one matrix, the matrices of a
 conversation give the state at each border, and every block is then repaired on its own between
 its two states. Conversations that fit one block skip the first two steps.
 
@@ -29,14 +30,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import stage
 
 ROLES = ("system", "user", "assistant")
 START, SYSTEM, USER, ASSISTANT = range(4)
-BLOCK = 4_096  # turn numbers
+BLOCK = 4_096  # turn numbers, or rows
+PREFIX = 256  # characters of a text by which turns of one number and role are dealt
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 
 
@@ -172,7 +174,38 @@ def _turns(df: DataFrame, conv_col: str, turn_col: str, role_col: str, text_col:
     ).where("conv_id IS NOT NULL").distinct()
     # The last block is that of the turns without a number.
     block = F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(1 << 62)).cast("long")
-    return rows.withColumn("block", block)
+    rows = rows.withColumn("block", block)
+    full = rows.groupBy("conv_id", "block").agg(F.count("*").alias("n")).where(F.col("n") > 2 * BLOCK)
+    full = stage(full.select(F.col("conv_id").alias("_full")).distinct(), "full")
+    if full.isEmpty():
+        return rows
+    apart = rows.join(full, F.col("conv_id") == F.col("_full"), "left_semi")
+    return rows.join(full, F.col("conv_id") == F.col("_full"), "left_anti").unionByName(_ranked(apart))
+
+
+def _ranked(rows: DataFrame) -> DataFrame:
+    """The rows in blocks of ``BLOCK`` by their rank in the conversation.
+
+    Rows are sorted by ranges, so a conversation may lie in any number of partitions; the rows that it has in earlier
+    ones are added to a row's place in its own.
+    """
+    order = ["conv_id", F.asc_nulls_last("turn"), F.asc("role")]
+    dealt = rows.repartitionByRange(*order, F.asc(F.substring("text", 1, PREFIX)))
+    placed = dealt.sortWithinPartitions(*order, F.asc("text")).select(
+        "*", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_m")
+    )
+    placed = stage(placed, "ranked")  # places depend on how the ranges fell
+    parts = placed.groupBy("conv_id", "_p").agg(F.count("*").alias("n"), F.min("_m").alias("first"))
+    earlier = F.sum("n").over(Window.partitionBy("conv_id").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.select(
+        F.col("conv_id").alias("_c"), F.col("_p").alias("_q"), (F.coalesce(earlier, F.lit(0)) - F.col("first")).alias("shift")
+    )
+    # Both sides are dealt by conversation and range: no task gets a whole long conversation.
+    met = placed.repartition("conv_id", "_p").join(
+        parts.repartition("_c", "_q"), (F.col("conv_id") == F.col("_c")) & (F.col("_p") == F.col("_q"))
+    )
+    rank = F.col("_m") + F.col("shift")
+    return met.select(*[c for c in rows.columns if c != "block"], F.floor(rank / BLOCK).alias("block"))
 
 
 def _by_block(rows: DataFrame, columns: list[str], function, schema: str) -> DataFrame:
