@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import LOWER, mix, row_key, slices, span_hashes, text_bytes
+from tidewell.llm.common import LOWER, lean, mix, row_key, slices, span_hashes, text_bytes
 
 WINDOW = 8
 COVERAGE = 50  # per cent of an item's tokens
