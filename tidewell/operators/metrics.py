@@ -16,6 +16,7 @@ from tidewell.functions.codes import run_status_code, status_text, task_status_c
 from tidewell.functions.text import whole_match
 from tidewell.operators.keyed import as_list
 from tidewell.operators.metric_rules import METRIC_RULES
+from tidewell.operators.ranges import key_cuts, range_number
 
 DAY = 86400
 
@@ -196,7 +197,7 @@ def _chunked(samples: DataFrame, order: list[str], chunks: int | None) -> DataFr
 
     The cuts are quantiles of all times, so a chunk holds about an equal share of the samples
     however they are spread over time and series. A time that fills several chunks by itself is
-    cut further by quantiles of the second order column, if that is a number.
+    cut further by quantiles of the second order column, or of a sample of it if that is no number.
     """
     chunks = chunks or 2 * int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shares, accuracy = [i / chunks for i in range(1, chunks)] or [0.5], 10 * chunks
@@ -223,6 +224,11 @@ def _chunked(samples: DataFrame, order: list[str], chunks: int | None) -> DataFr
             passed = reduce(Column.__add__, [(tie >= t).cast("int") for t in ties])
             later = (F.col("_bucket") == times.index(time) + 1) & (F.col("_at") > time)
             part = F.when(F.col("_at") == time, passed).when(later, parts).otherwise(part)
+    elif full and len(order) > 1:
+        for time, parts in full.items():
+            ties = key_cuts(timed.where(F.col("_at") == time).select(order[1]), order[1], parts)
+            later = (F.col("_bucket") == times.index(time) + 1) & (F.col("_at") > time)
+            part = F.when(F.col("_at") == time, range_number(F.col(order[1]), ties)).when(later, parts).otherwise(part)
     number = F.col("_bucket").cast("long") * (chunks + 1) + part
     return bucketed.withColumn("_chunk", number).drop("_at", "_bucket")
 
