@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.common import LOWER, SpanHashes, slices, span_edges, stage, text_bytes, with_text
 
-PAIRS = 2_000_000  # (item, term) pairs of a group: 16 MB of hashes at most
+PAIRS = 200_000  # (item, term) pairs of a group, some thousand items
 CELLS = 2_000_000  # numbers of a dense block
 RUN = 1_000_000  # postings that a task orders at a time
 EXACT = 1 << 53  # whole numbers below it are exact as doubles
@@ -96,7 +96,8 @@ class Group:
     first: np.ndarray  # bounds of each item's terms
     numbers: np.ndarray
 
-    def blocks(self, kind) -> list[Block]:
+    def edges(self) -> list[tuple[int, int]]:
+        """Ranges of items whose blocks have at most ``CELLS`` numbers; a single item may have more."""
         out, at = [], 0
         while at < len(self.items):
             end = at + 1
@@ -106,15 +107,19 @@ class Group:
                 if len(more) * (end + 1 - at) > CELLS:
                     break
                 used, end = more, end + 1
-            column = np.full(len(self.vocabulary), -1, np.int32)
-            column[used] = np.arange(len(used))
-            holds = np.zeros((len(used), end - at), kind)
-            for i in range(at, end):
-                holds[column[self.numbers[self.first[i] : self.first[i + 1]]], i - at] = 1
-            out.append(Block(self.items[at:end], column, holds))
+            out.append((at, end))
             at = end
         return out
 
+    def block(self, at: int, end: int, kind) -> Block:
+        used = np.unique(self.numbers[self.first[at] : self.first[end]])
+        column = np.full(len(self.vocabulary), -1, np.int32)
+        column[used] = np.arange(len(used))
+        holds = np.zeros((len(used), end - at), kind)
+        for i in range(at, end):
+            holds[column[self.numbers[self.first[i] : self.first[i + 1]]], i - at] = 1
+        return Block(self.items[at:end], column, holds)
+
 
 def _group(rows) -> Group:
     rows = sorted(rows, key=lambda r: r["item"])
@@ -265,19 +270,21 @@ def best_of(runs, group: Group, weights: np.ndarray, k: int):
     """The k best documents of each item over runs of strata, as arrays of item, score, id and whether there is one."""
     longest = int(np.max(np.diff(group.first)))
     exact = longest * int(max(1, np.max(weights))) * 1_000_000 < EXACT
-    blocks = group.blocks(np.float64 if exact else np.int64)
-    bests = [Best(len(block.items), k) for block in blocks]
+    kind = np.float64 if exact else np.int64
+    edges = group.edges()
+    bests = [Best(end - at, k) for at, end in edges]
     for strata in runs:
-        for block, best in zip(blocks, bests):
+        for (at, end), best in zip(edges, bests):
+            block = group.block(at, end, kind)  # one at a time
             bounds = [stratum.bound(block) for stratum in strata]
-            for at in sorted(range(len(strata)), key=lambda i: -float(bounds[i].max())):
-                chosen = bounds[at] >= best.reach
+            for n in sorted(range(len(strata)), key=lambda i: -float(bounds[i].max())):
+                chosen = bounds[n] >= best.reach
                 if chosen.any():
-                    strata[at].search(block, chosen, best)
-    for block, best in zip(blocks, bests):
+                    strata[n].search(block, chosen, best)
+    for (at, end), best in zip(edges, bests):
         best.settle()
         item, score, ids, there = best.kept
-        yield block.items[item], score, ids, there.astype(bool)
+        yield group.items[at:end][item], score, ids, there.astype(bool)
 
 
 def _searched(index: DataFrame, group: Group, weights: np.ndarray, k: int) -> DataFrame:
