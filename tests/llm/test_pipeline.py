@@ -82,4 +82,4 @@ def test_queries_are_registered():
     import __spark_entry__ as entry_point
 
     names = list(entry_point.queries())
-    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 11)) and "pipeline" in names
+    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 14)) and "pipeline" in names

@@ -343,28 +343,25 @@ def _open_members(open_: DataFrame, classes: DataFrame, sets: DataFrame) -> Data
 
     The rest has the first blocks, the largest component those behind; of each pair one is of the rest.
     """
-    seated = open_.join(classes.select("id", "n_shingles", "registers"), "id").join(sets, "id")
+    # Blocks hold fewer members where full sets are large. Sketches and sets join last, so they are moved once by bucket.
+    slim = open_.join(sets.select("id", F.octet_length("members").alias("bytes")), "id")
     rest = F.col("component") != F.col("main")
-    # Blocks hold fewer members where full sets are large.
     sized = combined(
-        seated, "bucket", *[F.sum(F.when(is_rest == rest, F.octet_length("members"))).alias(name)
-                            for name, is_rest in (("b_rest", F.lit(True)), ("b_main", F.lit(False)))]
+        slim, "bucket", F.sum(F.when(rest, F.col("bytes"))).alias("b_rest"), F.sum(F.when(~rest, F.col("bytes"))).alias("b_main")
     )
-    seated = seated.join(sized, "bucket")
 
     def blocks(name):
         size = F.coalesce(F.col(f"b_{name}"), F.lit(0))
         return F.greatest(F.ceil(F.col(f"n_{name}") / BLOCK), F.ceil(size / BLOCK_BYTES), F.lit(1)).cast("int")
 
-    seated = seated.withColumn("q", blocks("rest")).withColumn("p", blocks("main"))
+    slim = slim.join(sized, "bucket").withColumn("q", blocks("rest")).withColumn("p", blocks("main"))
     draw = F.xxhash64(F.lit(-1), "id")
     own = F.when(rest, F.pmod(draw, F.col("q"))).otherwise(F.col("q") + F.pmod(draw, F.col("p"))).cast("int")
     others = F.sequence(F.lit(0), F.when(rest, F.col("q") + F.col("p") - 1).otherwise(F.col("q") - 1))
-    dealt = seated.withColumn("own", own).withColumn("other", F.explode(others))
-    return dealt.select(
-        "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        "id", "n_shingles", "own", "band", "registers", "component", "members",
+    dealt = slim.withColumn("own", own).withColumn("other", F.explode(others)).select(
+        "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "own", "band", "component",
     )
+    return dealt.join(classes.select("id", "n_shingles", "registers"), "id").join(sets, "id")
 
 
 def _sets_of(ids: DataFrame, classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
