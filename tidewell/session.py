@@ -131,6 +131,11 @@ def staged(df, label: str = "staged"):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged_copies(since: int = 0) -> list[str]:
+    """Paths of the copies staged by this process, from the ``since``-th one on."""
+    return _STAGED[since:]
+
+
 def release_staged(spark: SparkSession) -> int:
     """Remove every copy staged so far by this process and return their number.
 
