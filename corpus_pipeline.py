@@ -11,20 +11,43 @@ drop rows and left out from the third stage on.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm import decontaminate, near_dedup, quality_rules, sentencepiece_nbest, suffix_dedup
 from tidewell.llm.common import load, row_key, stage, without_ids
+from tidewell.session import delete_path, staged_copies
 
 WIDTH, PERCENT = 5, 80  # words to a shingle, similarity of near duplicates
 
 
+_LEFT: list[str] = []  # working copies of the stage that was called last
+
+
+def clearing(function):
+    """A stage that first removes the working copies of the stage before it, whose result has been written by then."""
+
+    @wraps(function)
+    def called(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _LEFT:
+            delete_path(spark, _LEFT.pop())
+        before = len(staged_copies())
+        result = function(spark, docs, sf_dir)
+        _LEFT.extend(staged_copies(before))
+        return result
+
+    return called
+
+
+@clearing
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
     return quality_rules.keep_good(docs)
 
 
+@clearing
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates, the one with the least id; null ids come last.
 
@@ -39,6 +62,7 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return without_ids(rows, gone, "_row").drop("_row")
 
 
+@clearing
 def unrepeated_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the byte strings that repeat; those left without a word go."""
     cut = suffix_dedup.remove_repeats(docs, carry=("lang", "source"), as_text=True)
@@ -48,6 +72,7 @@ def unrepeated_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return left.where(F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
 
 
+@clearing
 def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no benchmark item contaminates."""
     rows = docs.withColumn("_row", row_key())
@@ -55,6 +80,7 @@ def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return without_ids(rows, found, "_row").drop("_row")
 
 
+@clearing
 def encoded_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of each document's best segmentation, and the scores of its two best."""
     return sentencepiece_nbest.encode_texts(docs, n=2)
