@@ -107,6 +107,26 @@ def test_a_long_chain_takes_few_jobs(spark):
     assert jobs < 250
 
 
+def test_a_chain_longer_than_a_task_takes_few_jobs(spark):
+    """Blocks of a chain are decided one after the other: jobs grow with the blocks, not with the rows."""
+    rows = [(i, i // 2, (i + 1) // 2 + 10**6) for i in range(240)]
+    incoming = spark.createDataFrame(rows, "n int, a int, b int").repartition(4)
+    spark.sparkContext.setJobGroup("blocks", "blocks")
+    try:
+        accept, reject = mapping.load_skipping_duplicates(incoming.limit(0), incoming, ["a", "b"], ["n"], 70)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("blocks"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(r["n"] for r in accept.collect()) == list(range(0, 240, 2)) and reject.count() == 120
+    assert jobs < 250
+
+
+def test_blocks_are_cut_in_order_within_each_component(spark):
+    rows = spark.range(100).select(F.col("id").alias("_row"), (F.col("id") % 3).alias("_component"), (-F.col("id")).alias("n"))
+    found = {r["_row"]: r["_block"] for r in mapping._in_blocks(rows.repartition(5), ["n"], 10).collect()}
+    assert found == {i: (99 - i) // 3 // 10 if i % 3 == 0 else ((97 if i % 3 == 1 else 98) - i) // 3 // 10 for i in range(100)}
+
+
 def test_components_of_links(spark):
     from tidewell.operators import graph
 

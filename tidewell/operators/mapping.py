@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.operators.graph import components
@@ -196,8 +196,8 @@ def load_skipping_duplicates(existing: DataFrame, incoming: DataFrame, unique_ke
     must give every row its own place. Rows that share no key are decided at once. The others form components of rows
     that share keys, directly or through others; each component is decided in order by one pass over its rows,
     whatever the length of a chain of rows that wait for one another. What a task keeps are the keys of one
-    component's loaded rows. Components of more than ``one_task`` rows are decided in rounds instead, in which any number of
-    tasks takes part: a row that comes first for all its keys is loaded, and the rows that share a key with it are rejected.
+    component's loaded rows. Components of more than ``one_task`` rows are cut in order into blocks of so many rows, decided
+    one after the other; what a block hands on are those keys of its loaded rows that come up again in a later block.
     """
     columns, unique_keys = incoming.columns, as_list(unique_keys)
     candidates = staged(either_key_absent(incoming, existing, unique_keys), "load")
@@ -223,9 +223,12 @@ def load_skipping_duplicates(existing: DataFrame, incoming: DataFrame, unique_ke
         for won, part in ((True, loaded), (False, refused)):
             rows = decided.where(F.col("_win") == won).select(F.col("_row").alias("_r"))
             part.append(pending.join(rows, F.col("_row") == F.col("_r"), "left_semi").select(*columns))
-        large = placed.where(F.col("_size") > one_task).select(*columns)
+        large = placed.where(F.col("_size") > one_task).drop("_size")
         if not large.isEmpty():
-            _decide_in_rounds(staged(large, "load"), unique_keys, order, loaded, refused)
+            large = staged(large, "load")
+            won = _decided_in_blocks(large, unique_keys, order, one_task).withColumnRenamed("_row", "_r")
+            for how, part in (("left_semi", loaded), ("left_anti", refused)):
+                part.append(large.join(won, F.col("_row") == F.col("_r"), how).select(*columns))
     return reduce(DataFrame.unionByName, loaded), reduce(
         DataFrame.unionByName, [part.select(*columns) for part in refused]
     )
@@ -271,27 +274,52 @@ def _decided_in_order(placed: DataFrame, unique_keys, order) -> DataFrame:
     return dealt.select("_row", "_component", *keys).mapInArrow(run, "_row long, _win boolean")
 
 
-def _decide_in_rounds(pending: DataFrame, unique_keys, order, loaded: list, refused: list) -> None:
-    """Rounds over the rows still undecided; their number is the length of the longest chain."""
-    columns = pending.columns
-    while not pending.isEmpty():
-        judged = pending
-        for i, k in enumerate(unique_keys):
-            judged = _first_of_value(judged, k, order, f"_first{i}")
-        first = reduce(lambda a, b: a & b, [F.col(f"_first{i}") for i in range(len(unique_keys))])
-        judged = staged(judged.withColumn("_win", first).select(*columns, "_win"), "load")
-        winners = judged.where("_win").select(*columns)
-        rest = judged.where("not _win").select(*columns)
-        # A loser that shares a key with a winner is decided; the others go on.
-        lost = F.lit(False)
-        for i, k in enumerate(unique_keys):
-            won = combined(winners.where(F.col(k).isNotNull()), k).withColumnRenamed(k, f"_w{i}")
-            rest = rest.join(won, F.col(k) == F.col(f"_w{i}"), "left")
-            lost = lost | F.col(f"_w{i}").isNotNull()
-        rest = staged(rest.withColumn("_lost", lost).select(*columns, "_lost"), "load")
-        loaded.append(winners)
-        refused.append(rest.where("_lost").select(*columns))
-        pending = rest.where("not _lost").select(*columns)
+def _in_blocks(placed: DataFrame, order, rows: int) -> DataFrame:
+    """``_block``: the number of a row's block, where each component is cut in order into blocks of ``rows`` rows.
+
+    A row's rank is its place in a sorted range and the rows of its component in the ranges before, of which there is
+    one count for each range.
+    """
+    by = ["_component", *order, "_row"]
+    at = F.monotonically_increasing_id()
+    ranged = staged(placed.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", at), "load")
+    part = F.shiftright("_at", 33)
+    counts = ranged.groupBy("_component", part.alias("_part")).agg(F.count("*").alias("_n"), F.min("_at").alias("_low"))
+    before = F.sum("_n").over(Window.partitionBy("_component").orderBy("_part")) - F.col("_n")
+    starts = counts.select(F.col("_component").alias("_c"), "_part", (F.col("_low") - before).alias("_zero"))
+    joined = ranged.join(F.broadcast(starts), (F.col("_component") == F.col("_c")) & (part == F.col("_part")))
+    block = F.floor((F.col("_at") - F.col("_zero")) / rows).cast("int")
+    return joined.withColumn("_block", block).drop("_c", "_part", "_zero", "_at")
+
+
+def _decided_in_blocks(placed: DataFrame, unique_keys, order, one_task: int) -> DataFrame:
+    """``_row`` of the rows that are loaded, decided block by block: at most ``one_task`` rows of a component at a time.
+
+    A block's rows that share a key with a row loaded from a block before are left out; the others are decided in order.
+    """
+    held = _in_blocks(placed, order, one_task)
+    last = [f"_last{i}" for i in range(len(unique_keys))]
+    for k, name in zip(unique_keys, last):
+        keyed = held.where(F.col(k).isNotNull())
+        ends = combined(keyed, k, F.max("_block").alias(name)).withColumnRenamed(k, "_k")
+        held = held.join(ends, F.col(k) == F.col("_k"), "left").drop("_k")
+    # A block's rows lie together, so that a round reads few files beside its own.
+    held = staged(held.repartitionByRange("_block", "_component", "_row"), "load")
+    won, taken = [], None
+    for number in range(held.agg(F.max("_block")).first()[0] + 1):
+        block = held.where(F.col("_block") == number)
+        rest = block
+        if taken is not None:
+            for i, k in enumerate(unique_keys):
+                known = taken.where(F.col(last[i]) >= number).select(F.col(k).alias("_k"))
+                rest = rest.join(known, F.col(k) == F.col("_k"), "left_anti")
+        wins = _decided_in_order(rest, unique_keys, order).where("_win").select(F.col("_row").alias("_r"))
+        wins = staged(block.join(wins, F.col("_row") == F.col("_r"), "left_semi").select("_row", *unique_keys, *last), "load")
+        won.append(wins.select("_row"))
+        handed = wins if taken is None else wins.drop("_row").unionByName(taken)
+        later = reduce(lambda a, b: a | b, [F.coalesce(F.col(c) > number, F.lit(False)) for c in last])
+        taken = staged(handed.where(later).select(*unique_keys, *last), "load")
+    return reduce(DataFrame.unionByName, won)
 
 
 def sync_sampled_copy(
