@@ -137,6 +137,17 @@ def test_small_files_are_packed(spark, tmp_path):
     assert spark.read.schema(df.schema).parquet(path).count() == 0
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_files_are_near_the_target_where_rows_shrink_together(spark, tmp_path, fmt):
+    """Rows that share a file share its dictionary: packed files come out small and are cut anew."""
+    df = spark.range(50000).select((F.col("id") % 7).alias("id"), F.sha2((F.col("id") % 4000).cast("string"), 256).alias("h"))
+    path = str(tmp_path / "out")
+    files.write_to_target_size(df.repartition(24), path, target_mb=0.1, fmt=fmt)
+    sizes = sorted(r["size_bytes"] / 2**20 / 0.1 for r in tables.list_files(spark, path, files.SUFFIX[fmt]).collect())
+    assert sum(0.8 <= s <= 1.2 for s in sizes) >= len(sizes) - 1 and max(sizes) < 1.3
+    assert keyed.differing_rows(spark.read.schema(df.schema).format(fmt).load(path), df).isEmpty()
+
+
 def test_bins_hold_what_fits():
     rng = __import__("random").Random(1)
     sizes = {f"f{i}": rng.randrange(1, 90) for i in range(200)}

@@ -8,9 +8,10 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.functions.draws import unit
 from tidewell.functions.numbers import megabytes
 from tidewell.operators.keyed import content_hash, differing_rows
-from tidewell.session import delete_path, move_files, scratch_path
+from tidewell.session import child_folders, delete_path, move_files, scratch_path
 from tidewell.sources.tables import list_files
 
 # Batch defaults of the envelope generator.
@@ -20,6 +21,8 @@ RECORDS_PER_FILE = 90000
 
 PROBE_ROWS = 100_000  # rows written to measure a row's size
 MOST_PACKING = 10_000  # tasks that pack
+NEAR = (0.8, 1.2)  # shares of the target size that are near it
+RECUTS = 4  # times that files off the target are cut anew, by the row size just measured on them
 
 SUFFIX = {"parquet": ".parquet", "json": ".json", "csv": ".csv", "orc": ".orc", "avro": ".avro"}
 
@@ -59,9 +62,9 @@ def write_to_target_size(
     """Files of about ``target_mb`` MB; returns the rows allowed per file.
 
     Files are cut at a row count that a bounded probe gives. What each task has left over is a smaller file; those alone
-    are packed together and written once more, before the files are put in their place. Bins are filled by
-    first fit, largest file first, so at most one file is less than half full, and at most the packed
-    share is written twice.
+    are packed together and written once more, before the files are put in their place. A row's size depends on
+    the rows that share its file, so files that are still off the target are cut anew, by their measured size, until at
+    most one file is, or no later cut helps. Only files that are off are written again.
     """
     spark = df.sparkSession
     target = target_mb * 1024 * 1024
@@ -72,6 +75,7 @@ def write_to_target_size(
     work = scratch_path(spark, "sized")
     df.write.format(fmt).option("maxRecordsPerFile", records).save(work)
     pack_small_files(spark, work, target, df.schema, fmt)
+    recut_files(spark, work, target, df.schema, fmt)
     if mode == "overwrite":
         delete_path(spark, path)
     move_files(spark, work, path)
@@ -109,15 +113,54 @@ def pack_small_files(spark: SparkSession, path: str, target: float, schema, fmt:
     placed = F.broadcast(spark.createDataFrame(names, "_name string, _bin int"))
     rows = spark.read.format(fmt).schema(schema).load([f"{path}/{n}" for n, _ in names])
     rows = rows.withColumn("_name", F.col("_metadata.file_name")).join(placed, "_name").drop("_name")
+    _replaced(spark, path, rows, len(bins), [n for n, _ in names], fmt, "bin")
+    return len(names), sum(small[n] for n, _ in names)
+
+
+def recut_files(spark: SparkSession, path: str, target: float, schema, fmt: str = "parquet") -> int:
+    """Cut files that are not near the target size anew, at equal numbers of rows; the number of times that was done.
+
+    What is left over is one smaller file. The row size is that of the files being cut where they are half full, as
+    it falls with the rows in a file; else that of all files. Rows stay beside those of their old file.
+    """
+    for done in range(RECUTS):
+        sizes = {r["file_name"]: r["size_bytes"] for r in list_files(spark, path, SUFFIX[fmt]).collect()}
+        off = sorted(n for n, s in sizes.items() if not NEAR[0] * target <= s <= NEAR[1] * target)
+        if len(off) < 2 and all(sizes[n] < target for n in off):
+            return done
+        found = spark.read.format(fmt).schema(schema).load([f"{path}/{n}" for n in sizes])
+        counts = found.groupBy(F.col("_metadata.file_name").alias("name")).agg(F.count("*").alias("n")).collect()
+        rows = {r["name"]: r["n"] for r in counts}
+        off = [n for n in off if rows.get(n)]
+        full = [n for n in off if sizes[n] >= target / 2] or [n for n in rows if sizes[n] >= target / 2] or off
+        if not off:
+            return done
+        per_file = max(1, math.floor(target * sum(rows[n] for n in full) / sum(sizes[n] for n in full)))
+        starts, at = [], 0
+        for n in off:
+            starts.append((n, at, rows[n]))
+            at += rows[n]
+        if len(off) == 1 and at <= per_file:
+            return done
+        # A row's place is its file's and a draw within the file, so that every format is cut alike.
+        placed = F.broadcast(spark.createDataFrame(starts, "_name string, _start long, _rows long"))
+        cut = spark.read.format(fmt).schema(schema).load([f"{path}/{n}" for n in off])
+        cut = cut.withColumn("_name", F.col("_metadata.file_name")).withColumn("_draw", unit(F.xxhash64(F.monotonically_increasing_id())))
+        cut = cut.join(placed, "_name").withColumn("_bin", F.floor((F.col("_start") + F.col("_draw") * F.col("_rows")) / per_file).cast("int"))
+        _replaced(spark, path, cut.drop("_name", "_start", "_rows", "_draw"), -(-at // per_file), off, fmt, f"cut{done}-")
+    return RECUTS
+
+
+def _replaced(spark: SparkSession, path: str, rows: DataFrame, bins: int, names: list[str], fmt: str, prefix: str) -> None:
+    """Write rows as one file for each ``_bin`` and put those in the place of the named files."""
     packed = scratch_path(spark, "packed")
-    rows.repartition(min(len(bins), MOST_PACKING), "_bin").sortWithinPartitions("_bin").write.format(fmt).partitionBy("_bin").save(packed)
-    for k in range(len(bins)):
+    rows.repartition(min(bins, MOST_PACKING), "_bin").sortWithinPartitions("_bin").write.format(fmt).partitionBy("_bin").save(packed)
+    for k in child_folders(spark, packed, "_bin="):
         # One task's files share their name in the folders of different bins.
-        move_files(spark, f"{packed}/_bin={k}", path, f"bin{k}-")
-    for name, _ in names:
+        move_files(spark, f"{packed}/_bin={k}", path, f"{prefix}{k}-")
+    for name in names:
         delete_path(spark, f"{path}/{name}")
     delete_path(spark, packed)
-    return len(names), sum(small[n] for n, _ in names)
 
 
 def rows_for_size(df: DataFrame, target_bytes: int, fmt: str = "parquet") -> int:
