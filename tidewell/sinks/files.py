@@ -30,10 +30,23 @@ SUFFIX = {"parquet": ".parquet", "json": ".json", "csv": ".csv", "orc": ".orc",
 def write_sized(
     df: DataFrame, path: str, file_count: int, records_per_file: int, mode="overwrite", fmt="parquet"
 ) -> None:
-    """At least ``file_count`` files of at most ``records_per_file`` rows, rows dealt out evenly."""
-    df.repartition(file_count).write.format(fmt).option(
-        "maxRecordsPerFile", records_per_file
-    ).mode(mode).save(path)
+    """At least ``file_count`` files of at most ``records_per_file`` rows, rows dealt out evenly.
+
+    Each file is one task's, in a multiple of ``file_count`` tasks: a task reads no more than a file holds. A row's place is
+    its place in its partition after the rows of the partitions before, so that tasks differ by one row at most. (Where the
+    frame's partitions are not the same when read again, they differ by some rows, which may be a further file.)
+    """
+    part, at = F.spark_partition_id(), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    counts = {r["part"]: r["n"] for r in df.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
+    tasks = file_count * max(1, -(-sum(counts.values()) // (file_count * records_per_file)))
+    # The first place of each partition: one number for each, whatever the rows.
+    firsts, before = [], 0
+    for k in range(max(counts, default=-1) + 1):
+        firsts.append(before % tasks)
+        before += counts.get(k, 0)
+    first = F.coalesce(F.get(F.lit(firsts).cast("array<int>"), part), F.lit(0)) if firsts else F.lit(0)
+    dealt = df.repartitionById(tasks, F.pmod(first + at, F.lit(tasks)).cast("int"))
+    dealt.write.format(fmt).option("maxRecordsPerFile", records_per_file).mode(mode).save(path)
 
 
 def bytes_per_row(df: DataFrame, rows: int = PROBE_ROWS, fmt: str = "parquet") -> float:
