@@ -139,6 +139,13 @@ def versions_of(log: DataFrame) -> Versions:
     return Versions(tuple(begins), tuple(schemas))
 
 
+def _fitted_to(target: T.StructType, schema: T.StructType):
+    """What makes the target's fields of a value parsed by ``schema``, with ``_bad``."""
+    return lambda p: F.struct(
+        *[widened_field(p, schema, f).alias(f.name) for f in target.fields], p.getField("_corrupt").isNotNull().alias("_bad")
+    )
+
+
 def decode_by_version(events: DataFrame, versions: Versions, payload: str, position: str) -> DataFrame:
     """The events with the payload's fields in the target schema, ``version``, and ``malformed``.
 
@@ -147,14 +154,15 @@ def decode_by_version(events: DataFrame, versions: Versions, payload: str, posit
     """
     number = F.col("_version")
     target = versions.target
-    row = bad = None
+    rows = None
     for i, schema in enumerate(versions.schemas, 1):
         checked = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
         parsed = F.from_json(F.col(payload), checked, {"columnNameOfCorruptRecord": "_corrupt"})
-        wide = F.struct(*[widened_field(parsed, schema, f).alias(f.name) for f in target.fields],
-                        parsed.getField("_corrupt").isNotNull().alias("_bad"))
-        row = F.when(number == i, wide) if row is None else row.when(number == i, wide)
-    decoded = events.withColumn("_version", versions.in_force(F.col(position))).withColumn("_row", row)
+        # Text is parsed once for all fields: they are taken from the one value of an array.
+        wide = F.transform(F.array(parsed), _fitted_to(target, schema))
+        rows = F.when(number == i, wide) if rows is None else rows.when(number == i, wide)
+    # A generated column is evaluated once, whatever reads it; without a version it is NULL.
+    decoded = events.withColumn("_version", versions.in_force(F.col(position))).select("*", F.explode_outer(rows).alias("_row"))
     given = F.col(payload).isNotNull()
     bad = given & F.coalesce(F.col("_row._bad"), F.lit(True))
     rest = [c for c in events.columns if c != payload and c not in target.fieldNames()]

@@ -202,6 +202,18 @@ def fill(
     return df.select(*[name for name, *_ in spec])
 
 
+ROWS_PER_TASK = 250_000  # of narrow rows that are made wide
+
+
+def spread(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Narrow rows dealt to tasks by their number, before they are made wide.
+
+    A scan is cut by bytes, and a file of few columns holds millions of rows in one cut: its task would make them all.
+    """
+    rows = df.count()
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // rows_per_task)))
+
+
 def generate(
     spark: SparkSession,
     spec: list[tuple],

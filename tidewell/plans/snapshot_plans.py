@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewell.operators import cdc, schema_versions
 from tidewell.operators.snapshot import ChunkedSnapshot
+from tidewell.operators.synth import spread
 from tidewell.plans.cdc_plans import user_change_log
 from tidewell.plans.registry import load, query
 from tidewell.session import scratch_path
@@ -118,7 +119,8 @@ def schema_versions_applied(spark, sf):
                  F.col("o_orderpriority"), F.lit('","c_mktsegment":"'), F.col("o_orderstatus"), F.lit('"}')),
     ]
     at = F.floor(F.col("o_orderkey") / (step + 1))
-    events = orders.select(
+    read = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    events = spread(read).select(
         F.col("o_orderkey").alias("pos"), F.col("o_custkey").alias("c_custkey"),
         F.when(F.col("o_orderkey") % 7 == 0, "D").otherwise("U").alias("op"),
         F.when(at == 0, written[0]).when(at == 1, written[1]).otherwise(written[2]).alias("payload"),
