@@ -27,7 +27,7 @@ def order_keys(spark, sf):
 
 
 def filled(spark, sf, table):
-    return synth.fill(order_keys(spark, sf), SPECS[table], "id", 11, AS_OF)
+    return synth.fill(synth.spread(order_keys(spark, sf)), SPECS[table], "id", 11, AS_OF)
 
 
 @query(
