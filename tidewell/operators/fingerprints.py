@@ -110,8 +110,9 @@ def compare_by_ranges(
 
     Each level cuts what is open into about ``fan`` ranges, or ``fan`` for each open range of the level before but no more than
     ``fan * fan``; a range with at most ``leaf_rows`` rows a side is not cut further. A key that alone holds more stays
-    whole: its rows are compared by one grouping, which combines before the shuffle. The driver sees
-    fingerprints of differing ranges only.
+    whole: its rows are compared by one grouping, which combines before the shuffle. Where a finer level leaves open more than
+    half of what the level before did, differences lie everywhere, and the open rows are compared as they are: a further
+    level would read them all again to spare few. The driver sees fingerprints of differing ranges only.
     """
     if a.columns != b.columns or [f.dataType for f in a.schema] != [f.dataType for f in b.schema]:
         raise ValueError("both tables need the same columns of the same types")
@@ -130,7 +131,7 @@ def compare_by_ranges(
         levels.append((len(cuts) + 1, len(found), sum(r["rows_a"] + r["rows_b"] for r in found)))
         inside = within(key, cuts, ranges)
         side_a, side_b = a.where(inside), b.where(inside)
-        if all(max(r["rows_a"], r["rows_b"]) <= leaf_rows for r in found):
+        if all(max(r["rows_a"], r["rows_b"]) <= leaf_rows for r in found) or level and 2 * levels[-1][2] > levels[-2][2]:
             break
         parts = min(fan * len(found), fan * fan)
     return Comparison(differing_rows(side_a, side_b), cuts, ranges, levels)
