@@ -83,3 +83,10 @@ def test_stored_prints_compare_without_the_tables(spark, sides, tmp_path):
 def test_unlike_tables_are_refused(spark, sides):
     with pytest.raises(ValueError):
         fp.compare_by_ranges(sides[0], sides[0].drop("w"), "k")
+
+
+def test_descent_ends_where_differences_lie_everywhere(spark):
+    a = spark.range(4000).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+    b = a.withColumn("v", F.when(F.col("k") % 10 == 3, "w").otherwise(F.col("v")))
+    found = fp.compare_by_ranges(a, b, "k", 4, 5)
+    assert len(found.levels) == 2 and rows(found.rows) == rows(keyed.differing_rows(a, b)) and found.rows.count() == 800
