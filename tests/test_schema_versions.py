@@ -81,3 +81,11 @@ def test_a_log_of_three_versions_is_applied(spark, versions):
     assert set(got) == {1, 5, 7} and got[1]["v"] == "1.25" and got[7]["v"] == "2.5" and got[5]["v"] is None
     text = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "Arrow" not in text
+
+
+def test_a_payload_is_parsed_once_for_all_fields(spark, versions):
+    events = spark.createDataFrame([(11, 1, "U", '{"id":1,"v":7}'), (5, 9, "U", '{"id":9}'), (43, 3, "D", None)], "pos long, k int, op string, payload string")
+    decoded = sv.decode_by_version(events, versions, "payload", "pos").where("NOT malformed")
+    assert sorted(r["pos"] for r in decoded.collect()) == [11, 43]
+    plan = decoded._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == len(versions.schemas)
