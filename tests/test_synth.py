@@ -86,3 +86,10 @@ def test_workload_overlap_and_log(spark):
 def test_keys_beyond_the_range_fail(spark):
     with pytest.raises(Exception, match="no unique number"):
         spark.range(11).select(draws.unique_number(F.col("id"), 0, 10, 7)).collect()
+
+
+def test_ids_of_one_file_are_made_wide_by_many_tasks(spark):
+    ids = spark.range(1000).coalesce(1)
+    assert synth.spread(ids).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    few = synth.spread(ids, 20)
+    assert few.rdd.getNumPartitions() == 50 and sorted(r["id"] for r in few.collect()) == list(range(1000))
