@@ -148,6 +148,19 @@ def test_files_are_near_the_target_where_rows_shrink_together(spark, tmp_path, f
     assert keyed.differing_rows(spark.read.schema(df.schema).format(fmt).load(path), df).isEmpty()
 
 
+def test_sized_files_are_one_task_each(spark, tmp_path):
+    """As many tasks as files, exactly full ones too; rows of uneven partitions are dealt out evenly."""
+    df = spark.range(0, 1000, 1, 3).unionByName(spark.range(1000, 1200, 1, 5))
+    path = str(tmp_path / "out")
+    files.write_sized(df, path, 4, 100)
+    back = spark.read.parquet(path)
+    names = back.groupBy(F.col("_metadata.file_name").alias("name")).count().collect()
+    assert [r["count"] for r in names] == [100] * 12 and len({r["name"].split("-")[1] for r in names}) == 12
+    assert sorted(r["id"] for r in back.collect()) == list(range(1200))
+    files.write_sized(df.limit(0), path, 4, 100)
+    assert spark.read.schema(df.schema).parquet(path).count() == 0
+
+
 def test_bins_hold_what_fits():
     rng = __import__("random").Random(1)
     sizes = {f"f{i}": rng.randrange(1, 90) for i in range(200)}
