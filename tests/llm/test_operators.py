@@ -143,6 +143,36 @@ def test_suffix_array(monkeypatch, by_bucket):
             assert shared[y] == n
 
 
+def test_suffix_array_takes_no_step_per_letter():
+    """Lines that Python runs for a shard of text whose substrings repeat, with long repeats in it."""
+    import sys
+
+    rng = np.random.default_rng(5)
+    text = rng.integers(1, 27, 300_000)
+    text[200_000:250_000] = text[:50_000]
+    s = np.concatenate((text, [0]))
+    steps = 0
+
+    def trace(frame, event, _):
+        nonlocal steps
+        if frame.f_code.co_filename != suffix_dedup.__file__:
+            return None
+        steps += event == "line"
+        return trace
+
+    before = sys.gettrace()
+    sys.settrace(trace)
+    try:
+        order = suffix_dedup.suffix_array(s, 27)
+    finally:
+        sys.settrace(before)
+    rank = np.empty(len(s), np.int64)
+    rank[order] = np.arange(len(s))
+    a, b = order[:-1], order[1:]  # a suffix before another: by the first letter, then by what follows
+    assert ((s[a] < s[b]) | (s[a] == s[b]) & (rank[a + 1 - (s[a] == 0)] < rank[b + 1])).all()
+    assert steps < 30_000
+
+
 @pytest.mark.parametrize("hot,shard,long", [(20_000, 3 << 20, 1 << 20), (3, 500, 1 << 20), (20_000, 3 << 20, 400)])
 def test_remove_repeats(docs, doc_rows, monkeypatch, hot, shard, long):
     monkeypatch.setattr(suffix_dedup, "LONG", long)

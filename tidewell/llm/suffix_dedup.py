@@ -14,7 +14,8 @@ are judged on the input, so all places of a repeated string go. Steps:
    read again, and none of those that are alone with their anchor.
 4. **Suffix arrays.** Each task strings its anchors' distinct segments together, some megabytes at a time, and
    sorts all suffixes by induced sorting: suffixes are classified as larger or smaller than the next;
-   the leftmost-smaller substrings are sorted and named, by recursion where names repeat; from their
+   the leftmost-smaller substrings are sorted and named; where names repeat, the string of names is sorted in turn,
+   by recursion if it has many places to a name, else by doubling the names it compares; from their
    order two linear passes induce the whole array. Permuted common prefixes follow from the irreducible ones.
    Neighbours that share ``length`` bytes are one repeated string, and its count is the sum of
    the segments' counts.
@@ -44,7 +45,8 @@ ANCHOR = 32  # bytes of an anchor
 HOT = 20_000  # segments of one anchor that one shard may hold, about 6 MB
 LONG = 1 << 20  # bytes of one segment, as in a text that repeats a short pattern all along
 SHARD_BYTES = 2 << 20  # text of one suffix array
-BY_BUCKET = 64  # letters of text for each letter of the alphabet from which buckets are filled whole
+SLICE_BYTES = 1 << 18  # text whose anchors are found at a time: the arrays over it fit a core's cache
+BY_BUCKET = 64  # places to a name from which names are sorted by recursion, bucket by bucket
 
 
 # --- suffix arrays -----------------------------------------------------------------------------
@@ -55,13 +57,13 @@ def _smaller(s: np.ndarray) -> np.ndarray:
     n = len(s)
     differs = np.flatnonzero(s[:-1] != s[1:])
     # Within a run of one letter all suffixes are like the run's last one.
-    run_end = differs[np.searchsorted(differs, np.arange(n - 1))]
+    run_end = np.repeat(differs, np.diff(differs, prepend=-1))
     out = np.ones(n, bool)
     out[:-1] = s[run_end] < s[run_end + 1]
     return out
 
 
-def _induce_by_bucket(s, smaller, lms, size):
+def _induced(s, smaller, lms, size):
     """Whole suffix array from sorted ``lms`` suffixes, one bucket of equal first letters at a time."""
     n = len(s)
     counts = np.bincount(s, minlength=size)
@@ -114,39 +116,34 @@ def _induce_by_bucket(s, smaller, lms, size):
     return out
 
 
-def _induce_by_item(s, smaller, lms, size):
-    """The same, one suffix at a time: for alphabets with few suffixes to a letter."""
+def _by_doubling(s, size):
+    """Suffix array of a string of many letters, ranked by 1, 2, 4, ... times as many first letters as fit a word.
+
+    Only suffixes that are tied so far are sorted again. The lone last 0 unties them before they end.
+    """
     n = len(s)
-    counts = np.bincount(s, minlength=size)
-    tail = np.cumsum(counts)
-    out = [-1] * n
-    at = tail.tolist()
-    text = s.tolist()
-    for i in reversed(lms.tolist()):
-        at[text[i]] -= 1
-        out[at[text[i]]] = i
-    # The letter of the suffix before each one, if it belongs to the pass; the last entry is for -1.
-    before = np.full(n + 1, -1, np.int64)
-    before[1:n] = np.where(smaller[:-1], -1, s[:-1])
-    letter = before.tolist()
-    at = (tail - counts).tolist()
-    for i in out:
-        # Filled further on while it is read.
-        c = letter[i]
-        if c >= 0:
-            k = at[c]
-            out[k] = i - 1
-            at[c] = k + 1
-    before[1:n] = np.where(smaller[:-1], s[:-1], -1)
-    letter = before.tolist()
-    at = tail.tolist()
-    for k in range(n - 1, -1, -1):
-        i = out[k]
-        c = letter[i]
-        if c >= 0:
-            at[c] -= 1
-            out[at[c]] = i - 1
-    return np.array(out, np.int64)
+    bits = int(size).bit_length()
+    step = min(n, 62 // bits)
+    padded = np.concatenate((s, np.zeros(step, np.int64)))
+    key = np.zeros(n, np.int64)
+    for k in range(step):
+        key = key << bits | padded[k : k + n]
+    order = np.argsort(key)
+    key, places, live = key[order], order, np.arange(n)
+    rank = np.empty(n, np.int64)
+    while True:
+        new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        sizes = np.diff(new, append=len(key))
+        rank[places] = np.repeat(live[new], sizes)
+        tied = np.repeat(sizes > 1, sizes)
+        live, places = live[tied], places[tied]
+        if not len(live):
+            return order
+        key = rank[places] * n + rank[places + step]
+        by = np.argsort(key)
+        key, places = key[by], places[by]
+        order[live] = places
+        step *= 2
 
 
 def suffix_array(s: np.ndarray, size: int) -> np.ndarray:
@@ -156,9 +153,8 @@ def suffix_array(s: np.ndarray, size: int) -> np.ndarray:
         return np.zeros(1, np.int64)
     smaller = _smaller(s)
     lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
-    induce = _induce_by_bucket if n >= BY_BUCKET * size else _induce_by_item
     # Any order of the leftmost-smaller suffixes that respects first letters sorts their substrings.
-    rough = induce(s, smaller, lms, size)
+    rough = _induced(s, smaller, lms, size)
     is_lms = np.zeros(n, bool)
     is_lms[lms] = True
     rough = rough[is_lms[rough]]
@@ -167,10 +163,12 @@ def suffix_array(s: np.ndarray, size: int) -> np.ndarray:
         in_order = np.empty(n, np.int64)
         in_order[rough] = names
         # The last letter's own substring is the least and stands once: the recursion's last letter.
-        lms_sorted = lms[suffix_array(in_order[lms], int(names[-1]) + 1)]
+        n_names = int(names[-1]) + 1
+        sort = suffix_array if len(lms) >= BY_BUCKET * n_names else _by_doubling
+        lms_sorted = lms[sort(in_order[lms], n_names)]
     else:
         lms_sorted = rough
-    return induce(s, smaller, lms_sorted, size)
+    return _induced(s, smaller, lms_sorted, size)
 
 
 def _named(s, lms, rough):
@@ -320,7 +318,7 @@ def _segments(texts: DataFrame, length: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             data, bounds = text_bytes(batch.column(2))
-            for lo, hi in slices(bounds):
+            for lo, hi in slices(bounds, SLICE_BYTES):
                 part, edge = data[bounds[lo] : bounds[hi]], bounds[lo : hi + 1] - bounds[lo]
                 hashed = SpanHashes(part)
                 text, start, end, anchor, places = anchors(part, edge, length, hashed)
